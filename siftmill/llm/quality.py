@@ -38,7 +38,7 @@ class Rules:
     min_words: int = 10
     max_repeat_percent: int = 20
     max_lost_percent: int = 50
-    max_symbol_percent: int = 10
+    max_symbol_percent: int = 20
     max_bars: int = 2
     boilerplate: tuple[str, ...] = BOILERPLATE
 
@@ -144,7 +144,7 @@ lines AS (
 judged AS (
   SELECT *, len(regexp_extract_all(l, '[.!?…。！？]')) = 0
             OR len(regexp_extract_all(l, '[!?]')) > nw + 1
-            OR 100 * len(regexp_extract_all(l, '[#*$%&|<>]')) > 10 * nc
+            OR 100 * len(regexp_extract_all(l, '[#*$%&|<>]')) > 20 * nc
             OR len(regexp_extract_all(l, '[|»•·]')) > 2
             OR (len(regexp_extract_all(l, '[|»•·]')) > 0 AND 2 * len(regexp_extract_all(l, '[|»•·]')) >= nw)
             OR regexp_matches(lower(l), '{_BOILER}') AS fails

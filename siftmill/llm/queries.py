@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
-from . import exact, mixing, quality
+from . import bpe, exact, langid, lines, lm, mixing, pii, quality, simhash, suffix
 
 
 def queries() -> dict:
-    return {"op1_quality_rules": quality.op1_quality_rules, "op3_mixing": mixing.op3_mixing, "op6_exact_dedup": exact.op6_exact_dedup}
+    return {
+        "op1_quality_rules": quality.op1_quality_rules,
+        "op2_simhash_neardup": simhash.op2_simhash_neardup,
+        "op3_mixing": mixing.op3_mixing,
+        "op4_line_dedup": lines.op4_line_dedup,
+        "op5_suffix_dedup": suffix.op5_suffix_dedup,
+        "op6_exact_dedup": exact.op6_exact_dedup,
+        "op7_lm_score": lm.op7_lm_score,
+        "op8_pii": pii.op8_pii,
+        "op9_bpe": bpe.op9_bpe,
+        "op10_language_id": langid.op10_language_id,
+    }
 
 
 def oracle_sql() -> dict:
-    return {"op1_quality_rules": quality.OP1_SQL, "op3_mixing": mixing.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}
+    return {
+        "op1_quality_rules": quality.OP1_SQL,
+        "op3_mixing": mixing.OP3_SQL,
+        "op4_line_dedup": lines.OP4_SQL,
+        "op6_exact_dedup": exact.OP6_SQL,
+    }
