@@ -136,7 +136,10 @@ def learn(docs: DataFrame, *, sample: int = SAMPLE, fold: int = FOLD) -> Model |
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(fold)).select(
         "text", "lang", F.xxhash64("doc_id", "text").alias("draw")
     )
-    chosen = rows.where(F.regexp_like("text", F.lit(r"\p{L}"))).orderBy("draw", "lang").limit(sample).select("text", "lang")
+    rows = rows.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    # The sample's last draw comes from the draws alone, so that no task gathers texts.
+    last = rows.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
+    chosen = rows.where(F.col("draw") <= F.lit(last)).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,7 +151,7 @@ def learn(docs: DataFrame, *, sample: int = SAMPLE, fold: int = FOLD) -> Model |
                     names=["lang", "slots", "counts"],
                 )
 
-    found = shipped(chosen).mapInArrow(count, "lang string, slots binary, counts binary").collect()
+    found = shipped(chosen).mapInArrow(count, "lang string, slots binary, counts binary").collect() if last is not None else []
     if not found:
         return None
     x = np.zeros((len(found), WIDTH), np.float32)

@@ -10,17 +10,18 @@ character edit away: judged on the input, not on what is left.
   character more has the other line itself as a variant. Each member of a bucket is
   paired with the bucket's earliest line only, never with all others, and the edit
   distance of the two texts is verified.
-* Only lines that can have a partner need variants. An edit leaves either the first
-  or the second half as it is, so lines first meet by the hashes of their halves
-  (of the three lengths a partner can have); lines alone with all of their halves
-  are done. This loses no pair.
+* Only lines and places that can have a partner need variants. Cut by the shorter
+  line's length, the edit lies in one piece and both lines agree before and after
+  it. So lines first meet by all but one of two pieces; those that do, by all but
+  one of ``PIECES``; and those that do, by their variants inside that piece. This
+  loses no pair.
 
-Hashes are pairs of 64-bit hashes under two seeds.
+Hashes are pairs of 64-bit hashes under two seeds; the two coarse rounds take one.
 
 Cases: a null text has no lines; rows that repeat a doc_id are the same places, so
 equal lines at equal places are alike and stay or go together; a null doc_id comes
-first; ties between different lines at one place go by text; an empty table gives
-an empty result; other columns of the input are left alone (``drop_lines``) or
+first; ties between different lines at one place go by their hash; an empty table
+gives an empty result; other columns of the input are left alone (``drop_lines``) or
 ignored (``removed_lines``).
 """
 
@@ -31,96 +32,123 @@ from pyspark.sql import functions as F
 
 from .scratch import documents, written
 
-MIN_CHARS, MAX_EDITS = 20, 1
+MIN_CHARS, MAX_EDITS, PIECES = 20, 1, 16
+#: Rows of two longs that may be broadcast: some tens of megabytes.
+SMALL = 500_000
+LEAST = -(2**63)
 
 
-def _hash(*c: Column | str) -> Column:
-    return F.struct(F.xxhash64(*c).alias("x"), F.xxhash64(F.lit(1), *c).alias("y"))
+def _sent(df: DataFrame) -> DataFrame:
+    """A written ``df``, to be broadcast if it is small; otherwise it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= SMALL else df
 
 
-def _text_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line of each line, also short ones."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def _x(*c: Column) -> Column:
+    return F.xxhash64(*c)
 
 
-def _half_keys(n: Column) -> Column:
-    """(side, length) of the halves by which partners of n, n - 1 or n + 1 characters are met."""
-    one = lambda d: F.floor((n + d) / 2).cast("int")
-    return F.array_distinct(F.flatten(F.array(*(F.array(F.struct(F.lit(s).alias("side"), one(d).alias("len"))) for s in (0, 1) for d in (-1, 0)))))
+def _y(*c: Column) -> Column:
+    return F.xxhash64(F.lit(1), *c)
+
+
+def _text_lines(docs: DataFrame, min_chars: int) -> DataFrame:
+    """doc_id, t (hash of the text), line_no, line, n of each line that counts."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars)
+
+
+def _outside(line: Column, n: Column, m: Column, a: Column, b: Column) -> Column:
+    """Hash of a line of n characters but for [a, b) of the m that the shorter line has."""
+    return F.xxhash64(a, m - b, F.left(line, a), F.right(line, m - b))
+
+
+def _bound(i: Column, m: Column, pieces: int) -> Column:
+    return F.floor(i * m / pieces).cast("int")
 
 
 def removed_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS) -> DataFrame:
-    """doc_id, line_no, hash, near of each line that goes; ``near`` if no line equal to it is earlier."""
+    """doc_id, t, line_no, near of each line that goes; ``near`` if no line equal to it is earlier."""
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
-    lines = _text_lines(docs).withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars)
-    hashed = lines.select("doc_id", "line_no", _hash("line").alias("hash"))
-    place = F.struct("doc_id", "line_no")
-    first = hashed.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("size"))
-    if max_edits == 0:
-        late = first.select("hash", "first", F.lit(False).alias("near"))
-    else:
-        near = near_lines(lines)
-        late = first.join(near.withColumn("near", F.lit(True)), "hash", "left").select("hash", "first", "size", F.coalesce("near", F.lit(False)).alias("near"))
-        late = late.where("size > 1 OR near")
-    gone = hashed.join(late, "hash").where("near OR doc_id IS DISTINCT FROM first.doc_id OR line_no != first.line_no")
-    return gone.select("doc_id", "line_no", "hash", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))).alias("near"))
-
-
-def near_lines(lines: DataFrame) -> DataFrame:
-    """hash of each line of ``lines`` (doc_id, line_no, line, n) one edit away from an earlier one."""
-    halves = lines.select("line", "n", _hash("line").alias("hash"), F.explode(_half_keys(F.col("n"))).alias("h"))
-    part = F.when(F.col("h.side") == 0, F.left("line", F.col("h.len"))).otherwise(F.right("line", F.col("h.len")))
-    keyed = halves.select("hash", F.xxhash64("h.side", "h.len", part).alias("key"))
-    # Two numbers aggregate by hashing; a struct would have to be sorted.
-    ends = [f("hash." + c).alias(n + c) for c in "xy" for n, f in (("min_", F.min), ("max_", F.max))]
-    shared = keyed.groupBy("key").agg(*ends).where("min_x != max_x OR min_y != max_y").select("key")
-    partnered = keyed.join(shared, "key", "left_semi").select("hash").distinct()
-
-    place = F.struct("doc_id", "line_no", "line")
-    candidates = written(
-        lines.select("doc_id", "line_no", "line", _hash("line").alias("hash")).join(partnered, "hash", "left_semi").groupBy("hash").agg(F.min(place).alias("first")),
+    lines = _text_lines(docs, min_chars)
+    line, n = F.col("line"), F.col("n")
+    half = lambda m: [_outside(line, n, m, F.lit(0), _bound(F.lit(1), m, 2)), _outside(line, n, m, _bound(F.lit(1), m, 2), m)]
+    # One number for doc_id and line number: it can be aggregated by hashing.
+    place = F.coalesce("doc_id", F.lit(LEAST)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
+    table = written(
+        lines.select("doc_id", "t", "line_no", place.alias("place"), _x(line).alias("x"), _y(line).alias("y"), F.array_distinct(F.array(*half(n), *half(n - 1))).alias("keys")),
         "lines",
     )
-    n = F.char_length("first.line")
-    without = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("at"), F.concat(F.left("first.line", i - 1), F.right("first.line", n - i)).alias("rest")))
+    first = table.groupBy("x", "y").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
+    if max_edits:
+        near = written(near_lines(lines, table, place), "near").withColumn("near", F.lit(True))
+        first = first.join(_sent(near), ["x", "y"], "left")
+    else:
+        first = first.withColumn("near", F.lit(None).cast("boolean"))
+    late = _sent(written(first.where("size > 1 OR near").select("x", "y", "first", F.coalesce("near", F.lit(False)).alias("near")), "late"))
+    gone = table.select("doc_id", "t", "line_no", "place", "x", "y").join(late, ["x", "y"]).where("near OR place != first")
+    return gone.select("doc_id", "t", "line_no", (F.col("place") == F.col("first")).alias("near"))
+
+
+def near_lines(lines: DataFrame, table: DataFrame, place: Column) -> DataFrame:
+    """x, y of each line one edit away from an earlier one."""
+    shared = lambda keyed: keyed.groupBy("key").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a != b").select("key")
+    halves = table.select("x", "y", F.explode("keys").alias("key"))
+    met = written(halves.join(_sent(written(shared(halves), "halves")), "key", "left_semi").select("x", "y").distinct(), "met")
+    named = lines.withColumns({"x": _x(F.col("line")), "y": _y(F.col("line"))}).join(_sent(met), ["x", "y"], "left_semi")
+    candidates = written(named.groupBy("x", "y").agg(F.min(place).alias("first"), F.first("line").alias("line")), "candidates")
+
+    line, n = F.col("line"), F.char_length("line")
+    # d = 0: as the shorter line or one of two equally long ones; d = 1: as the longer one.
+    pieces = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), _outside(line, n, n - d, _bound(F.lit(i), n - d, PIECES), _bound(F.lit(i + 1), n - d, PIECES)).alias("key")) for d in (0, 1) for i in range(PIECES)))
+    keyed = candidates.select("x", "y", F.explode(pieces).alias("p")).select("x", "y", "p.d", "p.i", "p.key")
+    close = keyed.join(shared(keyed), "key", "left_semi").select("x", "y", "d", "i").join(candidates, ["x", "y"])
+
+    m = n - F.col("d")
+    at = F.sequence(_bound(F.col("i"), m, PIECES), _bound(F.col("i") + 1, m, PIECES) + F.col("d") - 1)
+    some = _bound(F.col("i"), m, PIECES) <= _bound(F.col("i") + 1, m, PIECES) + F.col("d") - 1
+    rest = lambda k: F.concat(F.left(line, k), F.right(line, n - 1 - k))
     # A key with a place holds lines that differ in that character; a key without one holds a line and the lines with one character more.
-    variants = candidates.select("hash", "first.doc_id", "first.line_no", F.explode(without).alias("v"))
-    swapped = variants.select("hash", "doc_id", "line_no", _hash("v.rest", "v.at").alias("key"))
-    longer = variants.select("hash", "doc_id", "line_no", _hash("v.rest").alias("key"), F.lit(False).alias("whole"))
-    whole = candidates.select("hash", "first.doc_id", "first.line_no", F.col("hash").alias("key"), F.lit(True).alias("whole"))
-
-    me = F.struct("doc_id", "line_no", "hash")
-    earliest = swapped.groupBy("key").agg(F.min(me).alias("e"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    pairs = swapped.join(earliest, "key").where("hash != e.hash").select("hash", F.col("e.hash").alias("other"))
+    key = lambda k: F.when(F.col("d") == 0, F.struct(_x(rest(k), k).alias("kx"), _y(rest(k), k).alias("ky"))).otherwise(F.struct(_x(rest(k)).alias("kx"), _y(rest(k)).alias("ky")))
+    variants = close.where(some).select("x", "y", "first", "d", F.explode(F.transform(at, key)).alias("v")).select("x", "y", "first", "d", "v.kx", "v.ky").distinct()
+    whole = close.where("d = 0").select("x", "y", "first", F.col("x").alias("kx"), F.col("y").alias("ky")).distinct()
+
+    me = F.struct("first", "x", "y")
+    swapped = variants.where("d = 0").drop("d")
+    earliest = swapped.groupBy("kx", "ky").agg(F.min(me).alias("e"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    pairs = swapped.join(earliest, ["kx", "ky"]).where("x != e.x OR y != e.y").select("x", "y", F.col("e.x").alias("ox"), F.col("e.y").alias("oy"))
     # The line itself is one; of the longer ones the earliest stands for the rest, and each of them meets the line itself.
-    sides = longer.unionByName(whole)
-    bucket = sides.groupBy("key").agg(F.min(F.when(F.col("whole"), me)).alias("short"), F.min(F.when(~F.col("whole"), me)).alias("long")).where("short IS NOT NULL AND long IS NOT NULL")
-    grown = sides.join(bucket, "key").select("hash", F.when(F.col("whole"), F.col("long.hash")).otherwise(F.col("short.hash")).alias("other"))
+    sides = variants.where("d = 1").drop("d").withColumn("whole", F.lit(False)).unionByName(whole.withColumn("whole", F.lit(True)))
+    bucket = sides.groupBy("kx", "ky").agg(F.min(F.when(F.col("whole"), me)).alias("short"), F.min(F.when(~F.col("whole"), me)).alias("long")).where("short IS NOT NULL AND long IS NOT NULL")
+    other = F.when(F.col("whole"), F.col("long")).otherwise(F.col("short"))
+    grown = sides.join(bucket, ["kx", "ky"]).select("x", "y", other["x"].alias("ox"), other["y"].alias("oy"))
 
-    text = candidates.select("hash", F.col("first").alias("mine"))
-    met = pairs.unionByName(grown).distinct().join(text, "hash").join(text.select(F.col("hash").alias("other"), F.col("mine").alias("its")), "other")
+    mine, its = candidates.select("x", "y", F.struct("first", "x", "y", "line").alias("mine")), candidates.select(F.col("x").alias("ox"), F.col("y").alias("oy"), F.struct("first", "x", "y", "line").alias("its"))
+    both = pairs.unionByName(grown).distinct().join(mine, ["x", "y"]).join(its, ["ox", "oy"])
     verified = (F.levenshtein("mine.line", "its.line", MAX_EDITS) == MAX_EDITS) & (F.col("its") < F.col("mine"))
-    return met.where(verified).select("hash").distinct()
+    return both.where(verified).select("x", "y").distinct()
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
-    """__id, __gone: of each document the (line number, hash) of the lines that go."""
-    return gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct("line_no", "hash")).alias("__gone"), F.count_if("near").alias("__near"))
+    """__id, __t, __gone: of each document the numbers of the lines that go."""
+    return gone.groupBy(F.col("doc_id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("line_no").alias("__gone"), F.count_if("near").alias("__near"))
+
+
+def _with_gone(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    return docs.join(_by_document(gone), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__t")), "left")
 
 
 def _left(text: Column, gone: Column) -> Column:
-    """The lines of ``text`` that stay."""
-    spot = lambda x, i: F.struct(i.alias("line_no"), _hash(x).alias("hash"))
+    """The text without the lines that go."""
     lines = F.split(text, "\n")
-    return F.when(gone.isNull(), lines).otherwise(F.filter(lines, lambda x, i: ~F.array_contains(gone, spot(x, i))))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.when(gone.isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
 
 
 def drop_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS) -> DataFrame:
     """``docs`` without the lines that go; a document that loses its last word goes too. ``n_chars``, if there, follows."""
-    gone = _by_document(removed_lines(docs, min_chars=min_chars, max_edits=max_edits))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    out = joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(_left(F.col("text"), F.col("__gone")), "\n")))
+    joined = _with_gone(docs, removed_lines(docs, min_chars=min_chars, max_edits=max_edits))
+    out = joined.withColumn("text", _left(F.col("text"), F.col("__gone")))
     out = out.where(F.col("__gone").isNull() | F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
@@ -130,14 +158,12 @@ def drop_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, max_edits: int =
 def line_report(docs: DataFrame, *, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS) -> DataFrame:
     """doc_id, n_lines, n_removed, n_near, kept_sha256 of each row of ``docs``."""
     docs = docs.select("doc_id", "text")
-    gone = _by_document(removed_lines(docs, min_chars=min_chars, max_edits=max_edits))
-    left = _left(F.col("text"), F.col("__gone"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select(
+    return _with_gone(docs, removed_lines(docs, min_chars=min_chars, max_edits=max_edits)).select(
         "doc_id",
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("__near", F.lit(0)).cast("long").alias("n_near"),
-        F.sha2(F.coalesce(F.array_join(left, "\n"), F.lit("")), 256).alias("kept_sha256"),
+        F.sha2(F.coalesce(_left(F.col("text"), F.col("__gone")), F.lit("")), 256).alias("kept_sha256"),
     )
 
 

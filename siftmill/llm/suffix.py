@@ -4,19 +4,20 @@ Each byte goes that lies in a string of ``LENGTH`` bytes which also starts in a
 document with a smaller doc_id. To find these strings without comparing all pairs
 of shards:
 
-1. ``sharded``: some megabytes of texts are a shard. Each window of ``LENGTH`` bytes
-   is named by the least hash of the ``GRAM``-byte strings inside it, so equal windows
-   have equal names, and neighbours mostly share theirs: a run of windows with one
-   name is a unit.
-2. ``shared_names``: names meet by hash. Only names that two documents have are kept;
-   other units can have no match. A shard sends each name once.
-3. ``spans``: the text under the kept units of a shard, each distinct text once with
-   its smallest doc_id, goes to the task of its name. Whole copies of a document
-   stay behind; they go altogether.
-4. ``marked``: a task builds a suffix array for each part of its spans
-   (Larsson-Sadakane), its common prefixes (Kasai), and so the smallest doc_id of
-   each distinct window; parts are merged by binary search in their sorted windows.
-5. ``removed``: marks return to their shard, where they are laid over the text.
+1. ``sharded``: some megabytes of texts are a shard, written once.
+2. ``named``: each window of ``LENGTH`` bytes is named by the least hash of the
+   ``GRAM``-byte strings inside it, so equal windows have equal names, and neighbours
+   mostly share theirs: a run of windows with one name is a unit. A shard sends each
+   of its names once.
+3. ``shared_names``: only names that two documents have are kept; other units can
+   have no match.
+4. ``spans``: the text under the kept units of a shard, each distinct text once, goes
+   to the task of its name. Whole copies of a document stay behind; they go altogether.
+5. ``marked``: a name with one text has the smallest doc_id of that text. For the
+   others a task builds a suffix array of each part of its spans (Larsson-Sadakane),
+   its common prefixes (Kasai), and so the smallest doc_id of each distinct window;
+   parts are merged by binary search in their sorted windows.
+6. ``removed``: marks return to their shard, where they are laid over the text.
 
 A name with very many windows costs a task one span for each distinct text and
 shard. Shards, names and spans are packed, so that Spark moves blocks, not rows.
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from .arrow import slices, utf8
 from .scratch import documents, shipped, written
 
-LENGTH, GRAM, SHARD_BYTES, PART_BYTES = 50, 16, 4 << 20, 4 << 20
+LENGTH, GRAM, SHARD_BYTES, PART_BYTES = 50, 24, 4 << 20, 2 << 20
 LEAST = -(2**63)
 
 
@@ -75,12 +76,13 @@ def units(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     buf = np.concatenate((raw, np.zeros(GRAM, np.uint8)))
     eight = lambda shift: np.ndarray((n,), "<u8", buf, offset=shift, strides=(1,))
-    least = eight(0) * np.uint64(0x9E3779B97F4A7C15)
-    least ^= least >> np.uint64(29)
-    least += eight(8) * np.uint64(0xC2B2AE3D27D4EB4F)
-    least ^= least >> np.uint64(32)
+    least = np.zeros(n, np.uint64)
+    for shift in range(0, GRAM, 8):
+        least += eight(shift)
+        least *= np.uint64(0x9E3779B97F4A7C15)
+        least ^= least >> np.uint64(29)
     least *= np.uint64(0xD6E8FEB86659FD93)
-    least ^= least >> np.uint64(31)
+    least ^= least >> np.uint64(32)
     wide, want = 1, LENGTH - GRAM + 1
     while wide < want:  # the least of ``wide`` hashes from each place on
         step = min(wide, want - wide)
@@ -100,11 +102,11 @@ def units(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     doc = np.searchsorted(at, start, side="right") - 1
     end = np.minimum(np.append(start[1:], n), last[doc])
     name = least[start] * np.uint64(0xBF58476D1CE4E5B9)  # a least hash is small: spread it
-    return start, end - start, name ^ (name >> np.uint64(27)), doc
+    return start, end - start, (name ^ (name >> np.uint64(27))) >> np.uint64(16), doc
 
 
 def bucket_of(name: np.ndarray, buckets: int) -> np.ndarray:
-    return ((name >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+    return ((name >> np.uint64(4)) % np.uint64(buckets)).astype(np.int64)
 
 
 def names_by_bucket(name: np.ndarray, doc: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -115,7 +117,9 @@ def names_by_bucket(name: np.ndarray, doc: np.ndarray, buckets: int) -> list[tup
     two = d[np.append(head[1:], len(n)) - 1] != d[head]
     distinct = n[head]
     of = bucket_of(distinct, buckets)
-    return [(int(k), distinct[of == k], two[of == k]) for k in np.unique(of)]
+    order = np.argsort(of, kind="stable")
+    used, begin = np.unique(of[order], return_index=True)
+    return [(int(k), distinct[p], two[p]) for k, p in zip(used, np.split(order, begin[1:]))]
 
 
 # -- suffix arrays --------------------------------------------------------------
@@ -218,58 +222,79 @@ def least_owner(spans: list[bytes], owner: np.ndarray, part_bytes: int = PART_BY
 
 
 # -- passes ------------------------------------------------------------------------
-FIELDS = "shard bigint, bucket int, data binary, flags binary, ids array<bigint>, sizes array<bigint>, digests array<binary>"
-NAMES = ["shard", "bucket", "data", "flags", "ids", "sizes", "digests"]
-TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
-TEXT, COPIES, LOCAL = -1, -2, -3
-
-
-def _rows(rows: list[tuple]) -> list[pa.Array]:
-    return [pa.array([r[i] for r in rows], t) for i, t in enumerate(TYPES)]
+TEXT, COPIES, MARKS = -1, -2, -3
 
 
-def sharded(docs: DataFrame, buckets: int) -> DataFrame:
-    """Each shard's texts (bucket TEXT), and its names by bucket."""
+def sharded(docs: DataFrame) -> DataFrame:
+    """shard, data (the texts end to end), ids, sizes, digests of whole texts that are long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", SHARD_BYTES):
                 raw, at = utf8(b.column(1))
-                shard, view = secrets.randbits(62), memoryview(raw)
-                _, _, name, doc = units(raw, at)
-                ids = b.column(0).to_pylist()
+                view = memoryview(raw)
                 digests = [hashlib.sha256(view[x:y]).digest() if y - x >= LENGTH else None for x, y in zip(at.tolist(), at[1:].tolist())]
-                rows = [(shard, TEXT, _zip(raw.tobytes()), None, ids, np.diff(at).tolist(), digests)]
-                rows += [(shard, k, _pack_sorted(n), np.packbits(two).tobytes(), None, None, None) for k, n, two in names_by_bucket(name, doc, buckets)]
-                yield pa.RecordBatch.from_arrays(_rows(rows), names=NAMES)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([secrets.randbits(62)], pa.int64()),
+                        pa.array([_zip(raw.tobytes())], pa.binary()),
+                        pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())),
+                        pa.array([np.diff(at).tolist()], pa.list_(pa.int64())),
+                        pa.array([digests], pa.list_(pa.binary())),
+                    ],
+                    names=["shard", "data", "ids", "sizes", "digests"],
+                )
+
+    rows = shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
+    return rows.mapInArrow(run, "shard bigint, data binary, ids array<bigint>, sizes array<bigint>, digests array<binary>")
+
+
+def named(packed: DataFrame, buckets: int) -> DataFrame:
+    """shard, bucket, data (names), flags (whether two documents of the shard have a name)."""
 
-    return shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text")).mapInArrow(run, FIELDS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                raw, at, _ = _text_of(row)
+                _, _, name, doc = units(raw, at)
+                found = names_by_bucket(name, doc, buckets)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["shard"]] * len(found), pa.int64()),
+                        pa.array([k for k, _, _ in found], pa.int32()),
+                        pa.array([_pack_sorted(n) for _, n, _ in found], pa.binary()),
+                        pa.array([np.packbits(two).tobytes() for _, _, two in found], pa.binary()),
+                    ],
+                    names=["shard", "bucket", "data", "flags"],
+                )
 
+    return packed.select("shard", "data", "ids", "sizes").mapInArrow(run, "shard bigint, bucket int, data binary, flags binary")
 
-def shared_names(packed: DataFrame) -> DataFrame:
+
+def shared_names(names: DataFrame) -> DataFrame:
     """For each shard and bucket, which of its names two documents have (flags)."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        shards, names, flags = (table.column(c).to_pylist() for c in ("shard", "data", "flags"))
-        names = [_unpack_sorted(x) for x in names]
-        two = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=len(n)) for f, n in zip(flags, names)])
-        _, which, times = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+        shards, packed, flags = (table.column(c).to_pylist() for c in ("shard", "data", "flags"))
+        packed = [_unpack_sorted(x) for x in packed]
+        two = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=len(n)) for f, n in zip(flags, packed)])
+        _, which, times = np.unique(np.concatenate(packed), return_inverse=True, return_counts=True)
         more = times > 1
         more[which[two > 0]] = True
-        cuts = np.cumsum(list(map(len, names)))[:-1]
+        cuts = np.cumsum(list(map(len, packed)))[:-1]
         return pa.table({"shard": pa.array(shards, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(shards), pa.int32()), "flags": pa.array([np.packbits(x).tobytes() for x in np.split(more[which], cuts)], pa.binary())})
 
-    return packed.where("bucket >= 0").select("shard", "bucket", "data", "flags").groupBy("bucket").applyInArrow(run, "shard bigint, bucket int, flags binary")
+    return names.groupBy("bucket").applyInArrow(run, "shard bigint, bucket int, flags binary")
 
 
 def copies(packed: DataFrame) -> DataFrame:
-    """For each shard, places of the documents that have a whole copy with a smaller doc_id (ids)."""
-    rows = packed.where(f"bucket = {TEXT}").select("shard", F.posexplode(F.arrays_zip("ids", "digests")).alias("place", "d")).select(
+    """For each shard, places of the documents that have a whole copy with a smaller doc_id (places)."""
+    rows = packed.select("shard", F.posexplode(F.arrays_zip("ids", "digests")).alias("place", "d")).select(
         "shard", "place", F.coalesce("d.ids", F.lit(LEAST)).alias("id"), F.col("d.digests").alias("digest")
     ).where("digest IS NOT NULL")
     first = rows.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last")
     late = rows.join(first, "digest").where("id > first")
-    return late.groupBy("shard").agg(F.collect_list(F.col("place").cast("long")).alias("ids")).withColumn("bucket", F.lit(COPIES))
+    return late.groupBy("shard").agg(F.collect_list(F.col("place").cast("long")).alias("places")).withColumn("bucket", F.lit(COPIES))
 
 
 def _text_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,96 +302,103 @@ def _text_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, np.concatenate(([0], np.cumsum(row["sizes"]))).astype(np.int64), np.array([LEAST if x is None else x for x in row["ids"]], np.int64)
 
 
-def _ranges(ranges: list[tuple[int, int]]) -> bytes:
-    return _zip(np.array(ranges, np.int64).tobytes())
+def _late(parts: list[dict], n: int) -> np.ndarray:
+    late = np.zeros(n, bool)
+    for r in parts:
+        if r["bucket"] == COPIES:
+            late[r["places"]] = True
+    return late
 
 
-def spans(packed: DataFrame, names: DataFrame, whole: DataFrame, buckets: int) -> DataFrame:
-    """By bucket, the distinct texts under a shard's kept units with owner and place; and marks that the shard finds itself (bucket LOCAL)."""
-    rows = packed.where(f"bucket = {TEXT}").drop("digests").unionByName(names, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
+def spans(packed: DataFrame, flags: DataFrame, whole: DataFrame, buckets: int) -> DataFrame:
+    """shard, bucket, data (the distinct texts under kept units), sizes (of these), entries (text, owner, place)."""
+    rows = packed.select("shard", F.lit(TEXT).alias("bucket"), "data", "ids", "sizes").unionByName(flags, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = table.to_pylist()
         raw, at, ids = _text_of(next(r for r in parts if r["bucket"] == TEXT))
-        late = np.zeros(len(ids), bool)
-        for r in parts:
-            if r["bucket"] == COPIES:
-                late[r["ids"]] = True
-        marks = [(int(at[i]), int(at[i + 1])) for i in np.flatnonzero(late)]
+        late = _late(parts, len(ids))
         start, n, name, doc = units(raw, at)
-        flags = {r["bucket"]: r["flags"] for r in parts if r["bucket"] >= 0}
-        keep = [x[np.unpackbits(np.frombuffer(flags[k], np.uint8), count=len(x)).astype(bool)] for k, x, _ in names_by_bucket(name, doc, buckets)]
+        known = {r["bucket"]: r["flags"] for r in parts if r["bucket"] >= 0}
+        keep = [x[np.unpackbits(np.frombuffer(known[k], np.uint8), count=len(x)).astype(bool)] for k, x, _ in names_by_bucket(name, doc, buckets)]
         keep = np.sort(np.concatenate(keep)) if keep else np.zeros(0, np.uint64)
+        use = np.zeros(0, np.int64)
         if len(keep):
             spot = np.minimum(np.searchsorted(keep, name), len(keep) - 1)
             use = np.flatnonzero((keep[spot] == name) & ~late[doc])
-        else:
-            use = np.zeros(0, np.int64)
-        use = use[np.argsort(ids[doc[use]], kind="stable")]
-        text, seen, out = raw.tobytes(), {}, {}
-        of = bucket_of(name[use], buckets).tolist()
-        for k, s, c, d in zip(of, start[use].tolist(), n[use].tolist(), ids[doc[use]].tolist()):
-            t = text[s : s + c + LENGTH - 1]
-            first = seen.setdefault(t, d)
-            if first < d:
-                marks.append((s, s + len(t)))
-            else:
-                out.setdefault(k, []).append((t, d, s))
-        shard = key[0].as_py()
-        found = [(shard, k, _zip(b"".join(x[0] for x in v)), _zip(np.array([(d, s, len(t)) for t, d, s in v], np.int64).T.tobytes()), None, None, None) for k, v in out.items()]
-        if marks:
-            found.append((shard, LOCAL, _ranges(marks), None, None, None, None))
-        return pa.table(_rows(found), names=NAMES).select(["shard", "bucket", "data", "flags"])
-
-    return rows.groupBy("shard").applyInArrow(run, "shard bigint, bucket int, data binary, flags binary")
+        text, of = raw.tobytes(), bucket_of(name[use], buckets)
+        order = np.argsort(of, kind="stable")
+        used, begin = np.unique(of[order], return_index=True)
+        out = []
+        for k, part in zip(used.tolist(), np.split(use[order], begin[1:]) if len(used) else []):
+            number: dict[bytes, int] = {}
+            which = [number.setdefault(text[s : s + c + LENGTH - 1], len(number)) for s, c in zip(start[part].tolist(), n[part].tolist())]
+            entries = np.array([which, ids[doc[part]], start[part]], np.int64)
+            out.append((k, _zip(b"".join(number)), _zip(np.array(list(map(len, number)), np.int64).tobytes()), _zip(entries.tobytes())))
+        return pa.table(
+            {
+                "shard": pa.array([key[0].as_py()] * len(out), pa.int64()),
+                "bucket": pa.array([x[0] for x in out], pa.int32()),
+                **{c: pa.array([x[i] for x in out], pa.binary()) for i, c in enumerate(("data", "sizes", "entries"), 1)},
+            }
+        )
+
+    return rows.groupBy("shard").applyInArrow(run, "shard bigint, bucket int, data binary, sizes binary, entries binary")
 
 
 def marked(found: DataFrame) -> DataFrame:
-    """For each shard, the ranges of bytes that go (data)."""
+    """shard, bucket (MARKS), data: the ranges of bytes that go."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        number, texts, least, entries = {}, [], [], []
-        for r in table.to_pylist():
-            text = _unzip(r["data"])
-            owners, places, sizes = np.frombuffer(_unzip(r["flags"]), np.int64).reshape(3, -1)
+        number: dict[bytes, int] = {}
+        shards, entries = [], []
+        for row in range(table.num_rows):
+            r = {c: table.column(c)[row].as_py() for c in ("shard", "data", "sizes", "entries")}
+            text, sizes = _unzip(r["data"]), np.frombuffer(_unzip(r["sizes"]), np.int64)
             ends = np.cumsum(sizes)
-            for d, p, e, s in zip(owners.tolist(), places.tolist(), ends.tolist(), sizes.tolist()):
-                t = text[e - s : e]
-                k = number.setdefault(t, len(texts))
-                if k == len(texts):
-                    texts.append(t)
-                    least.append(d)
-                else:
-                    least[k] = min(least[k], d)
-                entries.append((r["shard"], k, d, p))
-        owner = least_owner(texts, np.array(least, np.int64))
-        low, high = [int(x.min()) for x in owner], [int(x.max()) for x in owner]
-        out: dict[int, list] = {}
-        for shard, k, d, p in entries:
-            if high[k] < d:
-                out.setdefault(shard, []).append((p, p + len(texts[k])))
-            elif low[k] < d:
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], (owner[k] < d).view(np.int8), [0]))))
-                out.setdefault(shard, []).extend((p + a, p + b + LENGTH - 1) for a, b in edge.reshape(-1, 2).tolist())
-        return pa.table({"shard": pa.array(list(out), pa.int64()), "bucket": pa.array([LOCAL] * len(out), pa.int32()), "data": pa.array(list(map(_ranges, out.values())), pa.binary())})
-
-    return found.where("bucket >= 0").groupBy("bucket").applyInArrow(run, "shard bigint, bucket int, data binary")
-
-
-def removed(packed: DataFrame, marks: DataFrame) -> DataFrame:
+            mine = np.array([number.setdefault(text[e - s : e], len(number)) for e, s in zip(ends.tolist(), sizes.tolist())], np.int64)
+            which, owner, place = np.frombuffer(_unzip(r["entries"]), np.int64).reshape(3, -1)
+            entries.append((mine[which], owner, place))
+            shards.append(r["shard"])
+        texts = list(number)
+        sizes = np.array(list(map(len, texts)), np.int64)
+        least = np.full(len(texts), np.iinfo(np.int64).max)
+        for k, owner, _ in entries:
+            np.minimum.at(least, k, owner)
+        _, _, name, _ = units(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum(sizes))))
+        _, group, times = np.unique(name, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(times[group] > 1)
+        windows = dict(zip(several.tolist(), least_owner([texts[k] for k in several], least[several]))) if len(several) else {}
+        low, high = least.copy(), least.copy()
+        for k, w in windows.items():
+            low[k], high[k] = w.min(), w.max()
+        out = []
+        for k, owner, place in entries:
+            all_of = high[k] < owner
+            ranges = [np.stack((place[all_of], place[all_of] + sizes[k[all_of]]), axis=1)]
+            for i in np.flatnonzero(~all_of & (low[k] < owner)):
+                edge = np.flatnonzero(np.diff(np.concatenate(([0], (windows[int(k[i])] < owner[i]).view(np.int8), [0])))).reshape(-1, 2)
+                ranges.append(edge + np.array([0, LENGTH - 1]) + place[i])
+            out.append(_zip(np.concatenate(ranges).astype(np.int64).tobytes()))
+        return pa.table({"shard": pa.array(shards, pa.int64()), "bucket": pa.array([MARKS] * len(out), pa.int32()), "data": pa.array(out, pa.binary())})
+
+    return found.groupBy("bucket").applyInArrow(run, "shard bigint, bucket int, data binary")
+
+
+def removed(packed: DataFrame, marks: DataFrame, whole: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay) of each document."""
-    rows = packed.where(f"bucket = {TEXT}").select("shard", "bucket", "data", "ids", "sizes").unionByName(marks.select("shard", "bucket", "data"), allowMissingColumns=True)
+    rows = packed.select("shard", F.lit(TEXT).alias("bucket"), "data", "ids", "sizes").unionByName(marks, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = table.to_pylist()
         mine = next(r for r in parts if r["bucket"] == TEXT)
-        raw, at, _ = _text_of(mine)
+        raw, at, ids = _text_of(mine)
+        late = _late(parts, len(ids))
+        ranges = [np.stack((at[:-1][late], at[1:][late]), axis=1)] + [np.frombuffer(_unzip(r["data"]), np.int64).reshape(-1, 2) for r in parts if r["bucket"] == MARKS]
+        a, b = np.concatenate(ranges).T
         edge = np.zeros(len(raw) + 1, np.int64)
-        for r in parts:
-            if r["bucket"] == LOCAL:
-                a, b = np.frombuffer(_unzip(r["data"]), np.int64).reshape(-1, 2).T
-                np.add.at(edge, a, 1)
-                np.add.at(edge, b, -1)
+        np.add.at(edge, a, 1)
+        np.add.at(edge, b, -1)
         gone = np.cumsum(edge[:-1]) > 0
         first = gone.copy()
         first[1:] &= ~gone[:-1]
@@ -392,10 +424,11 @@ def remove_repeats(docs: DataFrame, *, buckets: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept of each row of ``docs``."""
     if buckets is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        buckets = max(12, 1 + size // (2 * SHARD_BYTES))
-    packed = written(sharded(docs, buckets), "shards")
-    found = written(spans(packed, shared_names(packed), copies(packed), buckets), "spans")
-    return removed(packed, marked(found).unionByName(found.where(f"bucket = {LOCAL}").select("shard", "bucket", "data")))
+        buckets = max(12, 1 + size // SHARD_BYTES)
+    packed = written(sharded(docs), "shards")
+    whole = written(copies(packed), "copies")
+    flags = shared_names(named(packed, buckets))
+    return removed(packed, marked(spans(packed, flags, whole, buckets)), whole)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
