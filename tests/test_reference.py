@@ -318,3 +318,49 @@ def test_entry_without_llm():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 40 and json.dumps(list(e.queries()))
+
+
+# -- a whole run -----------------------------------------------------------------------------------
+def test_review_and_summaries():
+    from siftmill.operators import review as R
+
+    good = "- 신한은행 디지털 자산 서비스 출시\n- 기업 고객 대상 송금 지원"
+    body = "신한은행 디지털 자산 서비스 출시 기업 고객 대상 송금 지원 " * 10
+    assert R.one_summary(lambda *a: good, ["m"], "t", body) == (good, None, "m")
+    assert R.one_summary(lambda *a: good, ["m"], "t", None)[1] == "본문 없음" and R.one_summary(lambda *a: good, ["m"], "t", "x")[1].startswith("본문 부족")
+    assert R.one_summary(lambda *a: "- 전혀 없는 이야기를 지어낸 요약\n- 원문과 무관한 내용만 나열", ["m"], "t", body)[1] == "환각 의심"
+    calls, waits = [], []
+
+    def call(model, title, text):
+        calls.append(model)
+        if model == "a":
+            raise R.DailyLimit
+        if len(calls) < 4:
+            raise R.MinuteLimit(3 if len(calls) == 2 else None)
+        return good
+
+    assert R.one_summary(call, ["a", "b"], "t", body, waits.append) == (good, None, "b") and waits == [3, 4.0]
+    assert R.one_summary(lambda *a: "x", ["m"], "t", body)[1].startswith("형식 검증 실패")
+
+
+def test_whole_run(spark, tmp_path):
+    from siftmill.plans.run import Job, run
+
+    body = "하나은행 생성형 AI 상담 서비스를 내놓는 계획을 발표 하나은행 고객 상담 개선 기대. " * 8
+    rows = [
+        (1, 1, "하나은행 AI 상담 시작", body, "p", "2026-07-26", "http://a/1", "", "hana", "s", None, "q"),
+        (2, 2, "하나은행 AI 상담 시작", body, "q", "2026-07-26", "http://a/2", "", "hana", "s", None, "q"),
+        (3, 3, "하나은행 퀴즈", body, "p", "2026-07-26", "http://a/3", "", "hana", "s", None, "q"),
+        (4, 4, "하나은행 AI 상담 시작", body, "p", "2026-07-26", "http://a/1?utm_x=1", "", "hana", "s", None, "q"),
+        (5, 5, "신한은행 디지털 지점 개점 소식 전달", "신한은행 디지털 지점 " * 40, "p", "2026-07-26", "http://a/5", "", "shinhan", "s", None, "q"),
+    ]
+    df = spark.createDataFrame(rows, "id long, seq long, title string, body string, press string, pub_date string, original_url string, naver_url string, menu_id string, subgroup string, sector_hint string, search_keyword string")
+    index = entities.entity_index(spark, CFG, hints=HINTS)
+    store = Store(spark, f"file://{tmp_path}/s")
+    judge = lambda t, b: "NO" if "신한" in t else "YES"
+    said = lambda m, t, b: "- 하나은행 생성형 AI 상담 서비스 발표\n- 하나은행 고객 상담 개선 기대"
+    counts = run(spark, df, Job(LEX, index, names=["하나은행", "신한은행"], judge=judge, summarize=said), store, 1, "2026-07-26T10:00", f"{tmp_path}/p.html")
+    assert counts == {"raw": 4, "final": 1, "excluded": 3, "duplicates": 1, "seen": 0}
+    assert {r.run_id: r.status for r in store.runs().collect()} == {1: "success"}
+    [row] = store.history().collect()
+    assert (row.id, row.company, row.summary.count("\n")) == (1, "하나은행", 1) and "하나은행 AI 상담 시작" in (tmp_path / "p.html").read_text()
