@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .scratch import documents, written
 
 MIN_CHARS, MAX_EDITS, PIECES = 20, 1, 16
-#: Rows of two longs that may be broadcast: some tens of megabytes.
-SMALL = 500_000
+#: Rows of a few numbers that may be broadcast: some megabytes.
+SMALL = 200_000
 LEAST = -(2**63)
 
 
@@ -100,8 +100,11 @@ def near_lines(lines: DataFrame, table: DataFrame, place: Column) -> DataFrame:
 
     line, n = F.col("line"), F.char_length("line")
     # d = 0: as the shorter line or one of two equally long ones; d = 1: as the longer one.
-    pieces = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), _outside(line, n, n - d, _bound(F.lit(i), n - d, PIECES), _bound(F.lit(i + 1), n - d, PIECES)).alias("key")) for d in (0, 1) for i in range(PIECES)))
-    keyed = candidates.select("x", "y", F.explode(pieces).alias("p")).select("x", "y", "p.d", "p.i", "p.key")
+    def piece(k: Column) -> Column:
+        d, i = F.floor(k / PIECES).cast("int"), k % PIECES
+        return F.struct(d.alias("d"), i.alias("i"), _outside(line, n, n - d, _bound(i, n - d, PIECES), _bound(i + 1, n - d, PIECES)).alias("key"))
+
+    keyed = candidates.select("x", "y", F.explode(F.transform(F.sequence(F.lit(0), F.lit(2 * PIECES - 1)), piece)).alias("p")).select("x", "y", "p.d", "p.i", "p.key")
     close = keyed.join(shared(keyed), "key", "left_semi").select("x", "y", "d", "i").join(candidates, ["x", "y"])
 
     m = n - F.col("d")
