@@ -19,6 +19,7 @@ from ..operators.clusters import components, stars
 from ..operators.dedup import batch_clusters, features, seen_exactly
 from ..operators.entities import matches, packed
 from ..operators.pairs import near_fingerprints, token_pairs
+from ..sources.store import stage
 
 #: Fixed for the queries: words of the synthetic text in place of a site's lexicons.
 LEXICON = ("the", "with", "ouer", "tion", "ement", "ción", "keit")
@@ -250,10 +251,10 @@ def body_lead_filter(spark, sf_dir):
 
 # -- similarity ------------------------------------------------------------------------------------
 def _tokened(spark, sf_dir):
-    return articles(spark, sf_dir).select("id", "lang", "press", "pub_date", T.title_tokens(T.normalize_title(F.left("title", F.lit(160)))).alias("tokens"))
+    return articles(spark, sf_dir).select("id", "lang", "press", "pub_date", T.title_tokens(T.normalize_title("title")).alias("tokens"))
 
 
-TOK = f"tok AS (SELECT id, lang, press, pub_date, {TOKENS.format(NORM.format('left(title, 160)'))} AS tokens FROM art)"
+TOK = f"tok AS (SELECT id, lang, press, pub_date, {TOKENS.format(NORM.format('title'))} AS tokens FROM art)"
 PAIRS = f"""pairs AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.tokens, b.tokens)) AS common, least(len(a.tokens), len(b.tokens)) AS smaller
   FROM tok a JOIN tok b ON a.id < b.id AND a.lang = b.lang AND len(a.tokens) >= 2 AND len(b.tokens) >= 2
   WHERE {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.5)"""
@@ -300,8 +301,6 @@ def simhash_fp(spark, sf_dir):
 @query(f"""WITH {FP}, d AS (SELECT DISTINCT fp FROM fps WHERE fp <> 0)
 SELECT a.fp AS l, b.fp AS r, bit_count(xor(a.fp, b.fp))::INT AS distance FROM d a JOIN d b ON a.fp < b.fp WHERE bit_count(xor(a.fp, b.fp)) <= 6""")
 def hamming_pairs(spark, sf_dir):
-    from ..sources.store import stage
-
     fp = stage(_prints(spark, sf_dir), "fingerprints")
     return near_fingerprints(fp, fp, 6).where("l < r").select("l", "r", F.col("distance").cast("int").alias("distance"))
 
@@ -317,8 +316,6 @@ def history_exact(spark, sf_dir):
 @query(f"""WITH {FP}, old AS (SELECT * FROM fps WHERE id % 3 = 0), new AS (SELECT * FROM fps WHERE id % 3 <> 0)
 SELECT new.id, min(old.id) AS ref FROM new JOIN old ON bit_count(xor(new.fp, old.fp)) <= 3 WHERE new.fp <> 0 AND old.fp <> 0 GROUP BY new.id""")
 def history_near_dup(spark, sf_dir):
-    from ..sources.store import stage
-
     fp = stage(_prints(spark, sf_dir), "fingerprints")
     new, old = fp.where("id % 3 != 0"), fp.where("id % 3 = 0")
     near = near_fingerprints(new, old, 3)
@@ -347,15 +344,18 @@ def cluster_rep(spark, sf_dir):
 
 @query()
 def batch_dedup(spark, sf_dir):
-    a = articles(spark, sf_dir).where(F.char_length("title") <= 60).withColumn("seq", F.col("id"))
-    return batch_clusters(features(a))
+    p = table(spark, sf_dir, "pages")
+    title = T.strip_tags(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 30).cast("int"))
+    a = p.select(F.col("page_id").alias("id"), F.col("page_id").alias("seq"), title.alias("title"), T.article_text("html").alias("body"), day.alias("pub_date"))
+    return batch_clusters(stage(features(a), "features"))
 
 
-@query(f"""WITH RECURSIVE {ART}, d AS (SELECT id, list_distinct(regexp_extract_all({NORM.format('left(title, 160)')}, '[a-z]{{2,}}')) AS tokens FROM art),
+@query(f"""WITH RECURSIVE {ART}, d AS (SELECT id, list_distinct(regexp_extract_all({NORM.format('title')}, '[a-z]{{2,}}')) AS tokens FROM art),
 p AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM d a JOIN d b ON a.id < b.id WHERE len(a.tokens) >= 5 AND len(b.tokens) >= 5 AND {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.9)
 SELECT a, b FROM p""")
 def cleanup_pairs(spark, sf_dir):
-    t = articles(spark, sf_dir).select("id", F.array_distinct(F.regexp_extract_all(T.normalize_title(F.left("title", F.lit(160))), F.lit("([a-z]{2,})"), F.lit(0))).alias("tokens"))
+    t = articles(spark, sf_dir).select("id", F.array_distinct(F.regexp_extract_all(T.normalize_title("title"), F.lit("([a-z]{2,})"), F.lit(0))).alias("tokens"))
     return token_pairs(t.where(F.size("tokens") >= 5), 0.9).select("a", "b")
 
 
