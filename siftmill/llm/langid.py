@@ -7,8 +7,8 @@ whose codeword has the least logistic loss under these margins wins. The score i
 the winner's share of exp(-loss); a text whose two best languages are within
 ``AMBIGUOUS`` of each other in that share is flagged.
 
-The classifiers are fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of
-the doc_id, of which executors send n-gram counts, not texts. Everything else
+The classifiers are fitted on at most ``SAMPLE`` different labelled rows, chosen by a
+hash of doc_id and text, of which executors send n-gram counts, not texts. Everything else
 covers all rows and whole texts.
 
 Cases: a text that is null or has no letter is `und` with score 0; without labelled
@@ -138,8 +138,9 @@ def learn(docs: DataFrame, *, sample: int = SAMPLE, fold: int = FOLD) -> Model |
     )
     rows = rows.where(F.regexp_like("text", F.lit(r"\p{L}")))
     # The sample's last draw comes from the draws alone, so that no task gathers texts.
-    last = rows.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
-    chosen = rows.where(F.col("draw") <= F.lit(last)).select("text", "lang")
+    # A row that repeats is one draw, however often it does.
+    last = rows.select("draw").distinct().orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
+    chosen = rows.where(F.col("draw") <= F.lit(last)).select("text", "lang", "draw")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,11 +148,13 @@ def learn(docs: DataFrame, *, sample: int = SAMPLE, fold: int = FOLD) -> Model |
                 f = features(*utf8(part.column(0)))
                 used = [np.flatnonzero(r).astype(np.int32) for r in f]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array([u.tobytes() for u in used], pa.binary()), pa.array([r[u].tobytes() for r, u in zip(f, used)], pa.binary())],
-                    names=["lang", "slots", "counts"],
+                    [part.column(1), part.column(2), pa.array([u.tobytes() for u in used], pa.binary()), pa.array([r[u].tobytes() for r, u in zip(f, used)], pa.binary())],
+                    names=["lang", "draw", "slots", "counts"],
                 )
 
-    found = shipped(chosen).mapInArrow(count, "lang string, slots binary, counts binary").collect() if last is not None else []
+    counted = shipped(chosen).mapInArrow(count, "lang string, draw bigint, slots binary, counts binary")
+    found = counted.groupBy("draw").agg(F.min(F.struct("lang", "slots", "counts")).alias("r")).select("draw", "r.*").collect() if last is not None else []
+    found.sort(key=lambda r: r["draw"])
     if not found:
         return None
     x = np.zeros((len(found), WIDTH), np.float32)

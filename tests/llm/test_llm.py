@@ -487,6 +487,14 @@ def test_language(spark, docs, all_rows):
     assert {r["lang_pred"] for r in collected(langid.identify(docs, one))} == {"fr", "und"}
 
 
+def test_language_sample_counts_repeated_rows_once(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:3]
+    rows = list(zip(ids, ("bonjour le monde", "hello the world", "hallo die Welt"), ("fr", "en", "de")))
+    for hot in range(3):
+        df = spark.createDataFrame(rows + rows[hot : hot + 1] * 50, "doc_id long, text string, lang string")
+        assert langid.learn(df, sample=3).langs == ("de", "en", "fr")
+
+
 # -- pipeline -------------------------------------------------------------------
 def test_pipeline(spark, docs, library):
     import corpus_pipeline as cp
