@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import documents, shipped, written
@@ -56,16 +56,17 @@ def fingerprint(raw: bytes) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) for each row."""
+def fingerprints(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) for each row, and ``more``."""
+    rows = docs.select("text", "doc_id", *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.array([fingerprint((t or "").encode("utf-8", "replace")) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint((t or "").encode("utf-8", "replace")) for t in b.column(0).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found.view(np.int64))], names=[*b.schema.names[1:], "fp"])
 
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return shipped(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return shipped(rows).mapInArrow(run, f"{kept}, fp bigint")
 
 
 # -- keys -------------------------------------------------------------------
@@ -209,12 +210,30 @@ def near_groups(docs: DataFrame, *, most: int = HOT) -> DataFrame:
     return marked.join(roots, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component; rows that repeat it are one document, of which the first text stays."""
-    first = near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    there = first.withColumnRenamed("doc_id", "__first_id")
-    left = docs.join(there, F.col("doc_id").eqNullSafe(F.col("__first_id")), "left_semi")
-    return left.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__row = 1").select(*docs.columns)
+# -- one row of each component ----------------------------------------------
+def row_of(docs: DataFrame) -> Column:
+    """A hash of a whole row; rows with the same one are alike in all columns."""
+    return F.xxhash64(*docs.columns, *(F.isnull(c) for c in docs.columns))
+
+
+def first_rows(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each root of ``members`` (doc_id, row, root): by doc_id, nulls last, then by the row's hash."""
+    times = members.groupBy("root", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
+    best = times.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "n")).alias("b"))
+    won = written(best.select(F.col("b.doc_id").alias("__id"), F.col("b.row").alias("__row"), F.col("b.n").alias("__n")), "won")
+    rows = docs.withColumn("__hash", row_of(docs))
+    of = lambda won: rows.join(won, (F.col("__hash") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id"))).select(*docs.columns)
+    return of(won.where("__n = 1")).unionByName(of(won.where("__n > 1")).distinct())
+
+
+def keep_first(docs: DataFrame, *, most: int = HOT) -> DataFrame:
+    """One row of ``docs`` for each component, chosen as in ``first_rows``, whatever doc_ids repeat or are null."""
+    marked = written(fingerprints(docs, row_of(docs).alias("row")), "fingerprints")
+    distinct = written(marked.select("fp").distinct(), "distinct")
+    named = written(links(distinct, most=most), "links")
+    if named.isEmpty():
+        return first_rows(docs, marked.withColumnRenamed("fp", "root"))
+    return first_rows(docs, marked.join(components(named), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")))
 
 
 def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,6 +167,25 @@ def test_simhash_keeps_one(spark):
     assert not simhash.near_groups(empty(spark)).collect()
 
 
+#: Five components: rows without a doc_id, and a doc_id with two texts, one of which is a copy.
+SHARED_IDS = [
+    (None, "one text of its own that no other row has", "", "", 0), (None, "quite another text without any doc_id at all", "", "", 0),
+    (None, "quite another text without any doc_id at all", "", "", 0), (None, "a named document of which there is one copy", "", "", 0),
+    (4, "a named document of which there is one copy", "", "", 0), (7, "a named document of which there is one copy", "", "", 0),
+    (7, "zebras and the last of the texts, which only this row has", None, "x", 0), (7, "zebras and the last of the texts, which only this row has", "x", None, 0),
+    (8, "a row that is there twice, alike in all columns", "", "", 0), (8, "a row that is there twice, alike in all columns", "", "", 0),
+]
+
+
+def first_of_shared_ids(keep_first, spark):
+    got = keep_first(spark.createDataFrame(SHARED_IDS, SCHEMA).repartition(4)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"].split()[0]) for r in got) == [(0, "one"), (0, "quite"), (4, "a"), (7, "zebras"), (8, "a")]
+
+
+def test_simhash_keeps_one_row_of_each_component(spark):
+    first_of_shared_ids(simhash.keep_first, spark)
+
+
 # -- 3 ----------------------------------------------------------------------
 def test_targets(spark):
     def by_hand(sizes):
