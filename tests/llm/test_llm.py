@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from siftmill.llm import bpe, exact, langid, lines, lm, mixing, pii, quality, simhash, suffix
+from siftmill.llm import bpe, exact, jaccard, langid, lines, lm, mixing, pii, quality, simhash, suffix
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -186,6 +186,50 @@ def test_simhash_keeps_one_row_of_each_component(spark):
     first_of_shared_ids(simhash.keep_first, spark)
 
 
+# -- near dedup by Jaccard similarity ---------------------------------------
+def five_words(t):
+    w = t.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def near_copies():
+    """Texts with copies of which one to a few words are other ones, chains of them, and many copies of one text that link by it only."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("abcdefghij", k=6))
+    edited = lambda w, ks: [word() if i in ks else x for i, x in enumerate(w)]
+    texts = []
+    for _ in range(60):
+        w = [word() for _ in range(r.choice((3, 8, 60, 200)))]
+        texts.append(w)
+        for _ in range(3):
+            texts.append(edited(r.choice((w, texts[-1])), set(r.sample(range(len(w)), r.randint(0, min(len(w), 5))))))
+    hub = [word() for _ in range(60)]
+    texts += [hub] + [edited(hub, {k}) for k in range(4, 56)]  # with the hub 51/61, with each other less than 0.8 or more
+    return [(k, " ".join(w)) for k, w in enumerate(texts)]
+
+
+def test_jaccard_keeps_one_of_each_component(spark):
+    texts = near_copies()
+    sets, root = [five_words(t) for _, t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    d = spark.createDataFrame([(k, t, "", "", 0) for k, t in texts], SCHEMA).repartition(4)
+    import corpus_pipeline as cp
+
+    assert sorted(r["doc_id"] for r in cp.near_dedup(spark, d, SF).collect()) == sorted(set(root))
+    first_of_shared_ids(jaccard.keep_first, spark)
+
+
+def test_jaccard_bucket_links():
+    sets = [np.array(sorted(s), np.uint64) for s in (range(20), range(1, 21), range(50, 70), range(2, 22), range(51, 71))]
+    got = jaccard.links_in([0, 1, 2, 3, 4], np.array([0.3, 0.3, 0.3, 0.3, 0.3]), sets, 0.8)
+    assert got == [(0, 1), (0, 3), (2, 4)]
+    assert not jaccard.links_in([0, 0], np.array([0.9, 0.9]), sets[:2], 0.8)
+
+
 # -- 3 ----------------------------------------------------------------------
 def test_targets(spark):
     def by_hand(sizes):
