@@ -1,14 +1,15 @@
 """Language identification with error-correcting output codes.
 
 Each language has a codeword of bits; for each bit a binary linear classifier over
-hashed byte n-grams (1 to 3 bytes of the lower-cased text) is trained by logistic
+hashed byte n-grams (2 and 3 bytes of the lower-cased text,
+shorter ones only at its start) is trained by logistic
 regression. A text gets its bits' margins from all of its n-grams; the language
 whose codeword has the least logistic loss under these margins wins. The score is
 the winner's share of exp(-loss); a text whose two best languages are within
 ``AMBIGUOUS`` of each other in that share is flagged.
 
-The classifiers are fitted on at most ``SAMPLE`` different labelled rows, chosen by a
-hash of doc_id and text, of which executors send n-gram counts, not texts. Everything else
+The classifiers are fitted on at most ``SAMPLE`` different labelled rows, as many of each
+language at most (one at least, so every language is there), chosen by a hash of doc_id and text, of which executors send n-gram counts, not texts. Everything else
 covers all rows and whole texts.
 
 Cases: a text that is null or has no letter is `und` with score 0; without labelled
@@ -25,11 +26,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .arrow import slices, utf8
-from .scratch import documents, shipped
+from .scratch import documents, shipped, written
 
 BITS, SAMPLE, AMBIGUOUS, FOLD = 13, 2000, 0.2, 5
 WIDTH = 1 << BITS
@@ -137,10 +138,16 @@ def learn(docs: DataFrame, *, sample: int = SAMPLE, fold: int = FOLD) -> Model |
         "text", "lang", F.xxhash64("doc_id", "text").alias("draw")
     )
     rows = rows.where(F.regexp_like("text", F.lit(r"\p{L}")))
-    # The sample's last draw comes from the draws alone, so that no task gathers texts.
+    # The sample's last draw of each language comes from the draws alone, so that no task gathers texts.
     # A row that repeats is one draw, however often it does.
-    last = rows.select("draw").distinct().orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
-    chosen = rows.where(F.col("draw") <= F.lit(last)).select("text", "lang", "draw")
+    draws = written(rows.select("lang", "draw").distinct(), "draws")
+    each = max(1, sample // max(1, draws.select("lang").distinct().count()))
+    # First within the parts of a language, so that a frequent one isn't sorted in one task.
+    least = draws.withColumn("part", F.spark_partition_id())
+    for by in (("lang", "part"), ("lang",)):
+        least = least.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("draw"))).where(F.col("n") <= each).drop("n")
+    last = written(least.groupBy("lang").agg(F.max("draw").alias("last")), "last")
+    chosen = rows.join(F.broadcast(last), "lang").where("draw <= last").select("text", "lang", "draw")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,8 +160,8 @@ def learn(docs: DataFrame, *, sample: int = SAMPLE, fold: int = FOLD) -> Model |
                 )
 
     counted = shipped(chosen).mapInArrow(count, "lang string, draw bigint, slots binary, counts binary")
-    found = counted.groupBy("draw").agg(F.min(F.struct("lang", "slots", "counts")).alias("r")).select("draw", "r.*").collect() if last is not None else []
-    found.sort(key=lambda r: r["draw"])
+    found = counted.groupBy("lang", "draw").agg(F.min(F.struct("slots", "counts")).alias("r")).select("lang", "draw", "r.*").collect()
+    found.sort(key=lambda r: (r["draw"], r["lang"]))
     if not found:
         return None
     x = np.zeros((len(found), WIDTH), np.float32)

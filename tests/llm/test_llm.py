@@ -558,6 +558,12 @@ def test_language_sample_counts_repeated_rows_once(spark):
         assert langid.learn(df, sample=3).langs == ("de", "en", "fr")
 
 
+def test_language_sample_has_every_language(spark):
+    ids = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"the world number {i}", "en") for i in ids[2:]] + [(ids[0], "bonjour le monde", "fr"), (ids[1], "hallo die Welt", "de")]
+    assert langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=6).langs == ("de", "en", "fr")
+
+
 # -- pipeline -------------------------------------------------------------------
 def test_pipeline(spark, docs, library):
     import corpus_pipeline as cp
