@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.store import stage
+from ..sources.store import stage, unstage
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -16,7 +16,8 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
 
     Each round links every node to the smallest one it knows, and neighbours among
     themselves to the smallest of them, until nothing changes; a few rounds more for
-    twice the length. Rounds are written, so a round never repeats those before it.
+    twice the length. Rounds are written, so a round never repeats those before it, and
+    the round before is deleted.
     """
     links = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
     seen = None
@@ -26,7 +27,8 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
         outward = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lowest = outward.groupBy("a").agg(F.min("b").alias("m"))
         inward = outward.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lowest.select("a", F.col("m").alias("b")))
-        links = stage(inward.where("a != b").distinct(), "links")
+        before, links = links, stage(inward.where("a != b").distinct(), "links")
+        unstage(before)
         now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == seen:
             break
@@ -38,40 +40,54 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
 
 
 def ordered_clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """id, cluster: as ``class_clusters``, for edges (a, b) between rows."""
+    return class_clusters(rows, rows.select("id", F.col("id").alias("cls")), edges.select(F.col("a").alias("x"), F.col("b").alias("y")))
+
+
+def class_clusters(rows: DataFrame, members: DataFrame, links: DataFrame) -> DataFrame:
     """id, cluster: each row in its order joins the first cluster that has a row it matches and whose first row shares a company.
 
     ``rows``: id, seq, companies (array), alone (rows that open a cluster and never join one).
-    ``edges``: a, b, where b comes later and matches a. A row only joins through a
-    match, so clusters never leave a component of the edges, and components are
-    worked on in parallel. A cluster is named by its first row.
+    Rows match if they are ``members`` (id, cls) of one class or of classes that ``links``
+    (x, y) connect, so rows that are alike are never paired. A row only joins through a
+    match, so clusters never leave a component, and components are worked on in parallel;
+    one component is one task's work, as the rule takes its rows one after the other. A
+    cluster is named by its first row.
     """
-    in_component = stage(rows.join(components(edges, rows), "id"), "components")
-    parts = edges.join(in_component.select(F.col("id").alias("b"), "component"), "b").groupBy("component").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
-    parts = stage(parts, "pairs")
-    lone = in_component.join(parts.select("component"), "component", "left_anti").select("id", F.col("id").alias("cluster"))
+    members, links = stage(members.distinct(), "members"), stage(links.distinct(), "links")
+    node, knot = lambda c: F.col(c) * 2, lambda c: F.col(c) * 2 + 1
+    edges = members.select(node("id").alias("a"), knot("cls").alias("b")).unionByName(links.select(knot("x").alias("a"), knot("y").alias("b")))
+    of = stage(components(edges), "components")
+    placed = rows.join(of.where("id % 2 = 0").select(F.expr("id div 2").alias("id"), "component"), "id", "left")
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND component IS NOT NULL").select("component")
+    several = stage(placed.join(sizes, "component"), "several")
+    lone = placed.join(sizes, "component", "left_anti").select("id", F.col("id").alias("cluster"))
+    mine = several.join(members.groupBy("id").agg(F.collect_list("cls").alias("classes")), "id")  # a row has a class for each test
+    theirs = links.join(of.select(F.col("id").alias("__node"), "component"), knot("x") == F.col("__node")).select("component", "x", "y")
 
     def assign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
+        if left.empty:
             return pd.DataFrame({"id": [], "cluster": []}).astype("int64")
-        earlier: dict = {}
-        for p in right["pairs"].iloc[0]:
-            earlier.setdefault(p["b"], set()).add(p["a"])
-        order, of, first = [], {}, {}
+        linked: dict[int, set[int]] = {}
+        for x, y in zip(right["x"].tolist(), right["y"].tolist()):
+            linked.setdefault(x, set()).add(y)
+            linked.setdefault(y, set()).add(x)
+        of, first, born, where = {}, {}, {}, {}
         for r in left.sort_values("seq").itertuples():
-            names, chosen = set(r.companies if r.companies is not None else ()), None
-            touched = {of[x] for x in earlier.get(r.id, ()) if x in of}
-            for c in order if touched and not r.alone else ():
-                if c in touched and not (first[c] and names and not (first[c] & names)):
+            names, chosen = set(r.companies if r.companies is not None else ()), r.id
+            touched = set() if r.alone else {c for k in r.classes for near in (k, *linked.get(k, ())) for c in where.get(near, ())}
+            for c in sorted(touched, key=born.__getitem__):
+                if not (first[c] and names and not (first[c] & names)):
                     chosen = c
                     break
-            if chosen is None:
-                chosen = r.id
-                order.append(chosen)
-                first[chosen] = names
+            if chosen == r.id:
+                born[chosen], first[chosen] = len(born), names
             of[r.id] = chosen
+            for k in r.classes:
+                where.setdefault(k, set()).add(chosen)
         return pd.DataFrame({"id": list(of), "cluster": list(of.values())})
 
-    joined = in_component.groupBy("component").cogroup(parts.groupBy("component")).applyInPandas(assign, "id long, cluster long")
+    joined = mine.groupBy("component").cogroup(theirs.groupBy("component")).applyInPandas(assign, "id long, cluster long")
     return joined.unionByName(lone)
 
 
@@ -99,5 +115,6 @@ def stars(rows: DataFrame, edges: DataFrame) -> DataFrame:
             F.min(F.when(F.col("is_head").isNull(), F.col("a_seq"))).alias("open"),
         )
         ready = state.where("open IS NULL OR (head IS NOT NULL AND head.a_seq < open)").select(F.col("b").alias("id"), F.coalesce("head.a", "b").alias("head"))
-        settled = stage(settled.unionByName(ready), "heads")
+        before, settled = settled, stage(settled.unionByName(ready), "heads")
+        unstage(before)
     return settled

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col
+from ..sources.store import stage
 
 
 # -- first, latest, chunks --------------------------------------------------------
@@ -17,16 +18,19 @@ def first_seen(df: DataFrame, key: Sequence[str], order: Sequence[Column | str])
 
 
 def union_sources(*sources: DataFrame, key: str, seq: str) -> DataFrame:
-    """All rows, columns that a source lacks as null; of equal keys the one from the earlier source, then by ``seq``."""
+    """All rows, columns that a source lacks as null; of equal keys the one from the earlier source (__from), then by ``seq``."""
     out = sources[0].withColumn("__source", F.lit(0))
     for i, s in enumerate(sources[1:], 1):
         out = out.unionByName(s.withColumn("__source", F.lit(i)), allowMissingColumns=True)
-    return first_seen(out, [key], ["__source", seq]).drop("__source")
+    return first_seen(out, [key], ["__source", seq]).withColumnRenamed("__source", "__from")
 
 
 def chunk_ids(df: DataFrame, seq: str, size: int = 40) -> DataFrame:
-    """chunk: position in ``seq`` by ``size``. Positions are counted in ranges of seq, then shifted by the rows of the ranges before."""
-    part = df.repartitionByRange(F.col(seq)).withColumn("__part", F.spark_partition_id())
+    """chunk: position in ``seq`` by ``size``. Positions are counted in ranges of seq, then shifted by the rows of the ranges before.
+
+    The ranges are written once, so that counts and numbers are of the same ones.
+    """
+    part = stage(df.repartitionByRange(F.col(seq)).withColumn("__part", F.spark_partition_id()), "ranges")
     counts = part.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     before = counts.withColumn("__before", F.coalesce(F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__rows")
     numbered = part.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(seq)))
@@ -60,12 +64,6 @@ def window_start(last: Column | str, now: Column | str, *, hours: int = 24, over
     return F.when(col(last).isNull(), n - F.expr(f"INTERVAL {hours} HOURS")).otherwise(capped)
 
 
-def window_cut(last: Column | str, now: Column | str, *, overlap_minutes: int = 20, most_hours: int = 72) -> Column:
-    """Where the search should have begun, if the cap cut it off; else null."""
-    start = col(last) - F.expr(f"INTERVAL {overlap_minutes} MINUTES")
-    return F.when(start < col(now) - F.expr(f"INTERVAL {most_hours} HOURS"), start)
-
-
 # -- lookups -----------------------------------------------------------------------------
 def not_delivered(df: DataFrame, delivered: DataFrame, key: str) -> DataFrame:
     return df.join(delivered.select(key).distinct(), key, "left_anti")

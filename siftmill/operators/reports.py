@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import html
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import DUPLICATE, SEEN
-from ..functions.text import col, overlap
+from ..functions.text import col
+
+
+# Weekdays, and prefixes of reasons that a rebuilt audit rewrites.
+WEEKDAYS = ("월", "화", "수", "목", "금", "토", "일")
+NEUTRAL = ((DUPLICATE, f"[재구성] 원사유: {DUPLICATE}"), (SEEN, f"[재구성] 원사유: {SEEN}"))
 
 
 def fate(why: Column | str = "exclude_reason", excluded: Column | str = "excluded") -> Column:
@@ -24,10 +30,13 @@ def audit(screened: DataFrame) -> DataFrame:
 
 
 def seen_groups(seen: DataFrame, day: str, company: str, ref: str, item: str) -> DataFrame:
-    """day, company, ref, n, items: days from the latest, groups by size. An item list is as long as its group is."""
+    """day, company, ref, n, item: a row for each item with its group's size; days from the latest, groups by size."""
     keys = [F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("날짜미상")).alias("day"), F.coalesce(company, F.lit("기타")).alias("company"), F.col(ref).alias("ref")]
-    grouped = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(item)).alias("items"))
-    return grouped.orderBy(F.col("day").desc(), F.col("n").desc(), "company", "ref")
+    rows = seen.select(*keys, F.col(item).alias("item"))
+    named = ("day", "company", "ref")
+    sizes = rows.groupBy(*(F.col(c).alias(f"__{c}") for c in named)).agg(F.count(F.lit(1)).alias("n"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in named))
+    return rows.join(sizes, same).select(*named, "n", "item").orderBy(F.col("day").desc(), F.col("n").desc(), "company", "ref", "item")
 
 
 def loose_tokens(title: Column | str) -> Column:
@@ -54,9 +63,44 @@ def run_log(history: DataFrame) -> DataFrame:
     return history.withColumn("cumulative", F.sum("delivered").over(Window.orderBy("run_id").rowsBetween(Window.unboundedPreceding, 0))).orderBy(F.col("run_id").desc())
 
 
-def daily_list(rows: DataFrame, at: str, order: Sequence[Column]) -> DataFrame:
-    """day, n, items: one row a day, items in ``order`` of (a struct's first fields)."""
-    return rows.groupBy(F.to_date(at).alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct(*order)), asc=False).alias("items")).orderBy(F.col("day").desc())
+def weekday(at: Column | str) -> Column:
+    """A day with its weekday, Monday first, as the list view shows it."""
+    names = F.array(*map(F.lit, WEEKDAYS))
+    return F.concat(F.date_format(col(at), "yyyy-MM-dd"), F.lit(" ("), F.element_at(names, F.weekday(col(at)) + 1), F.lit(")"))
+
+
+def export(rows: DataFrame, labels: dict[str, str] = {}) -> DataFrame:
+    """The cells of the CSV export, latest first: pub_date, company, fin_group, title, summary, press, url, run_id of rows that are not excluded."""
+    url = F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url")
+    kept = rows.where("NOT excluded").orderBy(F.col("pub_date").desc(), F.col("id").desc())
+    out = kept.select("pub_date", "company", "fin_group", "title", "summary", "press", url, "run_id")
+    return csv_cells(out, dates=["pub_date"], lists=["summary"], labels={"fin_group": labels} if labels else {})
+
+
+def rebuilt_audit(excluded: DataFrame, delivered: DataFrame, since: str) -> DataFrame:
+    """title, url, press, excluded, exclude_reason of what was collected from ``since`` on: the excluded log, reasons made neutral, and the delivered rows."""
+    gone = excluded.where(F.col("collected_at") >= F.lit(since)).select(
+        "title", "url", "press", F.lit(True).alias("excluded"), neutral(F.coalesce("exclude_reason", F.lit("사유 미상")), NEUTRAL).alias("exclude_reason")
+    )
+    kept = delivered.where(F.col("collected_at") >= F.lit(since)).select("title", F.col("naver_url").alias("url"), "press", F.lit(False).alias("excluded"), F.lit(None).cast("string").alias("exclude_reason"))
+    return gone.unionByName(kept)
+
+
+def to_retry(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """Delivered rows (id, ..., pub_date, summary_ok) without a summary, latest first, at most ``limit``."""
+    failed = rows.where(~F.coalesce(F.col("summary_ok"), F.lit(False))).orderBy(F.col("pub_date").desc(), F.col("id").desc())
+    return failed.limit(limit) if limit else failed
+
+
+def left_to_retry(rows: DataFrame) -> DataFrame:
+    """n: how many delivered rows have no summary."""
+    return rows.agg(F.count_if(~F.coalesce(F.col("summary_ok"), F.lit(False))).alias("n"))
+
+
+def sector_counts(counts: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows of ``tab_counts`` in the views' order: by tab, its sum first, then sectors in a fixed order, others after them by name."""
+    place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, order)), F.col("sector")), F.lit(0).cast("long")), F.lit(len(order) + 1).cast("long"))
+    return counts.withColumn("place", F.when(F.col("sector").isNull(), 0).otherwise(place)).orderBy(F.col("tab").asc_nulls_first(), "place", "sector")
 
 
 def search(rows: DataFrame, text: str, *, tab: str | None = None, sector: str | None = None, columns: Sequence[str] = ("title", "press", "summary", "matched_keywords")) -> DataFrame:
@@ -80,7 +124,7 @@ def csv_cells(df: DataFrame, dates: Sequence[str] = (), lists: Sequence[str] = (
     for c in dates:
         df = df.withColumn(c, F.left(F.replace(F.col(c).cast("string"), F.lit("T"), F.lit(" ")), F.lit(16)))
     for c in lists:
-        lines = F.filter(F.transform(F.split(c, "\n"), lambda x: F.regexp_replace(F.trim(x), r"^- *", "")), lambda x: x != "")
+        lines = F.transform(F.filter(F.split(c, "\n"), lambda x: F.trim(x) != ""), lambda x: F.trim(F.regexp_replace(F.trim(x), r"^[- ]+", "")))
         df = df.withColumn(c, F.array_join(lines, " / "))
     for c, names in labels.items():
         df = df.withColumn(c, F.coalesce(F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[F.col(c)], F.col(c)))
@@ -104,8 +148,3 @@ def render(title: str, tabs: Sequence, items: Sequence, log: Sequence, counts: d
     sums = "".join(f"<li>{esc(k)}: {v}</li>" for k, v in counts.items())
     return PAGE.format(title=esc(title), body=f'<input id="q"><ul>{head}</ul>{cards}<table>{runs}</table><ul>{sums}</ul>')
 
-
-def verify_pairs(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges (a, b) with both titles and their token overlap, for a look at thresholds. ``rows``: id, title, tokens."""
-    x, y = (rows.select(F.col("id").alias(k), F.col("title").alias(f"title_{k}"), F.col("tokens").alias(f"tokens_{k}")) for k in "ab")
-    return edges.join(x, "a").join(y, "b").select("a", "b", "title_a", "title_b", F.round(overlap("tokens_a", "tokens_b"), 2).alias("overlap"))

@@ -10,12 +10,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fixed import BAD_ENDINGS
-from ..functions.summaries import compact, fixed_ending
-from ..sources.store import shipped
+from ..functions.summaries import compact, is_grounded, validated
+from ..sources.store import shipped, stage
 
-# Limits of a summary call.
-LEAST_BODY, BODY_CHARS, MAX_FORMAT, MAX_WAITS, MAX_TRIES, LEAST_SHARE = 200, 1100, 2, 6, 7, 0.55
+# Limits of a summary call; the reasons below are fixed as well.
+LEAST_BODY, BODY_CHARS, MAX_FORMAT, MAX_WAITS, LEAST_SHARE = 200, 1100, 2, 6, 0.55
 
 
 class DailyLimit(Exception):
@@ -35,80 +34,60 @@ def extractive(model: str, title: str, body: str) -> str:
     return "\n".join(f"- {s}" for s in re.split(r"(?<=[.!?다])\s+", body)[:3])
 
 
-def checked(text: str, least_lines: int = 2, most_lines: int = 4, first_chars: int = 14, chars: int = 14) -> tuple[str | None, str | None]:
-    """(usable text, None) or (None, why not)."""
-    lines = [x.strip() for x in text.strip().splitlines() if x.strip()]
-    lines = ["- " + x.lstrip("*-• ").strip() if x[0] in "*-•" else x for x in lines][:most_lines]
-    if len(lines) < least_lines:
-        return None, f"줄 수 부족({len(lines)}줄)"
-    out: list[str] = []
-    for x in lines:
-        if not x.startswith("-"):
-            return None, f"불릿 없음: {x[:18]}"
-        body = fixed_ending(x.lstrip("- ").strip())
-        bad = next((e for e in BAD_ENDINGS if body.endswith(e)), None)
-        if bad:
-            return None, f"어미 미보정('{bad}'): {body[-16:]}"
-        if len(body) + 2 < (chars if out else first_chars):
-            return None, f"짧은 줄({len(body) + 2}자): {body[:16]}"
-        out.append(f"- {body}")
-    return "\n".join(out), None
-
-
-def grounded(summary: str, source: str) -> bool:
-    tokens = re.findall(r"[가-힣]{2,}|[A-Za-z]{2,}", summary)
-    source = source.lower()
-    return bool(tokens) and sum(t.lower() in source for t in tokens) / len(tokens) >= LEAST_SHARE
-
-
-def one_summary(call: Callable[[str, str, str], str], models: Sequence[str], title: str, body: str | None, wait: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None, str | None]:
-    """(summary, why there is none, model). One document a call; another model only when the day's calls are used up."""
-    if not body:
-        return None, "본문 없음", None
-    if len(body) < LEAST_BODY:
-        return None, f"본문 부족({len(body)}자)", None
+def answer(call: Callable[[str, str, str], str], models: Sequence[str], title: str, body: str, wait: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None, str | None]:
+    """(text, why there is none, model): the first model that has calls left, asked again after a minute's limit."""
     for model in models:
-        formats = waits = 0
-        why = "시도 초과"
-        for _ in range(MAX_TRIES):
-            try:
-                text = call(model, title, body)
-            except DailyLimit:
-                why = "레이트리밋(일일)"
-                break
-            except MinuteLimit as e:
-                waits += 1
-                why = "분당한도"
-                if waits > MAX_WAITS:
-                    break
-                wait(min(e.seconds if e.seconds is not None else 2.0 * 2 ** (waits - 1), 30.0))
-                continue
-            found, problem = checked(text)
-            if found is None:
-                formats += 1
-                why = f"형식 검증 실패: {problem}"
-                if formats >= MAX_FORMAT:
-                    return None, why, model
-            elif not grounded(found, f"{title} {body}"):
-                return None, "환각 의심", model
-            else:
-                return found, None, model
-        if why != "레이트리밋(일일)":
-            return None, why, model
+        waits = 0
+        try:
+            while True:
+                try:
+                    return call(model, title, body), None, model
+                except MinuteLimit as e:
+                    if waits == MAX_WAITS:
+                        return None, "분당한도", model
+                    wait(min(2.0 * 2**waits if e.seconds is None else e.seconds, 30.0))
+                    waits += 1
+        except DailyLimit:
+            continue
     return None, "레이트리밋(일일)", models[-1] if models else None
 
 
-def summarised(df: DataFrame, call: Callable[[str, str, str], str] = extractive, models: Sequence[str] = ("local",), *, id: str = "id") -> DataFrame:
-    """``df`` with summary, summary_fail_reason, summary_model and summary_ok; excluded rows get none of them."""
+def asked(rows: DataFrame, call: Callable[[str, str, str], str], models: Sequence[str]) -> DataFrame:
+    """``rows`` (id, title, short) with text, why and model of one answer each. One document a call."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            found = [one_summary(call, models, t or "", b) for t, b in zip(p["title"], p["short"])]
-            yield pd.DataFrame({"id": p["id"], "summary": [x[0] for x in found], "summary_fail_reason": [x[1] for x in found], "summary_model": [x[2] for x in found]})
+            found = [answer(call, models, t or "", b or "") for t, b in zip(p["title"], p["short"])]
+            yield p.assign(text=[x[0] for x in found], why=[x[1] for x in found], model=[x[2] for x in found])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return shipped(rows).select("id", "title", "short").mapInPandas(run, f"id {kind}, title string, short string, text string, why string, model string")
 
-    live = shipped(df).where("NOT excluded").select(F.col(id).alias("id"), "title", compact("body", BODY_CHARS).alias("short"))
-    done = live.mapInPandas(run, "id long, summary string, summary_fail_reason string, summary_model string").withColumnRenamed("id", id)
-    return df.join(done, id, "left").withColumn("summary_ok", F.col("summary").isNotNull())
+
+def summarised(df: DataFrame, call: Callable[[str, str, str], str] = extractive, models: Sequence[str] = ("local",), *, id: str = "id") -> DataFrame:
+    """``df`` with summary, summary_fail_reason, summary_model and summary_ok; excluded rows get none of them.
+
+    Rounds of answers: an answer of a wrong form is asked for once more, any other
+    outcome is final. Form and grounding are judged by columns.
+    """
+    live = df.where("NOT excluded").select(F.col(id).alias("id"), "title", compact("body", BODY_CHARS).alias("short"))
+    n = F.char_length("short")
+    guard = F.when(n == 0, "본문 없음").when(n < LEAST_BODY, F.concat(F.lit("본문 부족("), n.cast("string"), F.lit("자)")))
+    guarded = stage(live.withColumn("guard", guard), "guarded")
+    none = F.lit(None).cast("string")
+    done = guarded.where("guard IS NOT NULL").select("id", none.alias("summary"), F.col("guard").alias("why"), none.alias("model"))
+    open_rows = guarded.where("guard IS NULL").select("id", "title", "short")
+    for turn in range(1, MAX_FORMAT + 1):
+        judged = stage(asked(open_rows, call, models).withColumn("v", validated("text")), "answers")
+        fails = F.col("text").isNotNull() & F.col("v.problem").isNotNull()
+        sound = is_grounded("v.summary", F.concat_ws(" ", "title", "short"), LEAST_SHARE)
+        why = F.when(F.col("text").isNull(), F.col("why")).when(fails, F.concat(F.lit("형식 검증 실패: "), F.col("v.problem"))).when(~sound, "환각 의심")
+        told = judged.withColumns({"fails": fails, "why": why}).select("id", F.when(F.col("why").isNull(), F.col("v.summary")).alias("summary"), "why", "model", "fails", "title", "short")
+        last = turn == MAX_FORMAT
+        done = done.unionByName((told if last else told.where("NOT fails")).select("id", "summary", "why", "model"))
+        open_rows = told.where("fails").select("id", "title", "short")
+    found = done.select(F.col("id").alias(id), "summary", F.col("why").alias("summary_fail_reason"), F.col("model").alias("summary_model"))
+    return df.join(found, id, "left").withColumn("summary_ok", F.col("summary").isNotNull())
 
 
 def reviewed(df: DataFrame, judge: Callable[[str, str], str], *, id: str = "id") -> DataFrame:

@@ -35,10 +35,6 @@ def maximal(found: Column | str) -> Column:
     return F.filter(f, lambda x: ~F.exists(f, lambda y: (F.char_length(y) > F.char_length(x)) & F.contains(y, x)))
 
 
-def longest_first(found: Column | str) -> Column:
-    return F.array_sort(col(found), lambda a, b: F.when(F.char_length(a) != F.char_length(b), F.char_length(b) - F.char_length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-
-
 @dataclass(frozen=True)
 class Rule:
     """Holds if ``when`` does. ``because`` is the reason, or an expression of it."""
@@ -101,7 +97,8 @@ class Lexicons:
     sector_words: Sequence[str] = ()
     digital_words: Sequence[str] = ()
     topic_menu: str = ""
-    policy_menu: str = ""
+    policy_menu: str = ""  # empty switches the rules for policy searches off
+    policy_words: Sequence[str] = ()
     separators: str = r"[·,/ㆍ|…]"
     tag: str = r"^\s*[\[【]"
 
@@ -133,6 +130,15 @@ class Screen:
             Rule("digital", ~has(title, x.digital_words), f"{IRRELEVANT}(업계동향이나 디지털 맥락 없음)"),
         ]
 
+    def policy_rules(self, title: Column) -> list[Rule]:
+        """For rows that a policy search found: one story, no market column, and a word of the digital context."""
+        x = self.lex
+        return [
+            Rule("roundup", self.roundup(title), f"{IRRELEVANT}({BUNDLED})"),
+            Rule("column", self.any(title, x.column_patterns) | self.any(title, x.investment_tags), f"{IRRELEVANT}(시황 코너)"),
+            Rule("digital", ~has(title, x.policy_words), f"{IRRELEVANT}(정책이나 제목에 디지털 맥락 없음)"),
+        ]
+
     def title_rules(self, title: Column) -> list[Rule]:
         x = self.lex
         found = hits(title, x.companies)
@@ -168,22 +174,27 @@ class Screen:
         return [*rules, Rule("other topic", has(title, x.other_topics), named(IRRELEVANT, hits(title, x.other_topics), " 기사"))]
 
     def screen(self, df: DataFrame, title: str = "title", menu: str | None = None) -> DataFrame:
-        """``df`` with excluded, exclude_reason and needs_body_check."""
+        """``df`` with excluded, exclude_reason and needs_body_check; rows of a topic or policy search (``menu``) have rules of their own."""
         x, t = self.lex, F.coalesce(F.col(title), F.lit(""))
-        topical = (F.col(menu) == x.topic_menu) if menu and x.topic_menu else F.lit(False)
-        topical = F.coalesce(topical, F.lit(False))
-        why = F.when(topical, reason(self.topic_rules(t))).otherwise(reason(self.title_rules(t)))
-        sure = topical | has(t, x.relevance) | has(t, x.exempt_companies)
+        found_by = lambda name: F.coalesce(F.col(menu) == name, F.lit(False)) if menu and name else F.lit(False)
+        topical, policy = found_by(x.topic_menu), found_by(x.policy_menu)
+        why = F.when(topical, reason(self.topic_rules(t))).when(policy, reason(self.policy_rules(t))).otherwise(reason(self.title_rules(t)))
+        sure = topical | policy | has(t, x.relevance) | has(t, x.exempt_companies)
         return df.withColumn("exclude_reason", why).withColumn("excluded", F.col("exclude_reason").isNotNull()).withColumn("needs_body_check", ~F.col("excluded") & ~sure)
 
-    def filter_bodies(self, df: DataFrame, title: str = "title", body: str = "body") -> DataFrame:
-        """``df`` after the rules on bodies: first 400 characters for the topic, 800 for the rest. Rows already excluded keep their reason."""
+    def filter_bodies(self, df: DataFrame, title: str = "title", body: str = "body", menu: str | None = None) -> DataFrame:
+        """``df`` after the rules on bodies: first 400 characters for the topic, 800 for the rest. Rows already excluded keep their reason.
+
+        A row of a policy search that needs its body checked is judged by its digital context alone.
+        """
         x, b = self.lex, F.coalesce(F.col(body), F.lit(""))
         lead, text = F.left(b, F.lit(400)), F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.left(b, F.lit(800)))
         sports = hits(text, x.sports)
+        policy = F.col("needs_body_check") & (F.coalesce(F.col(menu) == x.policy_menu, F.lit(False)) if menu and x.policy_menu else F.lit(False))
         rules = [
             Rule("already", F.col("excluded"), F.col("exclude_reason")),
             Rule("no body", F.col("needs_body_check") & (b == ""), f"{IRRELEVANT}(제목·본문에서 디지털·AI 근거 없음)"),
+            Rule("policy", policy, F.when(~has(lead, x.policy_words), f"{IRRELEVANT}(정책이나 디지털·AI 아님)")),
             Rule("topic", F.col("needs_body_check") & ~has(lead, x.core), f"{IRRELEVANT}(본문 확인: 디지털·AI 내용 아님)"),
             Rule("sports", F.size(sports) >= 2, F.concat(F.lit(f"{SPORTS}("), F.array_join(F.slice(sports, 1, 2), ","), F.lit(")"))),
             Rule("crime", has(text, x.crime) & ~has(text, x.security), named(CRIME, hits(text, x.crime))),
@@ -202,12 +213,20 @@ def reason_counts(df: DataFrame, why: str = "exclude_reason") -> DataFrame:
 
 
 def ledger(df: DataFrame) -> DataFrame:
-    """One row: raw = final + excluded, and how the excluded rows divide."""
+    """One row: raw = final + excluded, how the excluded rows divide, and what failed.
+
+    Columns that a frame doesn't have yet (needs_body_check, extract_ok, summary_ok) count as nothing.
+    """
     key = reason_key("exclude_reason")
+    has_col = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    live = ~F.col("excluded")
     return df.agg(
         F.count(F.lit(1)).alias("raw"),
-        F.count_if(~F.col("excluded")).alias("final"),
+        F.count_if(live).alias("final"),
         F.count_if(F.col("excluded")).alias("excluded"),
         F.count_if(F.col("excluded") & (key == "중복")).alias("duplicates"),
         F.count_if(F.col("excluded") & (key == "기열람")).alias("seen"),
+        F.count_if(F.col("excluded") & ~key.isin("중복", "기열람")).alias("screened"),
+        F.count_if(live & (has_col("extract_ok").cast("int") == 0)).alias("extract_fail"),
+        F.count_if(live & ~has_col("summary_ok").cast("boolean")).alias("summary_fail"),
     )

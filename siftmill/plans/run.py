@@ -32,6 +32,7 @@ class Job:
     classify: dict = field(default_factory=lambda: {"ai": ["AI"]})
     trusted: Sequence[str] = ()
     blocked: Sequence[str] = ()
+    cross_run_days: int = 3  # how far back titles, bodies and summaries are compared; addresses and titles that are equal count for ever
 
 
 def with_bodies(df: DataFrame, html: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
@@ -45,20 +46,49 @@ def with_bodies(df: DataFrame, html: Callable[[DataFrame], DataFrame] | None) ->
     return out.withColumn("extract_ok", ok.cast("int")).withColumn("extract_fail_reason", F.when(~ok & ~F.col("excluded"), "원문 추출 실패"))
 
 
-def run(spark: SparkSession, rows: DataFrame, job: Job, store: Store, run_id: int, now: str, page: str | None = None, past: DataFrame | None = None) -> dict:
+def search_window(spark: SparkSession, store: Store, now: str) -> tuple[str, str]:
+    """(start, end) of what this run looks for, from the last successful run."""
+    row = spark.createDataFrame([(store.last_success(), now)], "last string, now string").select(F.col("last").cast("timestamp").alias("last"), F.col("now").cast("timestamp").alias("now"))
+    start = row.select(F.date_format(history.window_start("last", "now"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    return start, now
+
+
+def delivered_before(store: Store, now: str, days: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(all delivered rows, those of the last ``days``); none at a first run."""
+    if not (store.exists("articles") and store.exists("delivered")):
+        return None, None
+    every = store.history().withColumn("body", F.lit(None).cast("string")).withColumn("seq", F.col("id"))
+    return every, every.where(F.col("collected_at").cast("timestamp") >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS"))
+
+
+def told_before(final: DataFrame, recent: DataFrame | None, names: Sequence[str]) -> DataFrame:
+    """``final`` with the rows excluded whose summary tells of something delivered in the last days."""
+    if recent is None:
+        return final
+    fresh = final.where("NOT excluded AND summary_ok").select("id", "title", "summary")
+    past = recent.where("summary_ok").select("id", "title", "summary")
+    seen = dedup.summaries_seen(fresh, past, names).join(past.select(F.col("id").alias("ref"), F.left("title", F.lit(24)).alias("ref_title")), "ref")
+    out = final.join(seen, "id", "left")
+    why = F.when(F.col("ref").isNotNull(), F.concat(F.lit("기열람(요약 동일사건: "), "ref_title", F.lit(")")))
+    out = out.withColumn("exclude_reason", F.coalesce("exclude_reason", why)).withColumn("excluded", F.col("excluded") | F.col("ref").isNotNull())
+    return out.withColumn("dup_of", F.coalesce("dup_of", "ref")).drop("ref", "ref_title")
+
+
+def run(spark: SparkSession, rows: DataFrame, job: Job, store: Store, run_id: int, now: str, page: str | None = None) -> dict:
     """Takes ``rows`` (id, seq, title, body, press, pub_date, original_url, naver_url, menu_id, subgroup, sector_hint, search_keyword) through all stages.
 
-    The page is published before anything is marked delivered. A failure ends the
-    run as failed and is raised.
+    History is what the store has delivered. The page is published before anything is
+    marked delivered. A failure ends the run as failed and is raised.
     """
-    store.start_run(run_id, now, now, now)
+    store.start_run(run_id, now, *search_window(spark, store, now))
     try:
         hashed = rows.withColumn("url_hash", url_hash(F.coalesce(F.nullif("original_url", F.lit("")), "naver_url")))
         union = history.first_seen(hashed, ["url_hash"], ["seq"])
         screen = rules.Screen(job.lex)
         titles = stage(screen.screen(union, menu="menu_id"), "screened")
-        bodies = stage(screen.filter_bodies(with_bodies(titles, job.html)), "bodies")
-        single = stage(dedup.dedup(bodies, past, names=job.names, trusted=job.trusted, blocked=job.blocked), "single")
+        bodies = stage(screen.filter_bodies(with_bodies(titles, job.html), menu="menu_id"), "bodies")
+        past, recent = delivered_before(store, now, job.cross_run_days)
+        single = stage(dedup.dedup(bodies, past, recent=recent, names=job.names, trusted=job.trusted, blocked=job.blocked), "single")
         placed = entities.classify(single, job.index, **job.classify)
         judged = stage(review.reviewed(placed, job.judge), "judged")
         told = stage(review.summarised(judged, job.summarize, job.models), "told")
@@ -66,15 +96,16 @@ def run(spark: SparkSession, rows: DataFrame, job: Job, store: Store, run_id: in
         heads = dedup.summary_stars(ok, job.names, by=dedup.score(job.trusted)).where("id != head")
         final = told.join(heads, "id", "left").withColumn("dup_of", F.coalesce("head", "dup_of"))
         final = final.withColumn("exclude_reason", F.when(F.col("head").isNotNull(), "중복(요약기준)").otherwise(F.col("exclude_reason"))).withColumn("excluded", F.col("excluded") | F.col("head").isNotNull())
-        final = stage(final.drop("head").withColumns({"run_id": F.lit(run_id).cast("long"), "collected_at": F.lit(now)}), "final")
+        final = told_before(stage(final.drop("head"), "single"), recent, job.names)
+        final = stage(final.withColumns({"run_id": F.lit(run_id).cast("long"), "collected_at": F.lit(now)}), "final")
         kept = final.where("NOT excluded")
         store.append("articles", kept.select(*[c for c in STORED if c in final.columns]))
         store.append("excluded", final.where("excluded").select("run_id", "id", "title", F.col("original_url").alias("url"), "press", "exclude_reason", "pub_date", "collected_at"))
         counts = rules.ledger(final).first().asDict()
         if page:
-            items = kept.select("title", F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url"), "company", "sector", "dig_ai", "press", "pub_date", "summary", "matched_keywords").orderBy(F.col("pub_date").desc(), "title").collect()
+            items = kept.select("title", F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url"), "company", "sector", "dig_ai", "press", "pub_date", "summary", "matched_keywords").orderBy(F.col("pub_date").desc(), "title")
             log = reports.run_log(store.read("articles").groupBy("run_id").agg(F.count(F.lit(1)).alias("delivered"))).collect()
-            publish(page, reports.render("", history.tab_counts(kept, "fin_group", "sector").collect(), items, log, counts))
+            publish(page, reports.render("", history.tab_counts(kept, "fin_group", "sector").collect(), items.toLocalIterator(), log, counts))
         store.deliver(run_id, kept, now)
         return counts
     except Exception:

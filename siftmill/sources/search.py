@@ -14,6 +14,8 @@ from __future__ import annotations
 import pickle
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import TimeoutError as FutureTimeout
 from datetime import datetime
 from email.utils import parsedate_to_datetime
 
@@ -55,36 +57,42 @@ def with_retries(fetch: Callable, query: str, start: int, count: int, tries: int
     raise RateLimited(query)
 
 
+def judged(items: list[dict], begin: datetime, end: datetime) -> tuple[list[tuple[dict, datetime]], bool]:
+    """(items in range with their dates, whether all dated items are before the range) of a page; items without a date don't count."""
+    dated = []
+    for it in items:
+        try:
+            dated.append((it, parsedate_to_datetime(it.get("pubDate", ""))))
+        except (TypeError, ValueError):
+            continue
+    return [(it, at) for it, at in dated if begin <= at <= end], all(at < begin for _, at in dated)
+
+
+def verdicts(fetch: Callable, query: str, begin: datetime, end: datetime, count: int, last: int) -> Iterator[tuple[list[tuple[dict, datetime]], bool]]:
+    """``judged`` of each page up to ``last``, until one is empty."""
+    for start in range(1, last + 1, count):
+        items = fetch(query, start, count)
+        if not items:
+            return
+        yield judged(items, begin, end)
+
+
 def pages(fetch: Callable, query: str, begin: datetime, end: datetime, count: int = PAGE_ROWS, last: int = LAST_START) -> Iterator[tuple]:
     """("item", position, item, date) of a query in range, and at last ("health", None, status, error).
 
-    Stops after an empty page, or two pages in a row on which everything is older
-    than ``begin``. A row without a date is skipped; one after ``end`` is dropped but
-    shows that its page is not old.
+    Two pages in a row that are old end the query. One whose last page, of all
+    that may be asked for, isn't old is cut off.
     """
-    start, old_before, position, cut = 1, False, 0, False
+    position, seen, was_old = 0, 0, [False, False]
     try:
-        while start <= last:
-            items = fetch(query, start, count)
-            if not items:
-                break
-            old = True
-            for it in items:
-                try:
-                    at = parsedate_to_datetime(it.get("pubDate", ""))
-                except (TypeError, ValueError):
-                    continue
-                if at > end:
-                    old = False
-                elif at >= begin:
-                    old = False
-                    yield "item", position, it, at
-                    position += 1
-            if old and old_before:
+        for found, old in verdicts(fetch, query, begin, end, count, last):
+            for it, at in found:
+                yield "item", position, it, at
+                position += 1
+            was_old, seen = [was_old[1], old], seen + 1
+            if all(was_old):
                 break
-            old_before = old
-            start += count
-            cut = start > last and not old
+        cut = seen == len(range(1, last + 1, count)) and not was_old[1]
         yield "health", None, "cut off" if cut else "ok", None
     except Exception as e:  # one query must not end the scan: it is reported as a row
         yield "health", None, "failed", f"{type(e).__name__}: {e}"[:200]
@@ -142,9 +150,24 @@ def health(rows: DataFrame) -> DataFrame:
     return rows.groupBy("search_keyword").agg(F.max("status").alias("status"), F.max("error").alias("error"), F.count_if(F.col("kind") == "item").alias("found"))
 
 
-def press_rows(spark: SparkSession, adapters: dict[str, tuple[str, str, Callable]], begin: datetime) -> DataFrame:
-    """Press releases of ``adapters`` {key: (group, menu_id, list(begin) -> [(title, date, url, company, body)])} and a health row each; a partition each."""
+def within(seconds: float, work: Callable[[], list]) -> list:
+    """What ``work`` gives, unless it takes longer; a thread that hangs is left behind."""
+    pool = ThreadPoolExecutor(1)
+    try:
+        return pool.submit(work).result(timeout=seconds)
+    except FutureTimeout:
+        raise TimeoutError("응답 없음(건너뜀)") from None
+    finally:
+        pool.shutdown(wait=False)
+
+
+def press_rows(spark: SparkSession, adapters: dict[str, tuple[str, str, Callable]], begin: datetime, *, seconds: float = 25.0) -> DataFrame:
+    """Press releases of ``adapters`` {key: (group, menu_id, list(begin) -> [(title, date, url, company, body)])} and a health row each.
+
+    An adapter is a partition; one that fails or takes more than ``seconds`` gives its health row only.
+    """
     plan = [(key, group, menu, fn) for key, (group, menu, fn) in adapters.items()]
+    names = ["kind", "adapter", "press", "title", "pub_date", "original_url", "search_keyword", "menu_id", "subgroup", "pr_company", "body", "status"]
 
     def run(parts: Iterator) -> Iterator:
         import pandas as pd
@@ -153,12 +176,12 @@ def press_rows(spark: SparkSession, adapters: dict[str, tuple[str, str, Callable
             for i in part["i"]:
                 key, group, menu, fn = plan[i]
                 try:
-                    got = list(fn(begin))
+                    got = within(seconds, lambda: list(fn(begin)))
                     rows = [("item", key, f"{group} 보도자료", t.strip(), d, u, f"[PR] {group}", menu, c or group, c, b, None) for t, d, u, c, b in got]
                     rows.append(("health", key, None, None, None, None, None, menu, group, None, None, f"ok ({len(got)}건)"))
                 except Exception as e:  # a site that fails is reported as a row
                     rows = [("health", key, None, None, None, None, None, menu, group, None, None, f"실패: {str(e)[:50]}")]
-                yield pd.DataFrame(rows, columns=["kind", "adapter", "press", "title", "pub_date", "original_url", "search_keyword", "menu_id", "subgroup", "pr_company", "body", "status"])
+                yield pd.DataFrame(rows, columns=names)
 
     schema = "kind string, adapter string, press string, title string, pub_date timestamp, original_url string, search_keyword string, menu_id string, subgroup string, pr_company string, body string, status string"
-    return spark.range(0, len(plan), 1, max(1, len(plan))).select(F.col("id").alias("i")).mapInPandas(run, schema)
+    return shipped(spark.range(0, len(plan), 1, max(1, len(plan)))).select(F.col("id").alias("i")).mapInPandas(run, schema)

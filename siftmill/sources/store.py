@@ -1,9 +1,10 @@
-"""Tables on Parquet that only grow, and files that readers see whole."""
+"""Tables on Parquet by run, configuration, and files that readers see whole."""
 
 from __future__ import annotations
 
 import atexit
 import csv
+import json
 import os
 import shutil
 import tempfile
@@ -32,10 +33,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back: a cut in its lineage that outlives executors."""
-    path = f"{shared_folder(df.sparkSession)}/siftmill/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once as Parquet in the shared folder and read back.
+
+    A cut in its lineage that outlives executors: a later stage that loses one reads the
+    files again. Files stay until ``unstage``, or until the folder is cleared.
+    """
+    path = f"{shared_folder(df.sparkSession)}/siftmill/{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}")
+    out = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+    out._staged = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Deletes a table that ``stage`` gave and nothing will read again."""
+    spark, jvm = df.sparkSession, df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._staged)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shipped(df: DataFrame) -> DataFrame:
@@ -51,7 +65,7 @@ def shipped(df: DataFrame) -> DataFrame:
 
 
 class Store:
-    """articles, excluded, runs and delivered under one root. Nothing is updated in place.
+    """articles, excluded, runs and delivered under one root. Runs only append; upkeep replaces whole runs.
 
     What the articles' state is follows from the logs: a run is what its last row in
     ``runs`` says, an article is delivered once ``delivered`` has a row for it.
@@ -100,22 +114,63 @@ class Store:
         """Delivered articles."""
         return self.read("articles").join(self.read("delivered").select("id").distinct(), "id", "left_semi")
 
+    def last_success(self) -> str | None:
+        """When the last successful run was asked for; none if there was none."""
+        done = self.runs().where("status = 'success'").agg(F.max_by("requested_at", "run_id").alias("at")).first() if self.exists("runs") else None
+        return done["at"] if done else None
+
+    def exists(self, table: str) -> bool:
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def as_if_delivered(self, current: DataFrame) -> DataFrame:
         """History and the current rows, as the report will show them."""
         return self.history().unionByName(current, allowMissingColumns=True)
 
-    def retain(self, table: str, column: str, since: str) -> None:
-        """Drops rows whose ``column`` is before ``since``: writes what stays beside the table, then swaps."""
-        left = self.read(table).where(F.col(column) >= F.lit(since))
-        new, old = f"{self.path(table)}.new", f"{self.path(table)}.old"
-        left.write.mode("overwrite").parquet(new)
+    def replace_runs(self, table: str, runs: DataFrame, rows: DataFrame) -> None:
+        """Puts ``rows`` in place of all rows of ``runs`` (run_id): partition by partition, the others are not touched.
+
+        ``rows`` may be read from the table itself; they are written aside first.
+        """
+        new = stage(rows, "replaced")
+        gone = [r["run_id"] for r in runs.select("run_id").distinct().join(new.select("run_id").distinct(), "run_id", "left_anti").collect()]  # runs are few
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(self.path(table))
         jvm = self.spark._jvm
-        at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-        fs = at(new).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(at(old), True)
-        fs.rename(at(self.path(table)), at(old))
-        fs.rename(at(new), at(self.path(table)))
-        fs.delete(at(old), True)
+        for run in gone:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/run_id={run}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def retain(self, table: str, column: str, since: str) -> None:
+        """Drops rows whose ``column`` is before ``since``, in the runs that have such rows."""
+        rows = self.read(table)
+        runs = stage(rows.where(F.col(column) < F.lit(since)).select("run_id").distinct(), "runs")
+        self.replace_runs(table, runs, rows.join(F.broadcast(runs), "run_id", "left_semi").where(F.col(column) >= F.lit(since)))
+
+    def drop(self, table: str, ids: DataFrame) -> int:
+        """Removes the rows of ``ids`` (id) for good; how many rows are left."""
+        rows = self.read(table)
+        gone = stage(rows.join(ids.select("id").distinct(), "id", "left_semi").select("id", "run_id"), "gone")
+        runs = gone.select("run_id").distinct()
+        self.replace_runs(table, runs, rows.join(runs, "run_id", "left_semi").join(gone.select("id"), "id", "left_anti"))
+        return self.read(table).count() if self.exists(table) else 0
+
+    def update(self, table: str, changed: DataFrame) -> None:
+        """Puts ``changed`` (all columns) in place of the rows with the same id."""
+        rows = self.read(table)
+        new = stage(changed, "changed")
+        runs = new.select("run_id").distinct()
+        self.replace_runs(table, runs, rows.join(runs, "run_id", "left_semi").join(new.select("id"), "id", "left_anti").unionByName(new))
+
+
+def load_config(path: str) -> dict:
+    """A nested configuration from a YAML or JSON file."""
+    text = Path(path).read_text(encoding="utf-8")
+    if path.endswith(".json"):
+        return json.loads(text)
+    import yaml
+
+    return yaml.safe_load(text)
 
 
 def publish(path: str, text: str) -> None:

@@ -28,12 +28,6 @@ def per_day(stream: DataFrame, at: str, late: str = "72 hours") -> DataFrame:
     return timed.groupBy(F.window(at, "1 day")).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("window.start").alias("day"), "n")
 
 
-def sessions(stream: DataFrame, at: str, key: str, gap: str = "30 minutes", late: str = "72 hours") -> DataFrame:
-    """key, begin, end, n: rows of a key without a gap. An extension, for streams of events."""
-    timed = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
-    return timed.groupBy(key, F.session_window(at, gap).alias("s")).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("s.start").alias("begin"), F.col("s.end").alias("end"), "n")
-
-
 def against_history(stream: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Rows of the stream that history does not have: a stream-static join, with history read anew in each batch."""
     known = history.select(F.col(key).alias("__known")).distinct()
