@@ -15,10 +15,10 @@ from ..functions.fixed import GENERIC, PARTICLES, STOPWORDS, TRACKING
 from ..operators import history as H
 from ..operators import reports as R
 from ..operators import rules
-from ..operators.clusters import components, stars
-from ..operators.dedup import batch_clusters, features, seen_exactly
+from ..operators.clusters import components
+from ..operators.dedup import seen_exactly
 from ..operators.entities import matches, packed
-from ..operators.pairs import near_fingerprints, token_pairs
+from ..operators.pairs import fingerprint_links, near_fingerprints, token_links, token_pairs
 from ..sources.store import stage
 
 #: Fixed for the queries: words of the synthetic text in place of a site's lexicons.
@@ -82,10 +82,11 @@ def first_seen_dedup(spark, sf_dir):
 
 
 @query(f"""WITH {ART}, h AS (SELECT id, substr(sha256(body), 1, 24) AS body_hash FROM art)
-SELECT body_hash, count(*) AS n, min(id) AS first_id, list_sort(list(id)) AS ids FROM h GROUP BY body_hash HAVING count(*) > 1""")
+SELECT id, body_hash, count(*) OVER w AS n, min(id) OVER w AS first_id FROM h WINDOW w AS (PARTITION BY body_hash)""")
 def exact_dup_groups(spark, sf_dir):
+    """Each article with the size and the first member of its group: no group is ever one row's list."""
     a = articles(spark, sf_dir).select("id", T.short_hash("body").alias("body_hash"))
-    return a.groupBy("body_hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.array_sort(F.collect_list("id")).alias("ids")).where("n > 1")
+    return a.join(a.groupBy("body_hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id")), "body_hash").select("id", "body_hash", "n", "first_id")
 
 
 _NAME = "lower(trim(string_split(kv, '=')[1]))"
@@ -255,28 +256,29 @@ def _tokened(spark, sf_dir):
 
 
 TOK = f"tok AS (SELECT id, lang, press, pub_date, {TOKENS.format(NORM.format('title'))} AS tokens FROM art)"
-PAIRS = f"""pairs AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.tokens, b.tokens)) AS common, least(len(a.tokens), len(b.tokens)) AS smaller
-  FROM tok a JOIN tok b ON a.id < b.id AND a.lang = b.lang AND len(a.tokens) >= 2 AND len(b.tokens) >= 2
-  WHERE {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.5)"""
 
+LINKS = """links AS (SELECT class_id, count(*) AS links FROM (SELECT a AS class_id FROM met UNION ALL SELECT b FROM met) GROUP BY 1)
+SELECT m.id, m.class_id, coalesce(links, 0) AS links FROM members m LEFT JOIN links USING (class_id)"""
 
-def _overlapping(spark, sf_dir):
-    return token_pairs(_tokened(spark, sf_dir).where(F.size("tokens") >= 2), 0.5, key="lang")
 
+def _classes(source: str, key: str) -> str:
+    return f"""sorted AS (SELECT id, {key}, list_sort(tokens) AS tokens FROM {source} WHERE len(tokens) > 0), members AS (SELECT *, min(id) OVER (PARTITION BY {key}, tokens) AS class_id FROM sorted),
+classes AS (SELECT DISTINCT class_id, {key}, tokens FROM members)"""
 
-@query(f"WITH {ART}, {TOK}, {PAIRS} SELECT a, b, common, smaller FROM pairs")
-def token_overlap_pairs(spark, sf_dir):
-    return _overlapping(spark, sf_dir).select("a", "b", F.col("common").cast("long").alias("common"), F.col("smaller").cast("long").alias("smaller"))
 
+@query(f"""WITH {ART}, {TOK}, t AS (SELECT * FROM tok WHERE len(tokens) >= 2), {_classes('t', 'lang')},
+met AS (SELECT a.class_id AS a, b.class_id AS b FROM classes a JOIN classes b ON a.class_id < b.class_id AND a.lang = b.lang AND {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.5), {LINKS}""")
+def token_overlap_links(spark, sf_dir):
+    return token_links(_tokened(spark, sf_dir).where(F.size("tokens") >= 2), 0.5, key="lang")
 
-@query(f"""WITH {ART}, {TOK}, c AS (SELECT id, lang, list_filter(tokens, lambda t: t NOT IN ('the', 'of', 'and', 'de', 'la', 'le', {_GENERIC})) AS tokens FROM tok)
-SELECT a.id AS a, b.id AS b, round({OVERLAP.format('a.tokens', 'b.tokens')}, 6) AS overlap FROM c a JOIN c b ON a.id < b.id AND a.lang = b.lang
-WHERE len(a.tokens) >= 2 AND len(b.tokens) >= 2 AND len(list_intersect(a.tokens, b.tokens)) >= 2 AND {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.6""")
-def content_overlap_pairs(spark, sf_dir):
+
+@query(f"""WITH {ART}, {TOK}, c AS (SELECT id, lang, list_filter(tokens, lambda t: t NOT IN ('the', 'of', 'and', 'de', 'la', 'le', {_GENERIC})) AS tokens FROM tok), t AS (SELECT * FROM c WHERE len(tokens) >= 2),
+{_classes('t', 'lang')}, met AS (SELECT a.class_id AS a, b.class_id AS b FROM classes a JOIN classes b ON a.class_id < b.class_id AND a.lang = b.lang
+  WHERE len(list_intersect(a.tokens, b.tokens)) >= 2 AND {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.6), {LINKS}""")
+def content_overlap_links(spark, sf_dir):
     names = T.words(["the", "of", "and", "de", "la", "le"])
     c = _tokened(spark, sf_dir).withColumn("tokens", T.content_tokens("tokens", names)).where(F.size("tokens") >= 2)
-    found = token_pairs(c, 0.6, key="lang").where("common >= 2")
-    return found.select("a", "b", F.round(F.col("common") / F.col("smaller"), 6).alias("overlap"))
+    return token_links(c, 0.6, least_common=2, key="lang")
 
 
 # The bits come from the hash of the distinct words' counts; DuckDB adds them up bit by bit.
@@ -298,11 +300,10 @@ def simhash_fp(spark, sf_dir):
     return _prints(spark, sf_dir)
 
 
-@query(f"""WITH {FP}, d AS (SELECT DISTINCT fp FROM fps WHERE fp <> 0)
-SELECT a.fp AS l, b.fp AS r, bit_count(xor(a.fp, b.fp))::INT AS distance FROM d a JOIN d b ON a.fp < b.fp WHERE bit_count(xor(a.fp, b.fp)) <= 6""")
-def hamming_pairs(spark, sf_dir):
-    fp = stage(_prints(spark, sf_dir), "fingerprints")
-    return near_fingerprints(fp, fp, 6).where("l < r").select("l", "r", F.col("distance").cast("int").alias("distance"))
+@query(f"""WITH {FP}, members AS (SELECT id, fp, min(id) OVER (PARTITION BY fp) AS class_id FROM fps WHERE fp <> 0), classes AS (SELECT DISTINCT class_id, fp FROM members),
+met AS (SELECT a.class_id AS a, b.class_id AS b FROM classes a JOIN classes b ON a.class_id < b.class_id AND bit_count(xor(a.fp, b.fp)) <= 6), {LINKS}""")
+def hamming_links(spark, sf_dir):
+    return fingerprint_links(stage(_prints(spark, sf_dir), "fingerprints"), 6)
 
 
 @query(f"""WITH {ART}, h AS (SELECT id, {NORM.format('title')} AS k, substr(sha256(body), 1, 24) AS b FROM art),
@@ -342,28 +343,11 @@ def cluster_rep(spark, sf_dir):
     return g.join(g.groupBy("k").agg(best), "k").select("id", F.col("best.id").alias("representative"))
 
 
-@query()
-def batch_dedup(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    title = T.strip_tags(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1))
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 30).cast("int"))
-    a = p.select(F.col("page_id").alias("id"), F.col("page_id").alias("seq"), title.alias("title"), T.article_text("html").alias("body"), day.alias("pub_date"))
-    return batch_clusters(stage(features(a), "features"))
-
-
-@query(f"""WITH RECURSIVE {ART}, d AS (SELECT id, list_distinct(regexp_extract_all({NORM.format('title')}, '[a-z]{{2,}}')) AS tokens FROM art),
-p AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM d a JOIN d b ON a.id < b.id WHERE len(a.tokens) >= 5 AND len(b.tokens) >= 5 AND {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.9)
-SELECT a, b FROM p""")
-def cleanup_pairs(spark, sf_dir):
+@query(f"""WITH {ART}, d AS (SELECT id, 0 AS k, list_distinct(regexp_extract_all({NORM.format('title')}, '[a-z]{{2,}}')) AS tokens FROM art), t AS (SELECT * FROM d WHERE len(tokens) >= 5), {_classes('t', 'k')},
+met AS (SELECT a.class_id AS a, b.class_id AS b FROM classes a JOIN classes b ON a.class_id < b.class_id AND {OVERLAP.format('a.tokens', 'b.tokens')} >= 0.9), {LINKS}""")
+def cleanup_links(spark, sf_dir):
     t = articles(spark, sf_dir).select("id", F.array_distinct(F.regexp_extract_all(T.normalize_title("title"), F.lit("([a-z]{2,})"), F.lit(0))).alias("tokens"))
-    return token_pairs(t.where(F.size("tokens") >= 5), 0.9).select("a", "b")
-
-
-@query()
-def cleanup_stars(spark, sf_dir):
-    t = _tokened(spark, sf_dir).where(F.size("tokens") >= 4)
-    rows = articles(spark, sf_dir).select("id", F.col("id").alias("seq"))
-    return stars(rows, token_pairs(t, 0.9, key="lang").select("a", "b"))
+    return token_links(t.where(F.size("tokens") >= 5), 0.9)
 
 
 @query(r"""WITH b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{2,}')) AS w FROM benchmark),
@@ -391,14 +375,11 @@ def grounding_ratio(spark, sf_dir):
     return t.select("conv_id", "turn", F.round(S.grounded_share("text", "before"), 6).alias("share"), S.is_grounded("text", "before").alias("grounded")).where("share IS NOT NULL")
 
 
-@query(r"""WITH l AS (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1:4] AS ls FROM conversations WHERE role = 'assistant'),
-b AS (SELECT conv_id, turn, list_transform(ls, lambda x: '- ' || x) AS ls FROM l)
-SELECT conv_id, turn, len(ls) AS n_lines, CASE WHEN len(ls) < 2 THEN 'lines' ELSE list_filter(list_transform(ls, lambda x: CASE WHEN length(x) < 14 THEN 'short' END), lambda p: p IS NOT NULL)[1] END AS problem FROM b""")
-def bullet_validate(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").where("role = 'assistant'")
-    marked = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.when(F.trim(x) != "", F.concat(F.lit("- "), F.trim(x))).otherwise("")), "\n")
-    b = c.select("conv_id", "turn", S.bullets(marked).alias("ls"))
-    return b.select("conv_id", "turn", F.size("ls").cast("long").alias("n_lines"), S.bullet_problem("ls").alias("problem"))
+@query(r"""WITH l AS (SELECT conv_id, turn, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1:4] AS ls FROM conversations WHERE role = 'assistant')
+SELECT conv_id, turn, len(ls) AS n_lines, array_to_string(list_transform(ls, lambda x: CASE WHEN regexp_matches(x, '^[*•-]') THEN '- ' || trim(regexp_replace(x, '^[*•\- ]+', '')) ELSE x END), chr(10)) AS bullets FROM l""")
+def bullet_lines(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", S.bullets("text").alias("ls"))
+    return c.select("conv_id", "turn", F.size("ls").cast("long").alias("n_lines"), F.array_join("ls", "\n").alias("bullets"))
 
 
 # -- entities -----------------------------------------------------------------------------------------------
@@ -480,7 +461,7 @@ def rate_limit_streak(spark, sf_dir):
 
 
 @query(f"""WITH {ART}, n AS (SELECT id, press, pub_date, {NORM.format('title')} AS ref FROM art)
-SELECT strftime(pub_date, '%Y-%m-%d') AS day, press AS company, ref, count(*) AS n, list_sort(list(id)) AS items FROM n GROUP BY ALL""")
+SELECT strftime(pub_date, '%Y-%m-%d') AS day, press AS company, ref, count(*) OVER (PARTITION BY pub_date, press, ref) AS n, id AS item FROM n""")
 def seen_grouping(spark, sf_dir):
     a = articles(spark, sf_dir).withColumn("ref", T.normalize_title("title"))
     return R.seen_groups(a, "pub_date", "press", "ref", "id")
@@ -502,12 +483,15 @@ def anti_delivered(spark, sf_dir):
     return H.not_delivered(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("""WITH u AS (SELECT 0 AS s, doc_id AS seq, doc_id % 500 AS k, source FROM documents UNION ALL SELECT 1, page_id, page_id, NULL FROM pages)
-SELECT k, s AS from_source, seq FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY s, seq) = 1""")
+@query(f"""WITH {CLEAN}, every AS (SELECT 0 AS s, conv_id * 1000 + turn AS seq, substr(sha256(text), 1, 24) AS k FROM conversations UNION ALL SELECT 1, doc_id, substr(sha256(text), 1, 24) FROM documents
+  UNION ALL SELECT 2, page_id, substr(sha256(url), 1, 24) FROM c)
+SELECT k, s AS from_source, seq FROM every QUALIFY row_number() OVER (PARTITION BY k ORDER BY s, seq) = 1""")
 def union_sources(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.lit(0).alias("from_source"), F.col("doc_id").alias("seq"), (F.col("doc_id") % 500).alias("k"), "source")
-    p = table(spark, sf_dir, "pages").select(F.lit(1).alias("from_source"), F.col("page_id").alias("seq"), F.col("page_id").alias("k"))
-    return H.union_sources(d, p, key="k", seq="seq").select("k", "from_source", "seq")
+    """Three sources by a hash of what a row is: turns and documents by their text, pages by their address."""
+    c = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq"), T.short_hash("text").alias("k"), "role")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), T.short_hash("text").alias("k"), "source")
+    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), T.url_hash("url").alias("k"))
+    return H.union_sources(c, d, p, key="k", seq="seq").select("k", F.col("__from").alias("from_source"), "seq")
 
 
 @query("SELECT event_id::VARCHAR AS event_id, strftime(ts, '%Y-%m-%d %H:%M') AS ts, CASE event_type WHEN 'click' THEN 'Click' WHEN 'view' THEN 'View' ELSE event_type END AS event_type FROM events")
@@ -543,24 +527,4 @@ def usage_by_model(spark, sf_dir):
     return H.usage_by_model(calls, 100_000).withColumn("percent", F.col("percent").cast("double"))
 
 
-# -- streams -------------------------------------------------------------------------------------------------------
-def _stream(spark, sf_dir, name: str, make) -> DataFrame:
-    """All that is there, through a stream that ends, into a folder of the shared ones."""
-    import uuid
-
-    from ..sources.store import shared_folder
-    from ..streaming import incremental as I
-
-    folder = f"{shared_folder(spark)}/siftmill/{uuid.uuid4().hex}"
-    schema = table(spark, sf_dir, "events").schema
-    out = make(I.source(spark, sf_dir, schema, glob="events.parquet"))
-    I.run_available(out, f"{folder}/checkpoint", I.to_table(f"{folder}/{name}"))
-    return spark.read.schema(out.schema).parquet(f"{folder}/{name}/batch=*")
-
-
-@query("SELECT count(DISTINCT user_id) AS users FROM events")
-def stream_dedup_watermark(spark, sf_dir):
-    from ..streaming.incremental import once_each
-
-    found = _stream(spark, sf_dir, "once", lambda s: once_each(s, "ts", "user_id", "3000 hours").select("user_id"))
-    return found.agg(F.count(F.lit(1)).alias("users"))
+from . import triage  # noqa: E402,F401  adds its queries

@@ -12,9 +12,9 @@ from siftmill.functions import summaries as S
 from siftmill.functions import text as T
 from siftmill.operators import dedup, entities, history, reports, rules
 from siftmill.operators.clusters import components, ordered_clusters, stars
-from siftmill.operators.pairs import near_fingerprints, similar_titles, token_pairs
+from siftmill.operators.pairs import fingerprint_links, near_fingerprints, similar_titles, token_links, token_pairs, token_pairs_between
 from siftmill.sources import search
-from siftmill.sources.store import Store, publish, write_csv
+from siftmill.sources.store import Store, load_config, publish, write_csv
 from siftmill.streaming import incremental
 
 
@@ -76,15 +76,18 @@ def test_simhash(spark):
 
 # -- summaries --------------------------------------------------------------------------
 def test_summaries(spark):
-    assert [S.fixed_ending(x) for x in ("출범했다", "제공할 계획이다", "추진하고 있다", "서비스를 선보이겠다.")] == ["출범", "제공 예정", "추진 중", "서비스를 선보이겠다는 계획"]
-    assert spark.createDataFrame([("출범했다",)], "t string").select(S.fix_ending("t")).first()[0] == "출범"
+    lines = ("출범했다", "제공할 계획이다", "추진하고 있다", "서비스를 선보이겠다.", "논의함", "합의함", "동의함", "기능 포함", "물품 보관함", "지원 필요임", "도입됨", "개최한다고 밝혔다", "", "고객을")
+    ended = ["출범", "제공 예정", "추진 중", "서비스를 선보이겠다는 계획", "논", "합", "동", "기능 포함", "물품 보관함", "지원 필요", "도입", "개최", "", "고객"]
+    assert one(spark, F.transform("l", S.noun_ending), l=list(lines)) == ended
     assert one(spark, S.compact("t", 20), t="첫 문장이다. 둘째 문장이다. 셋째 문장이다.") == "첫 문장이다. 둘째 문장이다."
     assert one(spark, S.compact("t", 4), t="첫 문장이다. 둘째") == "첫 문장" and one(spark, S.compact("t", 99), t=None) == ""
     assert one(spark, S.is_grounded("s", "t"), s="은행 출시 출시", t="은행이 서비스를 출시") and not one(spark, S.is_grounded("s", "t"), s="1", t="x")
     assert one(spark, S.bullets("t"), t="* a\n\n• b\n- c\nd\ne") == ["- a", "- b", "- c", "d"]
-    why = lambda ls: one(spark, S.bullet_problem("l"), l=ls)
+    v = lambda *ls: tuple(one(spark, S.validated("t"), t="\n".join(ls)))
     good = "- 신한은행 디지털 자산 서비스 출시"
-    assert [why([good, good]), why([good]), why([good, "없음 불릿 하나도 없는 줄"]), why([good, good + "했다"]), why([good, "- 짧다"])] == [None, "lines", "bullet", "ending", "short"]
+    assert v(good, "* 기업 고객 대상 송금을 지원했다.") == (good + "\n- 기업 고객 대상 송금을 지원", None)
+    assert [v(*x)[1] for x in ([good], [good, "없음 불릿 하나도 없는 줄"], [good, "- 짧다"], ["- 새로운 서비스를 공개하는 방향 -함", good])] == ["줄 수 부족(1줄)", "불릿 없음: 없음 불릿 하나도 없는 줄", "짧은 줄(4자): 짧다", None]
+    assert v("- 새로운 서비스를 공개하는 방향인 것으로 보인다고 한다는 말이 있다", good)[1].startswith("어미 미보정('있다')")
     assert [one(spark, S.retry_wait(F.lit(n))) for n in (0, 2, 9)] == [2.0, 8.0, 30.0]
 
 
@@ -176,7 +179,19 @@ def test_token_pairs(spark, t):
     assert {(x.a, x.b) for x in token_pairs(spark.createDataFrame(sets, "id long, tokens array<string>"), t).collect()} == want
 
 
-@pytest.mark.parametrize("d", [3, 6])
+def test_token_pairs_between(spark):
+    r = random.Random(4)
+    a, b = ([(i, sorted(r.sample("abcdefghijklmnop", r.randint(1, 8)))) for i in range(40)] for _ in range(2))
+    want = {(i, j): len(set(x) & set(y)) for i, x in a for j, y in b if len(set(x) & set(y)) / min(len(x), len(y)) >= 0.5}
+    left, right = (spark.createDataFrame(rows, "id long, tokens array<string>") for rows in (a, b))
+    assert {(x.a, x.b): x.common for x in token_pairs_between(left, right, 0.5).collect()} == want
+    many = spark.createDataFrame([(i, ["a", "b"]) for i in range(50)] + [(99, ["a", "b", "c"]), (100, ["x"])], "id long, tokens array<string>")
+    assert {(x.id, x.class_id, x.links) for x in token_links(many, 0.9).collect()} == {(i, 0, 1) for i in range(50)} | {(99, 99, 1), (100, 100, 0)}
+    prints = spark.createDataFrame([(1, 7), (2, 7), (3, 6), (4, 0), (5, -1)], "id long, fp long")
+    assert {(x.id, x.class_id, x.links) for x in fingerprint_links(prints, 6).collect()} == {(1, 1, 1), (2, 1, 1), (3, 3, 1), (5, 5, 0)}
+
+
+@pytest.mark.parametrize("d", [0, 1, 3, 6, 10])
 def test_near_fingerprints(spark, d):
     r = random.Random(d)
     base = [r.getrandbits(64) - 2**63 for _ in range(12)]
@@ -192,7 +207,9 @@ def test_similar_titles(spark):
     titles = ["".join(r.choice("abcde ") for _ in range(r.randint(3, 12))).strip() or "x" for _ in range(40)]
     rows = [(i, t) for i, t in enumerate(titles)]
     want = {(i, j) for i, a in rows for j, b in rows if i < j and difflib.SequenceMatcher(None, b, a).ratio() >= 0.62}
-    assert {(x.a, x.b) for x in similar_titles(spark.createDataFrame(rows, "id long, title string"), 0.62).collect()} == want
+    first = {t: i for i, t in reversed(rows)}
+    want = {(i, j) for i, j in want if titles[i] != titles[j] and first[titles[i]] == i and first[titles[j]] == j}
+    assert {(x.a, x.b) for x in similar_titles(spark.createDataFrame(rows + rows, "id long, title string"), 0.62).collect()} == want
 
 
 def test_components_and_stars(spark):
@@ -227,6 +244,35 @@ def test_ordered_clusters(spark):
     assert {x.id: x.cluster for x in ordered_clusters(rows, spark.createDataFrame(sorted(match), "a long, b long")).collect()} == want
 
 
+def test_batch_clusters_like_comparing_all(spark):
+    """The ordered rule over all pairs of rows, on titles, bodies and words with many copies and companies that conflict."""
+    r = random.Random(12)
+    names = ["하나은행", "신한은행", "토스"]
+    words = ["블록", "송금", "상담", "지점", "카드", "자산", "결제", "인증"]
+    titles = [" ".join(r.sample(names, r.choice((0, 1, 1, 2))) + r.sample(words, r.randint(2, 4))) for _ in range(25)]
+    bodies = ["".join(r.choice("가나다라마바사 ") for _ in range(400)) for _ in range(8)] + [None, "짧은 본문"]
+    rows = [(i, i, r.choice(titles), r.choice(bodies), f"2026-07-{r.randint(1, 3):02}") for i in range(90)]
+    f = dedup.features(spark.createDataFrame(rows, "id long, seq long, title string, body string, pub_date string"), names)
+    feats = {x.id: x for x in f.collect()}
+    clash = lambda a, b: a.companies and b.companies and not set(a.companies) & set(b.companies)
+
+    def match(a, b):
+        if clash(a, b):
+            return False
+        both, common = a.body_ok and b.body_ok, set(a.content) & set(b.content)
+        share = len(common) / min(len(a.content), len(b.content)) if min(len(a.content), len(b.content)) >= 2 and len(common) >= 2 else 0
+        near = ((a.fp ^ b.fp) & (2**64 - 1)).bit_count() <= 6
+        alike = difflib.SequenceMatcher(None, b.norm_title, a.norm_title).ratio() >= 0.62
+        return a.norm_title == b.norm_title or (both and (a.body_hash == b.body_hash or near)) or alike or share >= 0.5 or (a.pub_date == b.pub_date and share >= 0.35)
+
+    clusters = []
+    for j in range(90):
+        home = None if j % 11 == 5 else next((c for c in clusters if not clash(feats[c[0]], feats[j]) and any(match(feats[m], feats[j]) for m in c)), None)
+        clusters.append([j]) if home is None else home.append(j)
+    got = dedup.batch_clusters(f, roundup=F.col("id") % 11 == 5)
+    assert {x.id: x.cluster for x in got.collect()} == {i: c[0] for c in clusters for i in c}
+
+
 ARTICLE = "id long, seq long, title string, body string, press string, pub_date string, url_hash string, extract_ok int, excluded boolean, exclude_reason string"
 
 
@@ -293,8 +339,15 @@ def test_store(spark, tmp_path):
     store.start_run(2, "2026-07-26T12:00", "a", "b")
     assert {r.run_id: r.status for r in store.runs().collect()} == {1: "success", 2: "running"}
     assert [r.id for r in store.history().collect()] == [1]
+    store.append("articles", spark.createDataFrame([(3, 2, "a"), (4, 3, "z")], "id long, run_id long, title string"))
+    assert sorted(r.id for r in store.as_if_delivered(spark.createDataFrame([(9, 9, "n")], "id long, run_id long, title string")).collect()) == [1, 9]
     store.retain("articles", "title", "u")
-    assert [r.id for r in store.read("articles").collect()] == [2]
+    assert sorted(r.id for r in store.read("articles").collect()) == [2, 4]
+    store.update("articles", store.read("articles").where("id = 4").withColumn("title", F.lit("x")))
+    assert {r.id: r.title for r in store.read("articles").collect()} == {2: "u", 4: "x"}
+    assert store.drop("articles", spark.createDataFrame([(2,)], "id long")) == 1
+    (tmp_path / "c.yaml").write_text("a: {b: [1, 2]}")
+    assert load_config(f"{tmp_path}/c.yaml") == {"a": {"b": [1, 2]}}
     publish(f"{tmp_path}/a.html", reports.render("t", [], [], [], {"raw": 1}))
     write_csv(f"{tmp_path}/a.csv", ["x"], [["ü"]])
     assert (tmp_path / "a.csv").read_bytes().startswith(b"\xef\xbb\xbf") and "raw: 1" in (tmp_path / "a.html").read_text()
@@ -321,14 +374,11 @@ def test_entry_without_llm():
 
 
 # -- a whole run -----------------------------------------------------------------------------------
-def test_review_and_summaries():
+def test_review_and_summaries(spark):
     from siftmill.operators import review as R
 
     good = "- 신한은행 디지털 자산 서비스 출시\n- 기업 고객 대상 송금 지원"
     body = "신한은행 디지털 자산 서비스 출시 기업 고객 대상 송금 지원 " * 10
-    assert R.one_summary(lambda *a: good, ["m"], "t", body) == (good, None, "m")
-    assert R.one_summary(lambda *a: good, ["m"], "t", None)[1] == "본문 없음" and R.one_summary(lambda *a: good, ["m"], "t", "x")[1].startswith("본문 부족")
-    assert R.one_summary(lambda *a: "- 전혀 없는 이야기를 지어낸 요약\n- 원문과 무관한 내용만 나열", ["m"], "t", body)[1] == "환각 의심"
     calls, waits = [], []
 
     def call(model, title, text):
@@ -339,8 +389,18 @@ def test_review_and_summaries():
             raise R.MinuteLimit(3 if len(calls) == 2 else None)
         return good
 
-    assert R.one_summary(call, ["a", "b"], "t", body, waits.append) == (good, None, "b") and waits == [3, 4.0]
-    assert R.one_summary(lambda *a: "x", ["m"], "t", body)[1].startswith("형식 검증 실패")
+    assert R.answer(call, ["a", "b"], "t", body, waits.append) == (good, None, "b") and waits == [3, 4.0]
+    assert R.answer(lambda *a: (_ for _ in ()).throw(R.MinuteLimit(1)), ["a"], "t", body, waits.append)[1] == "분당한도"
+    assert R.answer(lambda *a: (_ for _ in ()).throw(R.DailyLimit()), ["a"], "t", body)[1] == "레이트리밋(일일)"
+
+    def said(model, title, text):
+        return {"good": good, "bad form": "x", "made up": "- 전혀 없는 이야기를 지어낸 요약\n- 원문과 무관한 내용만 나열"}[title]
+
+    rows = [(1, "good", body, False), (2, "good", None, False), (3, "good", "x", False), (4, "bad form", body, False), (5, "made up", body, False), (6, "good", body, True)]
+    out = R.summarised(spark.createDataFrame(rows, "id long, title string, body string, excluded boolean"), said)
+    got = {r.id: (r.summary, r.summary_fail_reason, r.summary_ok) for r in out.collect()}
+    assert got[1] == (good, None, True) and got[6] == (None, None, False)
+    assert [got[k][1] for k in (2, 3, 5)] == ["본문 없음", "본문 부족(1자)", "환각 의심"] and got[4][1].startswith("형식 검증 실패: 줄 수 부족")
 
 
 def test_whole_run(spark, tmp_path):
@@ -360,7 +420,23 @@ def test_whole_run(spark, tmp_path):
     judge = lambda t, b: "NO" if "신한" in t else "YES"
     said = lambda m, t, b: "- 하나은행 생성형 AI 상담 서비스 발표\n- 하나은행 고객 상담 개선 기대"
     counts = run(spark, df, Job(LEX, index, names=["하나은행", "신한은행"], judge=judge, summarize=said), store, 1, "2026-07-26T10:00", f"{tmp_path}/p.html")
-    assert counts == {"raw": 4, "final": 1, "excluded": 3, "duplicates": 1, "seen": 0}
+    assert counts == {"raw": 4, "final": 1, "excluded": 3, "duplicates": 1, "seen": 0, "screened": 2, "extract_fail": 0, "summary_fail": 0}
     assert {r.run_id: r.status for r in store.runs().collect()} == {1: "success"}
     [row] = store.history().collect()
     assert (row.id, row.company, row.summary.count("\n")) == (1, "하나은행", 1) and "하나은행 AI 상담 시작" in (tmp_path / "p.html").read_text()
+    # A second run: an address, a title and a summary that were delivered, and something new.
+    again = [
+        (11, 1, "다른 제목의 하나은행 AI", body, "p", "2026-07-27", "http://a/1?utm_source=y", "", "hana", "s", None, "q"),
+        (12, 2, "하나은행 AI 상담 시작", "", "q", "2026-07-27", "http://b/2", "", "hana", "s", None, "q"),
+        (13, 3, "하나은행 디지털 고객 응대 개편", "하나은행 지점 고객 응대를 새로 고친다는 소식 " * 20, "p", "2026-07-27", "http://b/3", "", "hana", "s", None, "q"),
+        (14, 4, "신한은행 디지털 지점 개점", "신한은행 디지털 지점 개점 소식을 전하는 본문 " * 20, "p", "2026-07-27", "http://b/4", "", "shinhan", "s", None, "q"),
+    ]
+    told = lambda m, t, b: said(m, t, b) if "하나" in t else "- 신한은행 디지털 지점 개점 소식 전달\n- 신한은행 디지털 지점 본문 소식"
+    loose = lambda m, t, b: "- 하나은행 고객 응대 소식 새로 고친\n- 하나은행 고객 지점 응대 소식 새로" if "응대" in t else told(m, t, b)
+    job = Job(LEX, index, names=["하나은행", "신한은행"], judge=lambda t, b: "YES", summarize=loose)
+    counts = run(spark, spark.createDataFrame(again, df.schema), job, store, 2, "2026-07-27T10:00")
+    out = {r.id: r.exclude_reason for r in store.read("excluded").where("run_id = 2").collect()}
+    assert out[11].startswith("기열람(") and out[12].startswith("기열람(") and counts["seen"] >= 2 and counts["raw"] == 4
+    assert sorted(r.id for r in store.history().where("run_id = 2").collect()) == sorted({13, 14} - set(out))
+    first, second = (store.runs().where(f"run_id = {k}").first() for k in (1, 2))
+    assert second.search_start == "2026-07-26T09:40:00" and first.search_start == "2026-07-25T10:00:00"
