@@ -27,3 +27,4 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         j = max(i + 1, int(np.searchsorted(at, at[i] + most, side="right")) - 1)
         yield batch.slice(i, j - i)
         i = j
+    pa.default_memory_pool().release_unused()

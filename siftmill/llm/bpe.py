@@ -14,30 +14,39 @@ window around the cut is encoded again and grows until it agrees with both sides
   and those right of the other are exactly the tokens of the joined text. A window
   that finds no such tokens doubles, in the end to the whole of both sides.
 
-Words repeat, so their encodings are remembered, up to a bound.
+Words repeat, so their encodings are remembered, packed, in two generations of at
+most half of ``MEMO`` bytes: when the younger is full it becomes the older one, and
+words met again move back. Batches are cut into ``SLICE`` bytes of text, and the new
+words of a slice are encoded together.
 
 Cases: a null or empty text has no tokens; strings of special tokens in a text
 become those tokens, as the tokenizers library has it; memory is in proportion to
-the longest text; repeated rows get the same result; an empty table gives an empty
+a slice or the longest text, and the memo's bound; repeated rows get the same result; an empty table gives an empty
 result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from .arrow import slices
 from .scratch import documents, shipped
 
-LEAF, MEMO, GAP = 4096, 300_000, 4
+LEAF, GAP = 4096, 4
+#: Bytes that a worker's memo may take, bytes of an entry besides its word and ids, and bytes of text encoded at once.
+MEMO, ENTRY, SLICE = 32 << 20, 190, 1 << 20
 WHITE = b" \t\n\x0b\x0c\r"
 
 Token = tuple[int, int, int]  # id, start, end in characters
@@ -47,12 +56,13 @@ class TreeEncoder:
     """Encodes and decodes as the tokenizers library does with the tokenizer in ``spec`` (its JSON)."""
 
     def __init__(self, spec: str, leaf: int = LEAF, memo: int = MEMO):
-        self.spec, self.leaf, self.most = spec, max(leaf, 2), memo
-        self.memo: dict[bytes, tuple[int, str, str]] = {}
+        self.spec, self.leaf, self.most = spec, max(leaf, 2), memo // 2
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.size = 0
 
     @cached_property
     def library(self):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # each task has one core
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_str(self.spec)
@@ -92,35 +102,51 @@ class TreeEncoder:
             parts = joined + parts[len(joined) * 2 :]
         return parts[0][0]
 
-    def entry(self, ids: list[int], tokens: list[str]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join(tokens)
-
     def learn(self, words: set[bytes]) -> None:
-        """Puts the encodings of ``words`` into the memo."""
+        """Puts the ids of ``words`` into the memo."""
         short = [w for w in words if len(w) <= self.leaf]
-        for w, e in zip(short, self.library.encode_batch([w.decode("utf-8", "replace") for w in short], add_special_tokens=False)):
-            self.memo[w] = self.entry(e.ids, e.tokens)
+        with _threads("false"):  # each task has one core
+            found = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in short], add_special_tokens=False)
+        for w, e in zip(short, found):
+            self.remember(w, array("i", e.ids).tobytes())
         for w in words:
             if len(w) > self.leaf:
-                ids = [t[0] for t in self.unsplit(w.decode("utf-8", "replace"))]
-                self.memo[w] = self.entry(ids, list(map(self.library.id_to_token, ids)))
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
-        """(tokens, ids, decoded text) of each text, ids joined by one space."""
-        for text in texts:
-            words = self.words(text.encode("utf-8", "replace"))
-            new = set(words).difference(self.memo)
-            if len(self.memo) + len(new) > self.most:
-                self.memo.clear()
-                new = set(words)
-            if new:
-                self.learn(new)
-            found = [x for x in map(self.memo.get, words) if x[0]]
-            yield sum(x[0] for x in found), " ".join([x[1] for x in found]), self.decode([x[2] for x in found])
-
-    def decode(self, pieces: list[str]) -> str:
-        """Of the tokens' strings: without a decoder in the tokenizer the library joins them by a space."""
-        return " ".join(pieces)
+                self.remember(w, array("i", [t[0] for t in self.unsplit(w.decode("utf-8", "replace"))]).tobytes())
+
+    def remember(self, word: bytes, ids: bytes) -> None:
+        self.young[word] = ids
+        self.size += len(word) + len(ids) + ENTRY
+
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; the texts' new words are encoded together."""
+        split = [self.words(t.encode("utf-8", "replace")) for t in texts]
+        if self.size > self.most:
+            self.young, self.old, self.size = {}, self.young, 0
+        new = set().union(*split).difference(self.young)
+        for w in self.old.keys() & new:
+            self.remember(w, self.old[w])
+            new.discard(w)
+        if new:
+            self.learn(new)
+        for words in split:
+            yield np.frombuffer(b"".join(map(self.young.__getitem__, words)), np.int32)
+
+    @cached_property
+    def names(self) -> list[str]:
+        """The string of each id's token."""
+        return [self.library.id_to_token(i) or "" for i in range(1 + max(self.library.get_vocab(True).values()))]
+
+    @cached_property
+    def numerals(self) -> list[str]:
+        return list(map(str, range(len(self.names))))
+
+    def listed(self, ids: np.ndarray) -> str:
+        """The decimal ids, joined by one space."""
+        return " ".join(map(self.numerals.__getitem__, ids.tolist()))
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The tokens' strings, joined by a space: what the library does for a tokenizer without a decoder."""
+        return " ".join(map(self.names.__getitem__, ids.tolist()))
 
     # -- one long word: a tree of token sequences ---------------------------
     def unsplit(self, text: str) -> list[Token]:
@@ -138,7 +164,8 @@ class TreeEncoder:
             return self.direct(text, start, end)
         edges = [start, *cuts, end]
         spans = list(zip(edges, edges[1:]))
-        leaves = self.library.encode_batch([text[a:b] for a, b in spans], add_special_tokens=False)
+        with _threads("true"):  # the leaves of one long word, side by side
+            leaves = self.library.encode_batch([text[a:b] for a, b in spans], add_special_tokens=False)
         parts = [([(i, a + x, a + y) for i, (x, y) in zip(e.ids, e.offsets)], a, b) for (a, b), e in zip(spans, leaves)]
         while len(parts) > 1:
             joined = [(self.join(text, *parts[i], *parts[i + 1][::2]), parts[i][1], parts[i + 1][2]) for i in range(0, len(parts) - 1, 2)]
@@ -188,7 +215,20 @@ class TreeEncoder:
         return None
 
 
-@lru_cache(4)
+@contextlib.contextmanager
+def _threads(use: str) -> Iterator[None]:
+    before = os.environ.get("TOKENIZERS_PARALLELISM")
+    os.environ["TOKENIZERS_PARALLELISM"] = use
+    try:
+        yield
+    finally:
+        if before is None:
+            del os.environ["TOKENIZERS_PARALLELISM"]
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = before
+
+
+@lru_cache(1)
 def encoder_for(spec: str, leaf: int) -> TreeEncoder:
     """One for each worker process, whose memo outlives a task."""
     return TreeEncoder(spec, leaf)
@@ -211,18 +251,19 @@ def encoded(docs: DataFrame, spec_path: str, *, leaf: int = LEAF, with_ids: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(spec, leaf)
-        for b in batches:
-            for start in range(0, b.num_rows, 256):
-                part = b.slice(start, 256)
-                found = list(encoder.encode([t or "" for t in part.column(1).to_pylist()]))
-                cols = [
-                    part.column(0),
-                    pa.array([x[0] for x in found], pa.int64()),
-                    pa.array([hashlib.sha256(x[1].encode()).hexdigest() for x in found], pa.string()),
-                    pa.array([hashlib.sha256(x[2].encode()).hexdigest() for x in found], pa.string()),
-                ]
+        for whole in batches:
+            for b in slices(whole, "text", SLICE):
+                counts, ids, hashes, decoded = [], [], [], []
+                for x in encoder.encode(t.as_py() or "" for t in b.column(1)):
+                    counts.append(len(x))
+                    hashes.append(hashlib.sha256(encoder.listed(x).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(encoder.decode(x).encode()).hexdigest())
+                    if with_ids:
+                        ids.append(x)
+                cols = [b.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
                 if with_ids:
-                    cols.append(pa.array([list(map(int, x[1].split())) for x in found], pa.list_(pa.int32())))
+                    ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()

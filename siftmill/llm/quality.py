@@ -5,24 +5,30 @@ and for boilerplate. Lines that fail are cut out; a document is rejected when it
 loses more than half of its word characters, or fails the base rules.
 
 Cases: a null text is an empty one, has no words and is rejected; empty lines and
-lines of white space are kept and weigh nothing; lines are judged one by one, so a
-text of any length takes memory in proportion to itself; repeated rows get the
-same verdict; an empty table gives an empty result; other columns of the input are
-left alone (``keep_clean``) or ignored (``line_quality``).
+lines of white space are kept and weigh nothing; batches are cut into ``SLICE`` bytes
+of text, so memory is in proportion to a slice or to one longer text; repeated rows
+get the same verdict; an empty table gives an empty result; other columns of the
+input are left alone (``keep_clean``) or ignored (``line_quality``).
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from .arrow import slices
 from .scratch import documents, shipped
 
+#: Bytes of text judged at once, and words from which windows are numbered instead of kept as tuples.
+SLICE, MANY_WORDS = 1 << 20, 4096
+
 BOILERPLATE = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies",
     "enable javascript", "click here", "sign up for", "subscribe to", "log in to", "share this", "lorem ipsum",
@@ -57,6 +63,8 @@ def line_fails(line: str, words: int, chars: int, rules: Rules = Rules()) -> boo
 
 def repeat_words(words: list) -> int:
     """Words that lie in five-word windows found twice or more."""
+    if len(words) >= MANY_WORDS:
+        return _repeat_words_of_many(words)
     grams = list(zip(words, words[1:], words[2:], words[3:], words[4:]))
     if len(set(grams)) == len(grams):
         return 0
@@ -68,8 +76,23 @@ def repeat_words(words: list) -> int:
     return covered
 
 
-def judge(text: str, rules: Rules = Rules()) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines_removed, lost_chars, cleaned text)."""
+def _repeat_words_of_many(words: list) -> int:
+    """The same over numbers: windows of two, four and five words are numbered one from the other."""
+    number: dict = defaultdict(count().__next__)
+    one = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    joined = lambda a, b: np.unique(a * len(words) + b, return_inverse=True)[1]
+    two = joined(one[:-1], one[1:])
+    four = joined(two[:-2], two[2:])
+    five = joined(four[:-1], one[4:])
+    again = np.flatnonzero(np.bincount(five)[five] > 1)
+    covered = np.zeros(len(words), bool)
+    for k in range(5):
+        covered[again + k] = True
+    return int(covered.sum())
+
+
+def judge(text: str, rules: Rules = Rules(), *, with_text: bool = True) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines_removed, lost_chars, cleaned text, if wanted and kept)."""
     words = text.encode("utf-8", "surrogatepass").split()
     n, chars = len(words), len(text) - _count(text, WHITE)
     repeats = repeat_words(words)
@@ -85,10 +108,12 @@ def judge(text: str, rules: Rules = Rules()) -> tuple:
                 removed += 1
                 lost += in_words
                 continue
-        left.append(line)
+        if with_text:
+            left.append(line)
     failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
     kept = not failed and 100 * lost <= rules.max_lost_percent * chars
-    return n, chars, _count(text, SYMBOLS), doubles, repeats, failed, kept, removed, lost, "\n".join(left) if removed else text
+    cleaned = None if not (kept and with_text) else "\n".join(left) if removed else text
+    return n, chars, _count(text, SYMBOLS), doubles, repeats, failed, kept, removed, lost, cleaned
 
 
 FIELDS = [pa.field(k, pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [
@@ -98,13 +123,14 @@ SCHEMA = ", ".join(f"{f.name} {'boolean' if f.type == pa.bool_() else 'string' i
 
 
 def line_quality(docs: DataFrame, rules: Rules = Rules(), *, with_text: bool = True) -> DataFrame:
-    """doc_id, the base counts, both verdicts, what the line rules took, and the cleaned text."""
+    """doc_id, the base counts, both verdicts, what the line rules took, and the cleaned text of rows that are kept."""
     fields = FIELDS if with_text else FIELDS[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [judge(t or "", rules) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([x[i] for x in found], f.type) for i, f in enumerate(fields))], names=["doc_id", *(f.name for f in fields)])
+        for whole in batches:
+            for b in slices(whole, "text", SLICE):
+                found = [judge(t.as_py() or "", rules, with_text=with_text) for t in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([x[i] for x in found], f.type) for i, f in enumerate(fields))], names=["doc_id", *(f.name for f in fields)])
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return shipped(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA if with_text else SCHEMA.rpartition(',')[0]}")
@@ -114,12 +140,13 @@ def keep_clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` without the rejected rows; ``text`` is the cleaned one and ``n_chars``, if there, its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [judge(t or "", rules) for t in b.column("text").to_pylist()]
-            keep = [i for i, x in enumerate(found) if x[6]]
-            new = {"text": [found[i][9] for i in keep], "n_chars": [len(found[i][9]) for i in keep]}
-            b = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else b.column(i) for i, f in enumerate(b.schema)], schema=b.schema)
+        for whole in batches:
+            for b in slices(whole, "text", SLICE):
+                found = [judge(t.as_py() or "", rules) for t in b.column("text")]
+                keep = [i for i, x in enumerate(found) if x[6]]
+                new = {"text": [found[i][9] for i in keep], "n_chars": [len(found[i][9]) for i in keep]}
+                b = b.take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else b.column(i) for i, f in enumerate(b.schema)], schema=b.schema)
 
     return shipped(docs).mapInArrow(run, docs.schema)
 

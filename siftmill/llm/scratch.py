@@ -1,58 +1,14 @@
-"""Tables that cut a plan's lineage, in the folder that all executors share.
-
-The folder is the one that ``spark.checkpoint.dir`` names. Only a local session
-that names none gets a temporary folder of its own.
-"""
+"""The library's shared folder and written tables, under the names used here."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 
-_local: list[str] = []
-_shipped: set[str] = set()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The shared scratch folder; a session on a cluster must name one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local:
-        _local.append(tempfile.mkdtemp(prefix="siftmill-"))
-        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
-    return f"file://{_local[0]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
-
-    A later stage that loses an executor reads the files again; it doesn't run
-    the plan above them. Files stay until the folder is cleared.
-    """
-    path = f"{shared_folder(df.sparkSession)}/siftmill/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
+from ..sources.store import shared_folder, shipped
+from ..sources.store import stage as written
+from ..sources.store import unstage as done_with
 
-def shipped(df: DataFrame) -> DataFrame:
-    """``df``, once the Python workers of its session can import this package."""
-    root = Path(__file__).resolve().parents[2]
-    context = df.sparkSession.sparkContext
-    if str(root) not in os.environ.get("PYTHONPATH", "").split(os.pathsep) and context.applicationId not in _shipped:
-        folder = tempfile.mkdtemp(prefix="siftmill-zip-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.addPyFile(shutil.make_archive(f"{folder}/siftmill", "zip", root, "siftmill"))
-        _shipped.add(context.applicationId)
-    return df
+__all__ = ["documents", "done_with", "shared_folder", "shipped", "written"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import clusters
+from .arrow import slices
 from .scratch import documents, shipped, written
 
 WORDS, SEED, MOST, HOT = 3, 42, 3, 4096
-#: Sums of bits are taken over so many shingles at once.
-BLOCK = 1 << 16
+#: Sums of bits are taken over so many shingles at once; so many bytes of text are read at once.
+BLOCK, SLICE = 1 << 16, 1 << 20
 
 
 def fingerprint(raw: bytes) -> int:
@@ -61,9 +63,10 @@ def fingerprints(docs: DataFrame, *more: Column) -> DataFrame:
     rows = docs.select("text", "doc_id", *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = np.array([fingerprint((t or "").encode("utf-8", "replace")) for t in b.column(0).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found.view(np.int64))], names=[*b.schema.names[1:], "fp"])
+        for whole in batches:
+            for b in slices(whole, "text", SLICE):
+                found = np.array([fingerprint((t.as_py() or "").encode("utf-8", "replace")) for t in b.column(0)], np.uint64)
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found.view(np.int64))], names=[*b.schema.names[1:], "fp"])
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return shipped(rows).mapInArrow(run, f"{kept}, fp bigint")
@@ -177,21 +180,7 @@ def links(distinct: DataFrame, *, most: int = HOT) -> DataFrame:
 # -- components -------------------------------------------------------------
 def components(edges: DataFrame) -> DataFrame:
     """node, root for each node of ``edges`` (a, b); the root is the smallest node it reaches."""
-    both = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
-    before = None
-    while True:
-        # Large star: the larger neighbours of a node link to the smallest that the node knows.
-        ways = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = ways.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = ways.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        # Small star: a node and its smaller neighbours link to the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        both = written(small.where("u != v").distinct(), "edges")
-        now = both.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
-            return both.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    return clusters.components(edges).select(F.col("id").alias("node"), F.col("component").alias("root"))
 
 
 def near_groups(docs: DataFrame, *, most: int = HOT) -> DataFrame:
@@ -217,13 +206,19 @@ def row_of(docs: DataFrame) -> Column:
 
 
 def first_rows(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each root of ``members`` (doc_id, row, root): by doc_id, nulls last, then by the row's hash."""
-    times = members.groupBy("root", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
-    best = times.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "n")).alias("b"))
-    won = written(best.select(F.col("b.doc_id").alias("__id"), F.col("b.row").alias("__row"), F.col("b.n").alias("__n")), "won")
+    """One row of ``docs`` for each root of ``members`` (doc_id, row, root): by doc_id, nulls last, then by the row's hash.
+
+    Texts meet only the keys of rows that go, and those of rows alike in all columns, of which one stays.
+    """
+    times = written(members.groupBy("root", "doc_id", "row").agg(F.count(F.lit(1)).alias("n")), "members")
+    key = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")
+    best = times.groupBy("root").agg(F.min(key).alias("b"), F.sum("n").alias("size")).where("size > 1")
+    mine = times.join(best, "root").withColumn("wins", key.eqNullSafe(F.col("b")))
+    out = written(mine.where("NOT wins OR n > 1").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "wins"), "out")
     rows = docs.withColumn("__hash", row_of(docs))
-    of = lambda won: rows.join(won, (F.col("__hash") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id"))).select(*docs.columns)
-    return of(won.where("__n = 1")).unionByName(of(won.where("__n > 1")).distinct())
+    same = (F.col("__hash") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    left = rows.join(out, same, "left_anti").select(*docs.columns)
+    return left.unionByName(rows.join(out.where("wins"), same, "left_semi").select(*docs.columns).distinct())
 
 
 def keep_first(docs: DataFrame, *, most: int = HOT) -> DataFrame:
