@@ -1,13 +1,14 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling. DataFrame functions only.
 
 Each document draws the key ``-ln(u) / weight``, where ``u`` comes from a hash of
-its id and ``weight`` from the quality of its text; smaller keys come first. A
+its id (without one, of its text) and ``weight`` from the quality of its text; smaller keys come first. A
 source whose target exceeds its size is first taken whole as often as it fits
 (complete epochs); the rest of the budget goes to the first documents by key.
 
 A source may hold a third of all rows, so nothing sorts a source in one task. The
 keys fall into 65,536 slots by their distribution function; sums by (source, slot)
-are added up along the slots, and only rows of the same slot are sorted together.
+are added up along the slots, and only rows of the one slot in which a source's
+budget ends are sorted together. Rows of other slots learn from their source's plan.
 
 Cases: a null text has size 0 and is never taken; a null source is a source of
 its own and comes last; rows that repeat a doc_id draw the same key, and rows
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .scratch import documents, written
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLOTS = 65_536
+SLOTS, BLOCK = 65_536, 256
 MOST_EPOCHS = 3
 
 
@@ -38,8 +39,9 @@ def quality_weight(text: Column) -> Column:
     return F.coalesce(F.lit(1.0) - F.lit(0.75) * F.least(F.lit(1.0), F.lit(10.0) * share), F.lit(0.25))
 
 
-def exponential_key(doc_id: Column, weight: Column, seed: int) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def exponential_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
     return -F.ln(u) / weight
 
@@ -67,38 +69,79 @@ def source_targets(sized: DataFrame) -> DataFrame:
     return leveled.withColumn("at", at).select("source", "source_size", F.when(F.col("open"), F.col("at") * F.col("w")).otherwise(F.col("cap")).alias("target"))
 
 
-def mix(docs: DataFrame, *, weight: Column | None = None, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs, taken for each row of ``docs``."""
+def _keyed(docs: DataFrame, weight: Column | None, seed: int, *more: Column) -> DataFrame:
+    """doc_id, source, size, key, slot of each row of ``docs``, and ``more``."""
     text = F.col("text")
-    sized = written(
-        docs.select("doc_id", "source", n_words(text).alias("size"), (quality_weight(text) if weight is None else weight).alias("weight")),
-        "sized",
-    )
-    key = exponential_key(F.col("doc_id"), F.col("weight"), seed)
+    w = quality_weight(text) if weight is None else weight
+    key = exponential_key(F.col("doc_id"), text, w, seed)
     slot = F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * SLOTS), F.lit(SLOTS - 1)).cast("int")
-    keyed = sized.withColumn("key", key).withColumn("slot", slot)
+    return docs.select("doc_id", "source", n_words(text).alias("size"), key.alias("key"), *more).withColumn("slot", slot)
+
+
+def _plans(keyed: DataFrame) -> DataFrame:
+    """of, source_size, target, whole (complete epochs), rest (words beyond them), cut (the slot in which these end), offset (words in the slots before it)."""
+    targets = source_targets(keyed.select("source", "size"))
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    targets = targets.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+    # Sums along the slots: inside blocks of slots, and along the blocks.
+    slots = keyed.groupBy("source", "slot").agg(F.sum("size").alias("n")).withColumn("block", F.floor(F.col("slot") / BLOCK))
+    before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    upto = lambda c, *by: F.coalesce(F.sum(c).over(before(*by)), F.lit(0))
+    inside = slots.withColumn("inside", upto("n", "source", "block", "slot"))
+    blocks = slots.groupBy("source", "block").agg(F.sum("n").alias("b")).withColumn("along", upto("b", "source", "block"))
+    blocks = blocks.select(F.col("source").alias("s"), F.col("block").alias("k"), "along")
+    placed = inside.join(blocks, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k"))).withColumn("offset", F.col("inside") + F.col("along"))
+    ends = placed.select(F.col("source").alias("s"), "slot", "n", "offset").join(targets.select("source", "rest"), F.col("s").eqNullSafe(F.col("source")))
+    ends = ends.where("offset <= rest AND rest < offset + n").select("s", F.col("slot").alias("cut"), "offset")
+    # Without such a slot the rest is nothing, or by rounding all there is.
+    beyond = F.when(F.col("rest") > 0, F.lit(SLOTS)).otherwise(F.lit(-1))
+    return targets.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        F.col("source").alias("of"), "source_size", "target", "whole", "rest", F.coalesce("cut", beyond).alias("cut"), F.coalesce("offset", F.lit(0)).alias("offset")
+    )
 
-    targets = source_targets(sized)
-    slots = keyed.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
-    along = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slots.select(F.col("source").alias("s"), F.col("slot").alias("k"), F.coalesce(F.sum("slot_size").over(along), F.lit(0)).alias("offset"))
-    targets = targets.withColumnRenamed("source", "t")
 
-    inside = Window.partitionBy("source", "slot").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("k"))).select(
-        "doc_id", "source", "size", "key", (F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("before")
-    )
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    last = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= rest)
-    return (
-        placed.join(targets, F.col("source").eqNullSafe(F.col("t")))
-        .withColumn("epochs", epochs)
-        .withColumn("epochs", F.col("epochs") + last.cast("long"))
-        .select("doc_id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"))
+def _planned(keyed: DataFrame, plans: DataFrame) -> DataFrame:
+    """``keyed`` with the plan of its source. The plans have a row for each source; Spark broadcasts them below its threshold."""
+    return keyed.join(plans, F.col("source").eqNullSafe(F.col("of")))
+
+
+def _last(planned: DataFrame, *order: str) -> DataFrame:
+    """Rows of the slots in which a source's rest ends, with ``last``: whether it reaches them. All that is ever sorted."""
+    along = Window.partitionBy("source").orderBy("key", "doc_id", "size", *order).rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.col("offset") + F.coalesce(F.sum("size").over(along), F.lit(0)) + F.col("size") / 2
+    return planned.where("slot = cut").withColumn("last", (F.col("size") > 0) & (upto <= F.col("rest")))
+
+
+def mix(docs: DataFrame, *, weight: Column | None = None, seed: int = 7) -> DataFrame:
+    """doc_id, source, size, source_size, target, epochs, taken for each row of ``docs``."""
+    keyed = written(_keyed(docs, weight, seed), "keyed")
+    planned = _planned(keyed, written(_plans(keyed), "plans"))
+    sure = planned.where("slot != cut").withColumn("last", (F.col("size") > 0) & (F.col("slot") < F.col("cut")))
+    epochs = F.col("whole") + F.col("last").cast("long")
+    return sure.unionByName(_last(planned)).withColumn("epochs", epochs).select(
+        "doc_id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken")
     )
 
 
+def mixed(docs: DataFrame, *, weight: Column | None = None, seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Texts are not dealt out: each row learns its copies from the plan of its source.
+    Only rows of a slot in which a rest ends are ranked, by their keys and a hash of
+    the row; of rows alike in all columns one stands for as many as are taken.
+    """
+    row = F.xxhash64(*docs.columns, *(F.isnull(c) for c in docs.columns)).alias("__row")
+    keyed = written(_keyed(docs, weight, seed, row), "keyed")
+    plans = written(_plans(keyed), "plans")
+    won = _last(_planned(keyed, plans), "__row").where("last").groupBy(F.col("doc_id").alias("__id"), F.col("__row").alias("__won")).agg(F.count(F.lit(1)).alias("__times"))
+    every = F.struct(*docs.columns).alias("__doc")
+    planned = _planned(_keyed(docs, weight, seed, row, every), plans)
+    copies = lambda df, n: df.where(n > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), n.cast("int")))).select("__doc.*")
+    sure = copies(planned, F.when(F.col("size") > 0, F.col("whole") + (F.col("slot") < F.col("cut")).cast("long")).otherwise(0))
+    ends = planned.where("slot = cut").select("__row", "doc_id", "__doc").join(won, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__won")))
+    return sure.unionByName(copies(ends.groupBy("__id", "__row", "__times").agg(F.min("__doc").alias("__doc")), F.col("__times")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -110,7 +153,7 @@ WITH base AS (
          coalesce(1.0::DOUBLE - 0.75::DOUBLE * least(1.0::DOUBLE, 10.0::DOUBLE *
            (len(regexp_extract_all(text, '[#*$%&|<>]'))::DOUBLE
             / greatest(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')), 1)::DOUBLE)), 0.25::DOUBLE) AS weight,
-         ((('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE)
+         ((('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::BIGINT + 0.5::DOUBLE)
            / 4503599627370496::DOUBLE) AS u
   FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM base GROUP BY source),
