@@ -7,8 +7,10 @@ Three combining steps, each grouping by digest *and* full normalised text:
    third of all rows hold is spread over ``salts`` tasks;
 3. global: one winner for each salt and text meets by (digest, text).
 
-The rows then get their winner by digest alone, unless one digest stands for two
-texts; in that case the join also compares the texts.
+Aggregates hold numbers, so Spark combines by hashing: length and doc_id are packed
+in one decimal. A text that one row has is that row's winner, without a join; the
+others are repeated under each salt, and rows get theirs by digest and salt alone,
+unless one digest stands for two texts; in that case the join also compares the texts.
 
 Cases: a null text counts as empty; rows that repeat a doc_id with the same text
 are alike (each counts in group_size, all of them have the same ``kept``); a null
@@ -32,6 +34,27 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def _number(value: int, digits: int) -> Column:
+    return F.lit(str(value)).cast(f"decimal({digits},0)")
+
+
+#: Packed numbers: doc_ids, from 1 on and 0 for null, are below this.
+IDS, FIRST = 1 << 65, (1 << 63) + 1
+
+
+def packed(n: Column, doc_id: Column) -> Column:
+    """A number whose order is that of (-n, doc_id), nulls first."""
+    place = F.coalesce(doc_id.cast("decimal(19,0)") + _number(FIRST, 19), _number(0, 20))
+    return (F.lit(1 << 31) - n).cast("decimal(10,0)") * _number(IDS, 20) + place
+
+
+def unpacked(number: Column) -> tuple[Column, Column]:
+    """(n, doc_id) of a packed number."""
+    place = F.pmod(number, _number(IDS, 20))
+    n = F.lit(1 << 31) - ((number - place) / _number(IDS, 20)).cast("long")
+    return n, F.when(place > 0, (place - _number(FIRST, 19)).cast("long"))
+
+
 def exact_groups(docs: DataFrame, *, digest: Callable[[Column], Column] = sha256, salts: int = 16) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``.
 
@@ -39,34 +62,36 @@ def exact_groups(docs: DataFrame, *, digest: Callable[[Column], Column] = sha256
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     norm = F.regexp_replace(text, WHITE, "")
-    rows = docs.select("doc_id", F.char_length(text).alias("n"), digest(norm).alias("digest"), norm.alias("norm"), sha256(norm).alias("text_sha256"))
-    narrow = written(rows.select("doc_id", "n", "digest", "text_sha256"), "rows")
-
-    # The smallest of (-n, doc_id) is the longest row, then the smallest doc_id.
-    salted = (
-        rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-        .groupBy("digest", "salt", "norm")
-        .agg(F.min(F.struct((-F.col("n")).alias("m"), "doc_id")).alias("best"), F.count(F.lit(1)).alias("size"))
-    )
+    salt = F.pmod(F.xxhash64("doc_id", "n"), F.lit(salts)).cast("int").alias("salt")
+    also = [] if digest is sha256 else [sha256(norm).alias("text_sha256")]  # the digest itself otherwise
+    named = F.col("text_sha256" if also else "digest").alias("text_sha256")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("n"), digest(norm).alias("digest"), norm.alias("norm"), *also)
+    narrow = written(rows.drop("norm"), "rows")
+
+    # The smallest packed number is the longest row, then the smallest doc_id.
+    numbered = rows.select("digest", "norm", salt, packed(F.col("n"), F.col("doc_id")).alias("best"))
+    salted = numbered.groupBy("digest", "salt", "norm").agg(F.min("best").alias("best"), F.count(F.lit(1)).alias("size"))
     merged = salted.groupBy("digest", "norm").agg(F.min("best").alias("best"), F.sum("size").alias("size"))
-    winners = written(
-        merged.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.first("best").alias("best"), F.first("size").alias("size")),
-        "winners",
-    )
-    found = narrow.join(winners.where("texts = 1"), "digest")
-    if not winners.where("texts > 1").isEmpty():
-        found = found.select("doc_id", "n", "best", "size", "text_sha256").unionByName(
-            rows.join(winners.where("texts > 1").select("digest"), "digest", "left_semi")
-            .join(merged, ["digest", "norm"])
-            .select("doc_id", "n", "best", "size", "text_sha256")
-        )
-    return found.select(
-        "doc_id",
-        F.col("best.doc_id").alias("keep_id"),
-        F.col("size").alias("group_size"),
-        (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n") == -F.col("best.m"))).alias("kept"),
-        "text_sha256",
+    winners = merged.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.min("best").alias("best"), F.min("size").alias("size"))
+    n, doc_id = unpacked(F.col("best"))
+    winners = written(winners.select("digest", "texts", n.alias("best_n"), doc_id.alias("keep_id"), "size"), "winners")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("best_n"))
+    answer = lambda df: df.select("doc_id", "keep_id", F.col("size").alias("group_size"), kept.alias("kept"), named)
+
+    several = winners.where("texts = 1 AND size > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = answer(narrow.withColumn("salt", salt).join(several, ["digest", "salt"]))
+    if also:
+        single = answer(narrow.join(winners.where("texts = 1 AND size = 1"), "digest"))
+        clash = winners.where("texts > 1").select("digest")
+        n, doc_id = unpacked(F.col("best"))
+        both = rows.join(clash, "digest", "left_semi").join(merged.select("digest", "norm", n.alias("best_n"), doc_id.alias("keep_id"), "size"), ["digest", "norm"])
+        return found.unionByName(single).unionByName(answer(both))
+    single = winners.where("texts = 1 AND size = 1").select(
+        F.col("keep_id").alias("doc_id"), "keep_id", F.col("size").alias("group_size"), F.lit(True).alias("kept"), named
     )
+    if winners.where("texts > 1").isEmpty():
+        return found.unionByName(single)
+    return exact_groups(docs, digest=lambda c: sha256(c), salts=salts)  # two texts of one digest: compare the texts throughout
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
