@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,19 +133,58 @@ def csv_cells(df: DataFrame, dates: Sequence[str] = (), lists: Sequence[str] = (
 
 
 PAGE = """<!DOCTYPE html><html><head><meta charset="utf-8"><title>{title}</title></head><body>{body}
-<script>document.querySelector("#q").oninput=e=>document.querySelectorAll(".item").forEach(x=>x.hidden=!x.textContent.toLowerCase().includes(e.target.value.toLowerCase()))</script></body></html>"""
+<script>
+const q=document.querySelector("#q"),tab=document.querySelector("#tab"),sector=document.querySelector("#sector");
+const show=()=>document.querySelectorAll(".item").forEach(x=>x.hidden=!(x.textContent.toLowerCase().includes(q.value.toLowerCase())&&(!tab||!tab.value||x.dataset.tab===tab.value)&&(!sector||!sector.value||x.dataset.sector===sector.value)));
+[q,tab,sector].forEach(x=>x&&(x.oninput=show));
+</script></body></html>"""
 
 
-def render(title: str, tabs: Sequence, items: Sequence, log: Sequence, counts: dict) -> str:
-    """A page from rows of ``tab_counts``, articles, ``run_log`` and ``ledger``: a template over frames already reduced in Spark."""
-    esc = lambda x: html.escape("" if x is None else str(x))
-    head = "".join(f"<li>{esc(t['tab'])} {t['n']}</li>" for t in tabs if t["tab"] is not None and t["sector"] is None)
-    cards = "".join(
-        f'<div class="item"><h3><a href="{esc(a["url"])}">{esc(a["title"])}</a></h3><p>{esc(a["company"])} · {esc(a["sector"])} · {esc(a["dig_ai"])} · {esc(a["press"])} · {esc(a["pub_date"])}</p>'
-        f'<p>{esc(a["summary"]).replace(chr(10), "<br>")}</p><p>{esc(a["matched_keywords"])}</p></div>'
-        for a in items
-    )
-    runs = "".join(f"<tr><td>{esc(r['run_id'])}</td><td>{r['delivered']}</td><td>{r['cumulative']}</td></tr>" for r in log)
-    sums = "".join(f"<li>{esc(k)}: {v}</li>" for k, v in counts.items())
-    return PAGE.format(title=esc(title), body=f'<input id="q"><ul>{head}</ul>{cards}<table>{runs}</table><ul>{sums}</ul>')
+def _esc(x) -> str:
+    return html.escape("" if x is None else str(x))
+
+
+def _choice(name: str, counts: Sequence[tuple]) -> str:
+    return f'<select id="{name}"><option value="">all</option>' + "".join(f'<option value="{_esc(k)}">{_esc(k)} {n}</option>' for k, n in counts) + "</select>"
+
+
+def _card(a) -> str:
+    told = _esc(a["summary"]).replace("\n", "<br>")
+    line = " · ".join(_esc(a[c]) for c in ("company", "sector", "dig_ai", "press", "pub_date"))
+    return f'<div class="item" data-tab="{_esc(a["fin_group"])}" data-sector="{_esc(a["sector"])}"><h3><a href="{_esc(a["url"])}">{_esc(a["title"])}</a></h3><p>{line}</p><p>{told}</p><p>{_esc(a["matched_keywords"])}</p></div>'
+
 
+def render(title: str, tabs: Sequence, items: Iterable, log: Sequence, counts: dict, audit: Iterable = ()) -> str:
+    """A page from rows of ``tab_counts``, articles by run, ``run_log``, ``ledger`` and excluded rows (fate, title, exclude_reason): a template over frames already reduced in Spark.
+
+    Articles come in blocks of a run; tab, sector and text choose what is shown.
+    """
+    of_tab = [(t["tab"], t["n"]) for t in tabs if t["tab"] is not None and t["sector"] is None]
+    of_sector: dict[str, int] = {}
+    for t in tabs:
+        if t["tab"] is not None and t["sector"] is not None:
+            of_sector[t["sector"]] = of_sector.get(t["sector"], 0) + t["n"]
+    blocks = "".join(f'<section><h2>{_esc(run)}</h2>{"".join(map(_card, rows))}</section>' for run, rows in groupby(items, key=lambda a: a["run_id"]))
+    fates: dict[str, list[str]] = {}
+    for r in audit:
+        fates.setdefault(r["fate"], []).append(f'<li>{_esc(r["title"])}: {_esc(r["exclude_reason"])}</li>')
+    panel = "".join(f"<details><summary>{_esc(k)} {len(v)}</summary><ul>{''.join(v)}</ul></details>" for k, v in sorted(fates.items()))
+    runs = "".join(f"<tr><td>{_esc(r['run_id'])}</td><td>{r['delivered']}</td><td>{r['cumulative']}</td></tr>" for r in log)
+    sums = "".join(f"<li>{_esc(k)}: {v}</li>" for k, v in counts.items())
+    head = f'<input id="q">{_choice("tab", of_tab)}{_choice("sector", sorted(of_sector.items()))}'
+    return PAGE.format(title=_esc(title), body=f"{head}{blocks}{panel}<table>{runs}</table><ul>{sums}</ul>")
+
+
+def render_list(title: str, rows: Iterable) -> str:
+    """The compact list: rows (shown day, title, url, press, company) by day, each day with its count."""
+    out = []
+    for day, group in groupby(rows, key=lambda r: r["day"]):
+        lines = [f'<li class="item"><a href="{_esc(r["url"])}">{_esc(r["title"])}</a> {_esc(r["company"])} {_esc(r["press"])}</li>' for r in group]
+        out.append(f"<h2>{_esc(day)} ({len(lines)})</h2><ul>{''.join(lines)}</ul>")
+    return PAGE.format(title=_esc(title), body=f'<input id="q">{"".join(out)}')
+
+
+def listed(rows: DataFrame) -> DataFrame:
+    """day, title, url, press, company for the list, latest first."""
+    url = F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url")
+    return rows.orderBy(F.col("pub_date").desc(), F.col("id").desc()).select(weekday(F.to_date("pub_date")).alias("day"), "title", url, "press", "company")

@@ -61,6 +61,25 @@ def delivered_before(store: Store, now: str, days: int) -> tuple[DataFrame | Non
     return every, every.where(F.col("collected_at").cast("timestamp") >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS"))
 
 
+def with_summaries(judged: DataFrame, job: Job, store: Store, run_id: int) -> DataFrame:
+    """``judged`` with summaries. They are stored as soon as they are there, so a run after one that broke off asks only for those it lacks."""
+    if not store.exists("summaries"):
+        done = review.summarised(judged, job.summarize, job.models)
+        return _kept(done, store, run_id)
+    cached = history.with_cache(judged.select("id", "url_hash"), store.read("summaries"), "url_hash", "told", "run_id").where("told IS NOT NULL")
+    cached = stage(cached.select("id", "told"), "cached")
+    old = judged.join(cached, "id").withColumns({"summary": F.when(~F.col("excluded"), F.col("told")), "summary_fail_reason": F.lit(None).cast("string"), "summary_model": F.lit(None).cast("string")})
+    old = old.drop("told").withColumn("summary_ok", F.col("summary").isNotNull())
+    new = _kept(review.summarised(judged.join(cached.select("id"), "id", "left_anti"), job.summarize, job.models), store, run_id)
+    return new.unionByName(old.select(*new.columns))
+
+
+def _kept(done: DataFrame, store: Store, run_id: int) -> DataFrame:
+    done = stage(done, "summarised")
+    store.append("summaries", done.where("summary_ok").select("url_hash", F.col("summary").alias("told"), F.lit(run_id).cast("long").alias("run_id")))
+    return done
+
+
 def told_before(final: DataFrame, recent: DataFrame | None, names: Sequence[str]) -> DataFrame:
     """``final`` with the rows excluded whose summary tells of something delivered in the last days."""
     if recent is None:
@@ -91,7 +110,7 @@ def run(spark: SparkSession, rows: DataFrame, job: Job, store: Store, run_id: in
         single = stage(dedup.dedup(bodies, past, recent=recent, names=job.names, trusted=job.trusted, blocked=job.blocked), "single")
         placed = entities.classify(single, job.index, **job.classify)
         judged = stage(review.reviewed(placed, job.judge), "judged")
-        told = stage(review.summarised(judged, job.summarize, job.models), "told")
+        told = stage(with_summaries(judged, job, store, run_id), "told")
         ok = told.where("NOT excluded AND summary_ok")
         heads = dedup.summary_stars(ok, job.names, by=dedup.score(job.trusted)).where("id != head")
         final = told.join(heads, "id", "left").withColumn("dup_of", F.coalesce("head", "dup_of"))
@@ -103,9 +122,12 @@ def run(spark: SparkSession, rows: DataFrame, job: Job, store: Store, run_id: in
         store.append("excluded", final.where("excluded").select("run_id", "id", "title", F.col("original_url").alias("url"), "press", "exclude_reason", "pub_date", "collected_at"))
         counts = rules.ledger(final).first().asDict()
         if page:
-            items = kept.select("title", F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url"), "company", "sector", "dig_ai", "press", "pub_date", "summary", "matched_keywords").orderBy(F.col("pub_date").desc(), "title")
+            url = F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url")
+            items = kept.select("run_id", "title", url, "company", "sector", "fin_group", "dig_ai", "press", "pub_date", "summary", "matched_keywords").orderBy(F.col("run_id").desc(), F.col("pub_date").desc(), "title")
             log = reports.run_log(store.read("articles").groupBy("run_id").agg(F.count(F.lit(1)).alias("delivered"))).collect()
-            publish(page, reports.render("", history.tab_counts(kept, "fin_group", "sector").collect(), items.toLocalIterator(), log, counts))
+            gone = final.where("excluded").select(reports.fate().alias("fate"), "title", "exclude_reason").orderBy("title")
+            tabs = history.tab_counts(kept, "fin_group", "sector").collect()
+            publish(page, reports.render("", tabs, items.toLocalIterator(), log, counts, gone.toLocalIterator()))
         store.deliver(run_id, kept, now)
         return counts
     except Exception:

@@ -18,8 +18,7 @@ from ..operators import entities as E
 from ..operators import history as H
 from ..operators import reports as R
 from ..operators import review, rules
-from ..operators.clusters import elected, stars
-from ..operators.pairs import near_fingerprints, token_pairs
+from ..operators.clusters import elected
 from ..sources.store import stage
 from .queries import FP, NORM, OVERLAP, TOKENS, _hits, _list, query, table
 
@@ -423,10 +422,6 @@ def store_upkeep(spark, sf_dir):
 WORDED = f"""worded AS (SELECT *, {TOKENS.format(NORM.format('title'))} AS tokens FROM news)"""
 
 
-def _worded(spark, sf_dir):
-    return news(spark, sf_dir).withColumn("tokens", T.title_tokens(T.normalize_title("title")))
-
-
 def _stars_sql(edges: str, rows: str) -> str:
     """CTEs over ``rows`` (id, n: place in the order) and ``edges`` (a, b; a earlier): walks the rows in their order, with the heads so far."""
     return f"""near AS (SELECT b AS id, list(a ORDER BY n) AS earlier FROM {edges} JOIN {rows} r ON r.id = a GROUP BY b),
@@ -443,17 +438,14 @@ def display_groups(spark, sf_dir):
     return R.display_groups(news(spark, sf_dir).select("id", "seq", "title"))
 
 
-@query(f"""WITH RECURSIVE {NEWS}, {WORDED}, r AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM worded),
+@query(f"""WITH RECURSIVE {NEWS}, {TITLES}, worded AS (SELECT *, {TOKENS.format(NORM.format('title'))} AS tokens FROM titles WHERE NOT excluded), r AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM worded),
 e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM worded a JOIN worded b ON a.id < b.id AND len(a.tokens) > 0 AND len(b.tokens) > 0 WHERE {OVERLAP.format('a.tokens', 'b.tokens')} >= CASE WHEN a.pub_date = b.pub_date THEN 0.35 ELSE 0.5 END),
-{_stars_sql('e', 'r')}, g AS (SELECT w.id, w.head, length(title) AS len, w.id % 4 <> 0 AS summary_ok FROM walk w JOIN news USING (id))
-SELECT id, first_value(id) OVER (PARTITION BY head ORDER BY summary_ok DESC, len DESC, id) AS keep_id FROM g""")
+{_stars_sql('e', 'r')}, g AS (SELECT w.id, w.head, length(title) AS len, w.id % 4 <> 0 AS summary_ok FROM walk w JOIN news USING (id)),
+b AS (SELECT id, first_value(id) OVER (PARTITION BY head ORDER BY summary_ok DESC, len DESC, id) AS keep_id FROM g)
+SELECT id, exclude_reason AS why, NULL::BIGINT AS keep_id FROM titles WHERE excluded UNION ALL SELECT id, '중복', keep_id FROM b WHERE id <> keep_id""")
 def cleanup_groups(spark, sf_dir):
-    """Offline clean-up: stars of like titles, and the row of each that stays, by summary and length of title. The ratio of titles is left out."""
-    w = stage(_worded(spark, sf_dir).select("id", "seq", "title", "tokens", "pub_date"), "worded")
-    groups = D.title_stars(w)
-    rows = groups.join(w.select("id", F.char_length("title").alias("n")), "id").withColumn("ok", F.col("id") % 4 != 0)
-    best = rows.groupBy("head").agg(F.min(F.struct((~F.col("ok")).alias("o"), (-F.col("n")).alias("n"), "id")).alias("best"))
-    return rows.join(best, "head").select("id", F.col("best.id").alias("keep_id"))
+    """Offline clean-up: what today's rules exclude, and like titles but for the best of them. The ratio of titles, which SQL lacks, is left out."""
+    return D.upkeep(news(spark, sf_dir).withColumn("summary_ok", F.col("id") % 4 != 0), rules.Screen(LEX), ratio=None)
 
 
 _CONTENT = f"list_filter(tokens, lambda t: NOT list_contains(name_tokens, t) AND t NOT IN ({', '.join(chr(39) + w + chr(39) for w in GENERIC)}))"
@@ -619,6 +611,11 @@ def press_scan(spark, sf_dir):
     return rows.select("adapter", "kind", "title", F.col("pub_date").cast("timestamp_ntz").alias("pub_date"), "original_url", "subgroup", "menu_id", status.alias("status"))
 
 
+@query(f"""WITH {STORED} SELECT pub_date[1:10] || ' (' || ['월', '화', '수', '목', '금', '토', '일'][isodow(pub_date[1:10]::DATE)] || ')' AS day, title, coalesce(nullif(naver_url, ''), original_url) AS url, press, company FROM stored WHERE NOT excluded""")
+def list_view(spark, sf_dir):
+    return R.listed(stored(spark, sf_dir).where("NOT excluded"))
+
+
 PORTAL_PAGE = '<html><div class="press_logo"><img alt=" 신문 "></div><div id="dic_area"><p>{0}</p><script>var x;</script><em class="img_desc">사진</em><div>끝</div></div>밖</html>'
 ORIGINAL_PAGE = '<html><div class="view_con"><span class="ad">광고</span>{0}<br>끝</div></html>'
 

@@ -423,6 +423,9 @@ def test_whole_run(spark, tmp_path):
     assert counts == {"raw": 4, "final": 1, "excluded": 3, "duplicates": 1, "seen": 0, "screened": 2, "extract_fail": 0, "summary_fail": 0}
     assert {r.run_id: r.status for r in store.runs().collect()} == {1: "success"}
     [row] = store.history().collect()
+    page = (tmp_path / "p.html").read_text()
+    assert '<option value="hana">hana 1</option>' in page and "<summary>dup 1</summary>" in page and "<h2>1</h2>" in page
+    assert "2026-07-26 (일) (1)" in reports.render_list("t", reports.listed(store.history()).collect())
     assert (row.id, row.company, row.summary.count("\n")) == (1, "하나은행", 1) and "하나은행 AI 상담 시작" in (tmp_path / "p.html").read_text()
     # A second run: an address, a title and a summary that were delivered, and something new.
     again = [
@@ -438,5 +441,11 @@ def test_whole_run(spark, tmp_path):
     out = {r.id: r.exclude_reason for r in store.read("excluded").where("run_id = 2").collect()}
     assert out[11].startswith("기열람(") and out[12].startswith("기열람(") and counts["seen"] >= 2 and counts["raw"] == 4
     assert sorted(r.id for r in store.history().where("run_id = 2").collect()) == sorted({13, 14} - set(out))
+    assert {r.url_hash: r.told for r in store.read("summaries").where("run_id = 1").collect()}  # kept for a run that starts over
+    cached = Job(LEX, index, names=["하나은행", "신한은행"], judge=judge, summarize=lambda m, t, b: 1 / 0)
+    from siftmill.plans.run import with_summaries
+
+    again = with_summaries(spark.createDataFrame([(1, "t", body, False, store.history().where("id = 1").first().url_hash)], "id long, title string, body string, excluded boolean, url_hash string"), cached, store, 3).collect()
+    assert again[0].summary_ok and again[0].summary == row.summary
     first, second = (store.runs().where(f"run_id = {k}").first() for k in (1, 2))
     assert second.search_start == "2026-07-26T09:40:00" and first.search_start == "2026-07-25T10:00:00"
