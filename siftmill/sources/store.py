@@ -52,8 +52,14 @@ def unstage(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of an Arrow batch, unless the session says otherwise than Spark's own default: texts are long.
+ARROW_ROWS, _ARROW, _SPARKS = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def shipped(df: DataFrame) -> DataFrame:
-    """``df``, once the Python workers of its session can import this package."""
+    """``df``, once the Python workers of its session can import this package and get batches of a size that fits them."""
+    if df.sparkSession.conf.get(_ARROW) == _SPARKS:
+        df.sparkSession.conf.set(_ARROW, str(ARROW_ROWS))
     root = Path(__file__).resolve().parents[2]
     context = df.sparkSession.sparkContext
     if str(root) not in os.environ.get("PYTHONPATH", "").split(os.pathsep) and context.applicationId not in _sent:
