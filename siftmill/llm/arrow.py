@@ -28,3 +28,23 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         yield batch.slice(i, j - i)
         i = j
     pa.default_memory_pool().release_unused()
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of all ``batches`` in runs of up to ``most`` bytes of text, or one row, whatever the batches' sizes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for whole in batches:
+        for b in slices(whole, column, most):
+            n = int(utf8(b.column(column))[1][-1])
+            if held and size + n > most:
+                yield _joined(held)
+                held, size = [], 0
+            held.append(b)
+            size += n
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]

@@ -14,6 +14,8 @@ window around the cut is encoded again and grows until it agrees with both sides
   and those right of the other are exactly the tokens of the joined text. A window
   that finds no such tokens doubles, in the end to the whole of both sides.
 
+The leaves of a long unsplit word are encoded side by side, by the library's threads.
+
 Words repeat, so their encodings are remembered, packed, in two generations of at
 most half of ``MEMO`` bytes: when the younger is full it becomes the older one, and
 words met again move back. Batches are cut into ``SLICE`` bytes of text, and the new
