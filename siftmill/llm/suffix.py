@@ -11,16 +11,16 @@ of shards:
    of its names once.
 3. ``shared_names``: only names that two documents have are kept; other units can
    have no match.
-4. ``spans``: the text under the kept units of a shard, each distinct text once, goes
-   to the task of its name. Whole copies of a document stay behind; they go altogether.
-5. ``marked``: a name with one text has the smallest doc_id of that text. For the
-   others a task builds a suffix array of each part of its spans (Larsson-Sadakane),
-   its common prefixes (Kasai), and so the smallest doc_id of each distinct window;
-   parts are merged by binary search in their sorted windows.
-6. ``removed``: marks return to their shard, where they are laid over the text.
+4. ``spans``: the text under the kept units of a shard, each distinct text once with the
+   smallest doc_id that has it there, goes to the task of its name. Whole copies of a document stay behind; they go altogether.
+5. ``marked``: a task puts the candidate texts of shards together, builds a suffix array
+   of every part of them (Larsson-Sadakane), its common prefixes (Kasai), and so the
+   smallest doc_id of each distinct window; the parts, each of other shards, are merged
+   by binary search in their sorted windows. Each shard gets back what its texts have.
+6. ``removed``: a shard finds its texts again, and lays the answers over them.
 
-A name with very many windows costs a task one span for each distinct text and
-shard. Shards, names and spans are packed, so that Spark moves blocks, not rows.
+So a text that very many documents share is one entry for each shard, not for each
+document. Shards, names and spans are packed, so that Spark moves blocks, not rows.
 
 Cases: a null text is empty; texts shorter than ``LENGTH`` lose nothing; rows that
 repeat a doc_id are no smaller than each other; a null doc_id is smaller than any
@@ -31,18 +31,19 @@ Memory is in proportion to a shard, or to one longer text.
 from __future__ import annotations
 
 import hashlib
-import secrets
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import slices, utf8
+from .arrow import gathered, utf8
 from .scratch import documents, shipped, written
 
-LENGTH, GRAM, SHARD_BYTES, PART_BYTES = 50, 24, 4 << 20, 2 << 20
+LENGTH, GRAM, SHARD_BYTES, PART_BYTES, SALTS = 50, 24, 4 << 20, 2 << 20, 16
 LEAST = -(2**63)
 
 
@@ -131,7 +132,7 @@ def suffix_array(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(t)
     key = np.ndarray((n,), ">u8", np.concatenate((t, np.zeros(8, np.uint8))), strides=(1,)).astype(np.uint64)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     k = key[sa]
     head = np.append(True, k[1:] != k[:-1])
     rank = np.empty(n, np.int64)
@@ -142,7 +143,7 @@ def suffix_array(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         after = s + h
         follow = np.where(after < n, rank[np.minimum(after, n - 1)], n - 1 - after)  # beyond the end: a shorter suffix is smaller
         both = (rank[s] << np.int64(32)) + follow + h + 1
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         s, both = s[order], both[order]
         sa[slots] = s
         head = np.append(True, both[1:] != both[:-1])
@@ -152,7 +153,7 @@ def suffix_array(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sa, rank
 
 
-def common_prefixes(t: np.ndarray, sa: np.ndarray, rank: np.ndarray, most: int = LENGTH, lane: int = 256) -> np.ndarray:
+def common_prefixes(t: np.ndarray, sa: np.ndarray, rank: np.ndarray, most: int = LENGTH, lane: int = 64) -> np.ndarray:
     """Common prefix, up to ``most``, of each suffix in order with the one before it.
 
     Kasai's pass in text order, where a prefix is at least the last one less 1; many
@@ -222,28 +223,28 @@ def least_owner(spans: list[bytes], owner: np.ndarray, part_bytes: int = PART_BY
 
 
 # -- passes ------------------------------------------------------------------------
-TEXT, COPIES, MARKS = -1, -2, -3
+TEXT, COPIES = -1, -2
 
 
 def sharded(docs: DataFrame) -> DataFrame:
     """shard, data (the texts end to end), ids, sizes, digests of whole texts that are long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", SHARD_BYTES):
-                raw, at = utf8(b.column(1))
-                view = memoryview(raw)
-                digests = [hashlib.sha256(view[x:y]).digest() if y - x >= LENGTH else None for x, y in zip(at.tolist(), at[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([secrets.randbits(62)], pa.int64()),
-                        pa.array([_zip(raw.tobytes())], pa.binary()),
-                        pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())),
-                        pa.array([np.diff(at).tolist()], pa.list_(pa.int64())),
-                        pa.array([digests], pa.list_(pa.binary())),
-                    ],
-                    names=["shard", "data", "ids", "sizes", "digests"],
-                )
+        shards = count(TaskContext.get().partitionId() << 32)
+        for b in gathered(batches, "text", SHARD_BYTES):
+            raw, at = utf8(b.column(1))
+            view = memoryview(raw)
+            digests = [hashlib.sha256(view[x:y]).digest() if y - x >= LENGTH else None for x, y in zip(at.tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([next(shards)], pa.int64()),
+                    pa.array([_zip(raw.tobytes())], pa.binary()),
+                    pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([np.diff(at).tolist()], pa.list_(pa.int64())),
+                    pa.array([digests], pa.list_(pa.binary())),
+                ],
+                names=["shard", "data", "ids", "sizes", "digests"],
+            )
 
     rows = shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
     return rows.mapInArrow(run, "shard bigint, data binary, ids array<bigint>, sizes array<bigint>, digests array<binary>")
@@ -293,7 +294,8 @@ def copies(packed: DataFrame) -> DataFrame:
         "shard", "place", F.coalesce("d.ids", F.lit(LEAST)).alias("id"), F.col("d.digests").alias("digest")
     ).where("digest IS NOT NULL")
     first = rows.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last")
-    late = rows.join(first, "digest").where("id > first")
+    salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    late = rows.withColumn("salt", F.pmod(F.xxhash64("shard", "place"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"]).where("id > first")
     return late.groupBy("shard").agg(F.collect_list(F.col("place").cast("long")).alias("places")).withColumn("bucket", F.lit(COPIES))
 
 
@@ -310,91 +312,115 @@ def _late(parts: list[dict], n: int) -> np.ndarray:
     return late
 
 
+def candidates(parts: list[dict], buckets: int) -> Iterator[tuple[int, dict[bytes, int], np.ndarray]]:
+    """(bucket, numbers of the distinct texts under kept units, rows text, owner, place) of a shard, by its text, flags and copies.
+
+    The same parts give the same numbers, so a shard can ask and later place the answers.
+    """
+    raw, at, ids = _text_of(next(r for r in parts if r["bucket"] == TEXT))
+    late = _late(parts, len(ids))
+    start, n, name, doc = units(raw, at)
+    known = {r["bucket"]: r["flags"] for r in parts if r["flags"] is not None}
+    keep = [x[np.unpackbits(np.frombuffer(known[k], np.uint8), count=len(x)).astype(bool)] for k, x, _ in names_by_bucket(name, doc, buckets)]
+    keep = np.sort(np.concatenate(keep)) if keep else np.zeros(0, np.uint64)
+    if not len(keep):
+        return
+    spot = np.minimum(np.searchsorted(keep, name), len(keep) - 1)
+    use = np.flatnonzero((keep[spot] == name) & ~late[doc])
+    text, of = raw.tobytes(), bucket_of(name[use], buckets)
+    order = np.argsort(of, kind="stable")
+    used, begin = np.unique(of[order], return_index=True)
+    for k, part in zip(used.tolist(), np.split(use[order], begin[1:]) if len(used) else []):
+        number: dict[bytes, int] = {}
+        which = [number.setdefault(text[s : s + c + LENGTH - 1], len(number)) for s, c in zip(start[part].tolist(), n[part].tolist())]
+        yield k, number, np.array([which, ids[doc[part]], start[part]], np.int64)
+
+
+def _shards(packed: DataFrame, *more: DataFrame) -> DataFrame:
+    """Rows of each shard: its text, and what ``more`` has of it."""
+    rows = packed.select("shard", F.lit(TEXT).alias("bucket"), "data", "ids", "sizes")
+    for df in more:
+        rows = rows.unionByName(df, allowMissingColumns=True)
+    return rows
+
+
 def spans(packed: DataFrame, flags: DataFrame, whole: DataFrame, buckets: int) -> DataFrame:
-    """shard, bucket, data (the distinct texts under kept units), sizes (of these), entries (text, owner, place)."""
-    rows = packed.select("shard", F.lit(TEXT).alias("bucket"), "data", "ids", "sizes").unionByName(flags, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
+    """shard, bucket, data (the distinct texts under kept units), sizes and owners (of these; an owner is the smallest doc_id)."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        parts = table.to_pylist()
-        raw, at, ids = _text_of(next(r for r in parts if r["bucket"] == TEXT))
-        late = _late(parts, len(ids))
-        start, n, name, doc = units(raw, at)
-        known = {r["bucket"]: r["flags"] for r in parts if r["bucket"] >= 0}
-        keep = [x[np.unpackbits(np.frombuffer(known[k], np.uint8), count=len(x)).astype(bool)] for k, x, _ in names_by_bucket(name, doc, buckets)]
-        keep = np.sort(np.concatenate(keep)) if keep else np.zeros(0, np.uint64)
-        use = np.zeros(0, np.int64)
-        if len(keep):
-            spot = np.minimum(np.searchsorted(keep, name), len(keep) - 1)
-            use = np.flatnonzero((keep[spot] == name) & ~late[doc])
-        text, of = raw.tobytes(), bucket_of(name[use], buckets)
-        order = np.argsort(of, kind="stable")
-        used, begin = np.unique(of[order], return_index=True)
         out = []
-        for k, part in zip(used.tolist(), np.split(use[order], begin[1:]) if len(used) else []):
-            number: dict[bytes, int] = {}
-            which = [number.setdefault(text[s : s + c + LENGTH - 1], len(number)) for s, c in zip(start[part].tolist(), n[part].tolist())]
-            entries = np.array([which, ids[doc[part]], start[part]], np.int64)
-            out.append((k, _zip(b"".join(number)), _zip(np.array(list(map(len, number)), np.int64).tobytes()), _zip(entries.tobytes())))
+        for k, number, entries in candidates(table.to_pylist(), buckets):
+            owners = np.full(len(number), np.iinfo(np.int64).max)
+            np.minimum.at(owners, entries[0], entries[1])
+            out.append((k, *map(_zip, (b"".join(number), np.array(list(map(len, number)), np.int64).tobytes(), owners.tobytes()))))
         return pa.table(
             {
                 "shard": pa.array([key[0].as_py()] * len(out), pa.int64()),
                 "bucket": pa.array([x[0] for x in out], pa.int32()),
-                **{c: pa.array([x[i] for x in out], pa.binary()) for i, c in enumerate(("data", "sizes", "entries"), 1)},
+                **{c: pa.array([x[i] for x in out], pa.binary()) for i, c in enumerate(("data", "sizes", "owners"), 1)},
             }
         )
 
-    return rows.groupBy("shard").applyInArrow(run, "shard bigint, bucket int, data binary, sizes binary, entries binary")
+    return _shards(packed, flags, whole).groupBy("shard").applyInArrow(run, "shard bigint, bucket int, data binary, sizes binary, owners binary")
 
 
 def marked(found: DataFrame) -> DataFrame:
-    """shard, bucket (MARKS), data: the ranges of bytes that go."""
+    """shard, bucket, least, several, windows: of each text of a shard the smallest doc_id of its windows, or of each of them if they have several."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
-        shards, entries = [], []
-        for row in range(table.num_rows):
-            r = {c: table.column(c)[row].as_py() for c in ("shard", "data", "sizes", "entries")}
-            text, sizes = _unzip(r["data"]), np.frombuffer(_unzip(r["sizes"]), np.int64)
-            ends = np.cumsum(sizes)
-            mine = np.array([number.setdefault(text[e - s : e], len(number)) for e, s in zip(ends.tolist(), sizes.tolist())], np.int64)
-            which, owner, place = np.frombuffer(_unzip(r["entries"]), np.int64).reshape(3, -1)
-            entries.append((mine[which], owner, place))
-            shards.append(r["shard"])
-        texts = list(number)
-        sizes = np.array(list(map(len, texts)), np.int64)
-        least = np.full(len(texts), np.iinfo(np.int64).max)
-        for k, owner, _ in entries:
-            np.minimum.at(least, k, owner)
-        _, _, name, _ = units(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum(sizes))))
-        _, group, times = np.unique(name, return_inverse=True, return_counts=True)
-        several = np.flatnonzero(times[group] > 1)
-        windows = dict(zip(several.tolist(), least_owner([texts[k] for k in several], least[several]))) if len(several) else {}
-        low, high = least.copy(), least.copy()
-        for k, w in windows.items():
-            low[k], high[k] = w.min(), w.max()
-        out = []
-        for k, owner, place in entries:
-            all_of = high[k] < owner
-            ranges = [np.stack((place[all_of], place[all_of] + sizes[k[all_of]]), axis=1)]
-            for i in np.flatnonzero(~all_of & (low[k] < owner)):
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], (windows[int(k[i])] < owner[i]).view(np.int8), [0])))).reshape(-1, 2)
-                ranges.append(edge + np.array([0, LENGTH - 1]) + place[i])
-            out.append(_zip(np.concatenate(ranges).astype(np.int64).tobytes()))
-        return pa.table({"shard": pa.array(shards, pa.int64()), "bucket": pa.array([MARKS] * len(out), pa.int32()), "data": pa.array(out, pa.binary())})
+        rows, least = [], np.zeros(0, np.int64)
+        for i in range(table.num_rows):
+            shard, data, sizes, owners = (table.column(c)[i].as_py() for c in ("shard", "data", "sizes", "owners"))
+            text, n = _unzip(data), np.frombuffer(_unzip(sizes), np.int64)
+            mine = np.array([number.setdefault(text[e - k : e], len(number)) for e, k in zip(np.cumsum(n).tolist(), n.tolist())], np.int64)
+            least = np.concatenate((least, np.full(len(number) - len(least), np.iinfo(np.int64).max)))
+            np.minimum.at(least, mine, np.frombuffer(_unzip(owners), np.int64))
+            rows.append((shard, mine))
+        windows = least_owner(list(number), least, PART_BYTES)
+        least, high = (np.array([f(w) for w in windows], np.int64) for f in (np.min, np.max))
+        several = least < high
+        out = [(shard, *map(_zip, (least[k].tobytes(), several[k].tobytes(), b"".join(windows[i].tobytes() for i in k[several[k]])))) for shard, k in rows]
+        return pa.table(
+            {
+                "shard": pa.array([x[0] for x in out], pa.int64()),
+                "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                **{c: pa.array([x[i] for x in out], pa.binary()) for i, c in enumerate(("least", "several", "windows"), 1)},
+            }
+        )
+
+    return found.groupBy("bucket").applyInArrow(run, "shard bigint, bucket int, least binary, several binary, windows binary")
+
 
-    return found.groupBy("bucket").applyInArrow(run, "shard bigint, bucket int, data binary")
+def _ranges(sizes: np.ndarray, entries: np.ndarray, answer: dict) -> list[np.ndarray]:
+    """(begin, end) of the bytes that go, by one bucket's answer to a shard about texts of ``sizes``."""
+    which, owner, place = entries
+    least, windows = (np.frombuffer(_unzip(answer[c]), np.int64) for c in ("least", "windows"))
+    several = np.frombuffer(_unzip(answer["several"]), bool)
+    late = least[which] < owner
+    whole = late & ~several[which]
+    ranges = [np.stack((place[whole], place[whole] + sizes[which[whole]]), axis=1)]
+    end = np.cumsum(np.where(several, sizes - LENGTH + 1, 0))
+    for i in np.flatnonzero(late & several[which]):
+        k = which[i]
+        gone = windows[end[k] - sizes[k] + LENGTH - 1 : end[k]] < owner[i]
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).reshape(-1, 2)
+        ranges.append(edge + np.array([0, LENGTH - 1]) + place[i])
+    return ranges
 
 
-def removed(packed: DataFrame, marks: DataFrame, whole: DataFrame) -> DataFrame:
+def removed(packed: DataFrame, flags: DataFrame, marks: DataFrame, whole: DataFrame, buckets: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay) of each document."""
-    rows = packed.select("shard", F.lit(TEXT).alias("bucket"), "data", "ids", "sizes").unionByName(marks, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = table.to_pylist()
         mine = next(r for r in parts if r["bucket"] == TEXT)
         raw, at, ids = _text_of(mine)
         late = _late(parts, len(ids))
-        ranges = [np.stack((at[:-1][late], at[1:][late]), axis=1)] + [np.frombuffer(_unzip(r["data"]), np.int64).reshape(-1, 2) for r in parts if r["bucket"] == MARKS]
+        answers = {r["bucket"]: r for r in parts if r["least"] is not None}
+        ranges = [np.stack((at[:-1][late], at[1:][late]), axis=1)]
+        for k, number, entries in candidates(parts, buckets):
+            ranges += _ranges(np.array(list(map(len, number)), np.int64), entries, answers[k])
         a, b = np.concatenate(ranges).T
         edge = np.zeros(len(raw) + 1, np.int64)
         np.add.at(edge, a, 1)
@@ -417,7 +443,7 @@ def removed(packed: DataFrame, marks: DataFrame, whole: DataFrame) -> DataFrame:
             }
         )
 
-    return rows.groupBy("shard").applyInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return _shards(packed, flags, marks, whole).groupBy("shard").applyInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def remove_repeats(docs: DataFrame, *, buckets: int | None = None) -> DataFrame:
@@ -427,8 +453,8 @@ def remove_repeats(docs: DataFrame, *, buckets: int | None = None) -> DataFrame:
         buckets = max(12, 1 + size // SHARD_BYTES)
     packed = written(sharded(docs), "shards")
     whole = written(copies(packed), "copies")
-    flags = shared_names(named(packed, buckets))
-    return removed(packed, marked(spans(packed, flags, whole, buckets)), whole)
+    flags = written(shared_names(named(packed, buckets)), "flags")
+    return removed(packed, flags, marked(spans(packed, flags, whole, buckets)), whole, buckets)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
