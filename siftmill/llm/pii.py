@@ -6,8 +6,10 @@ labelled spans. Texts are cut into windows of ``WINDOW`` characters, each half
 covered by the next; every character takes its tag from the window in which it lies
 nearest the middle, so that spans are put together over the whole text.
 
-Only windows with a digit or an @ are decoded: every kind needs one of them, so no
-span can lie in another window. A span of the model counts if it passes the checks of
+A span counts only if it has a digit or an @. So decoding begins with the windows
+whose middle part has one, and goes on to a neighbour wherever a tag of a kind stands
+at the edge of a middle part, until none does. Every span with a digit or an @ is then
+tagged as if all windows had been decoded; windows left out can hold none. A span of the model counts if it passes the checks of
 its kind (Luhn, four parts to 255, 10 to 15 digits, a domain) and overlaps no base span.
 
 Cases: a null or empty text has no spans; a text of any length is read whole, in
@@ -257,34 +259,40 @@ def tagger(steps: int = 260, batch: int = 48, seed: int = 5) -> Tagger:
 
 
 # -- whole texts ---------------------------------------------------------------------
-def windows(text: str) -> list[int]:
-    """Starts of the windows, on a grid, that hold a digit or an @."""
-    code = symbols(text)
-    spots = np.flatnonzero(((code >= 48) & (code <= 57)) | (code == 64))
-    last = max(0, -(-(len(text) - WINDOW) // STRIDE))
-    ks = np.unique(np.concatenate([np.clip(spots // STRIDE - d, 0, last) for d in range(WINDOW // STRIDE)])) if len(spots) else []
-    return [int(k) * STRIDE for k in ks]
-
-
-def tag_texts(model: Tagger, texts: list[str], batch: int = 1024) -> list[list[Span]]:
-    """Spans by the model of each text, from all its windows together."""
-    where = [(i, s) for i, t in enumerate(texts) for s in windows(t)]
-    tags = [np.zeros(len(t), np.int8) for t in texts]
-    near = [np.full(len(t), WINDOW, np.int16) for t in texts]  # distance to the middle of the window that the tag is from
-    middle = np.abs(2 * np.arange(WINDOW) - WINDOW + 1) // 2
-    for at in range(0, len(where), batch):
-        part = where[at : at + batch]
-        ids = np.full((WINDOW, len(part)), 129, np.int64)
-        for k, (i, s) in enumerate(part):
-            x = symbols(texts[i][s : s + WINDOW])
-            ids[: len(x), k] = x
-        found = model.decode(ids)
-        for k, (i, s) in enumerate(part):
-            n = min(WINDOW, len(texts[i]) - s)
-            better = middle[:n] < near[i][s : s + n]
-            tags[i][s : s + n][better] = found[:n, k][better]
-            near[i][s : s + n][better] = middle[:n][better]
-    return [list(_spans(t)) for t in tags]
+def tag_texts(model: Tagger, texts: list[str], batch: int = 1024, *, everything: bool = False) -> list[list[Span]]:
+    """Spans by the model of each text, from its windows together: those that a span with a digit or an @ may touch, or all."""
+    sizes = np.array(list(map(len, texts)), np.int64)
+    base = np.concatenate(([0], np.cumsum(sizes + WINDOW)))
+    flat = np.full(base[-1], SYMBOLS - 1, np.uint8)
+    for t, a, n in zip(texts, base, sizes):
+        flat[a : a + n] = symbols(t)
+    # Window k of a text begins at k * STRIDE; its middle part is what lies nearer its middle than any other window's.
+    last = np.maximum(0, -(-(sizes - WINDOW) // STRIDE))
+    first = np.concatenate(([0], np.cumsum(last + 1)))
+    of = np.repeat(np.arange(len(texts)), last + 1)
+    k = np.arange(first[-1]) - first[of]
+    start, edge = base[of] + k * STRIDE, (WINDOW - STRIDE) // 2
+    begin, end = np.where(k > 0, start + edge, start), np.where(k < last[of], start + edge + STRIDE, base[of] + sizes[of])
+    if everything:
+        todo = np.arange(first[-1])
+    else:
+        spots = np.flatnonzero(((flat >= 48) & (flat <= 57)) | (flat == 64))
+        which = np.searchsorted(base, spots, side="right") - 1
+        todo = np.unique(first[which] + np.clip((spots - base[which] - edge) // STRIDE, 0, last[which]))
+    tags, done, inside = np.zeros(len(flat), np.int8), np.zeros(first[-1], bool), np.arange(WINDOW)[:, None]
+    while len(todo):
+        for at in range(0, len(todo), batch):
+            part = todo[at : at + batch]
+            place = start[part] + inside
+            found = model.decode(flat[place].astype(np.int64))
+            mine = (place >= begin[part]) & (place < end[part])
+            tags[place[mine]] = found[mine]
+        done[todo] = True
+        some = todo[end[todo] > begin[todo]]
+        left, right = some[(k[some] > 0) & (tags[begin[some]] > 0)] - 1, some[(k[some] < last[of[some]]) & (tags[end[some] - 1] > 0)] + 1
+        todo = np.unique(np.concatenate((left, right)))
+        todo = todo[~done[todo]]
+    return [list(_spans(tags[a : a + n])) if n else [] for a, n in zip(base, sizes)]
 
 
 def _spans(tags: np.ndarray) -> Iterator[Span]:
