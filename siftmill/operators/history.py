@@ -25,16 +25,23 @@ def union_sources(*sources: DataFrame, key: str, seq: str) -> DataFrame:
     return first_seen(out, [key], ["__source", seq]).withColumnRenamed("__source", "__from")
 
 
-def chunk_ids(df: DataFrame, seq: str, size: int = 40) -> DataFrame:
-    """chunk: position in ``seq`` by ``size``. Positions are counted in ranges of seq, then shifted by the rows of the ranges before.
+def running(df: DataFrame, order: str, value: Column, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` up to and with each row in ``order``.
 
-    The ranges are written once, so that counts and numbers are of the same ones.
+    Rows are dealt out by ranges of ``order`` and written once, so that sums and rows are of
+    the same ranges; each range adds up its own and starts from what the ranges before it have.
     """
-    part = stage(df.repartitionByRange(F.col(seq)).withColumn("__part", F.spark_partition_id()), "ranges")
-    counts = part.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
-    before = counts.withColumn("__before", F.coalesce(F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__rows")
-    numbered = part.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(seq)))
-    return numbered.join(F.broadcast(before), "__part").withColumn("chunk", F.floor((F.col("__n") - 1 + F.col("__before")) / size)).drop("__part", "__n", "__before")
+    part = stage(df.withColumn("__v", value).repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id()), "ranges")
+    sums = part.groupBy("__part").agg(F.sum("__v").alias("__sum"))
+    before = F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select("__part", before.alias("__before"))  # a row for each range
+    inside = F.sum("__v").over(Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return part.withColumn("__in", inside).join(F.broadcast(starts), "__part").withColumn(name, F.col("__in") + F.col("__before")).drop("__part", "__v", "__in", "__before")
+
+
+def chunk_ids(df: DataFrame, seq: str, size: int = 40) -> DataFrame:
+    """chunk: position in ``seq`` by ``size``."""
+    return running(df, seq, F.lit(1), "__n").withColumn("chunk", F.floor((F.col("__n") - 1) / size)).drop("__n")
 
 
 def latest_run(df: DataFrame, run: str = "run_id") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DUPLICATE, SEEN
 from ..functions.text import col
+from .history import running
 
 
 # Weekdays, and prefixes of reasons that a rebuilt audit rewrites.
@@ -58,10 +59,8 @@ def display_groups(rows: DataFrame, threshold: float = 0.6) -> DataFrame:
 
 
 def run_log(history: DataFrame) -> DataFrame:
-    """Runs from the latest, with what had been delivered up to each (run_id, delivered, ...). A run is one row; runs are few."""
-    from pyspark.sql import Window
-
-    return history.withColumn("cumulative", F.sum("delivered").over(Window.orderBy("run_id").rowsBetween(Window.unboundedPreceding, 0))).orderBy(F.col("run_id").desc())
+    """Runs from the latest, with what had been delivered up to each (run_id, delivered, ...)."""
+    return running(history, "run_id", F.col("delivered"), "cumulative").orderBy(F.col("run_id").desc())
 
 
 def weekday(at: Column | str) -> Column:

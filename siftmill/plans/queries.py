@@ -18,7 +18,7 @@ from ..operators import rules
 from ..operators.clusters import components
 from ..operators.dedup import seen_exactly
 from ..operators.entities import matches, packed
-from ..operators.pairs import fingerprint_links, near_fingerprints, token_links, token_pairs
+from ..operators.pairs import fingerprint_links, near_fingerprints, token_classes, token_links, token_pairs
 from ..sources.store import stage
 
 #: Fixed for the queries: words of the synthetic text in place of a site's lexicons.
@@ -330,8 +330,10 @@ ways AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach(id, to_id) AS (SELECT id, id FROM art UNION SELECT r.id, w.b FROM reach r JOIN ways w ON r.to_id = w.a)
 SELECT id, min(to_id) AS component FROM reach GROUP BY id""")
 def dup_components(spark, sf_dir):
-    t = _tokened(spark, sf_dir).where(F.size("tokens") >= 4)
-    return components(token_pairs(t, 0.9, key="lang").select("a", "b"), articles(spark, sf_dir).select("id"))
+    members, classes = token_classes(_tokened(spark, sf_dir).where(F.size("tokens") >= 4), key="lang")
+    copies = members.where("id != class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b"))
+    pairs = token_pairs(classes, 0.9, id="class_id", key="lang").select("a", "b")
+    return components(pairs.unionByName(copies), articles(spark, sf_dir).select("id"))
 
 
 @query(f"""WITH {ART}, g AS (SELECT id, body, press, substr(sha256({NORM.format('title')}), 1, 24) AS k FROM art)
