@@ -48,7 +48,7 @@ from .scratch import documents, shipped
 
 LEAF, GAP = 4096, 4
 #: Bytes that a worker's memo may take, bytes of an entry besides its word and ids, and bytes of text encoded at once.
-MEMO, ENTRY, SLICE = 32 << 20, 190, 1 << 20
+MEMO, ENTRY, SLICE = 96 << 20, 190, 1 << 20
 WHITE = b" \t\n\x0b\x0c\r"
 
 Token = tuple[int, int, int]  # id, start, end in characters
