@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact, langid, lines, lm, mixing, pii, quality, simhash, suffix
+from . import bpe, exact, importance, langid, lines, lm, mixing, pii, quality, simhash, suffix, toxicity, whitening
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_pii": pii.op8_pii,
         "op9_bpe": bpe.op9_bpe,
         "op10_language_id": langid.op10_language_id,
+        "op11_toxicity": toxicity.op11_toxicity,
+        "op12_importance": importance.op12_importance,
+        "op13_whitening": whitening.op13_whitening,
     }
 
 
@@ -26,4 +29,5 @@ def oracle_sql() -> dict:
         "op3_mixing": mixing.OP3_SQL,
         "op4_line_dedup": lines.OP4_SQL,
         "op6_exact_dedup": exact.OP6_SQL,
+        "op12_importance": importance.OP12_SQL,
     }
