@@ -48,14 +48,12 @@ def loose_tokens(title: Column | str) -> Column:
 
 def display_groups(rows: DataFrame, threshold: float = 0.6) -> DataFrame:
     """id, head: excluded rows with like titles shown under the first of them. ``rows``: id, seq, title."""
-    from .clusters import stars
+    from .clusters import class_stars
     from .pairs import token_pairs
 
-    pairs = token_pairs(rows.select("id", loose_tokens("title").alias("tokens")), threshold)
-    s = rows.select("id", "seq")
-    ways = pairs.join(s.select(F.col("id").alias("a"), F.col("seq").alias("x")), "a").join(s.select(F.col("id").alias("b"), F.col("seq").alias("y")), "b")
-    first = F.col("x") < F.col("y")
-    return stars(s, ways.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")))
+    worded = rows.select("id", "seq", F.array_sort(loose_tokens("title")).alias("tokens"))
+    lone = worded.where(F.size("tokens") == 0).select("id", F.col("id").alias("head"))
+    return class_stars(worded.where(F.size("tokens") > 0), ["tokens"], lambda classes: token_pairs(classes, threshold)).unionByName(lone)
 
 
 def run_log(history: DataFrame) -> DataFrame:

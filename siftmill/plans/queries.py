@@ -234,10 +234,11 @@ def topk_reasons(spark, sf_dir):
     return rules.reason_counts(_screened(spark, sf_dir)).orderBy(F.col("n").desc(), "reason").limit(3)
 
 
-@query(f"""WITH {ART}, {CASCADE} SELECT count(*) AS raw, count(*) FILTER (exclude_reason IS NULL) AS final, count(*) FILTER (exclude_reason IS NOT NULL) AS excluded,
-  count(*) FILTER (starts_with(exclude_reason, '중복')) AS duplicates, count(*) FILTER (starts_with(exclude_reason, '기열람')) AS seen FROM screened""")
+@query(f"""WITH {ART}, {CASCADE}, k AS (SELECT *, string_split(exclude_reason, '(')[1] AS key, id % 7 <> 0 AS extract_ok, id % 5 <> 0 AS summary_ok FROM screened)
+SELECT count(*) AS raw, count(*) FILTER (key IS NULL) AS final, count(*) FILTER (key IS NOT NULL) AS excluded, count(*) FILTER (key = '중복') AS duplicates, count(*) FILTER (key = '기열람') AS seen,
+  count(*) FILTER (key NOT IN ('중복', '기열람')) AS screened, count(*) FILTER (key IS NULL AND NOT extract_ok) AS extract_fail, count(*) FILTER (key IS NULL AND NOT summary_ok) AS summary_fail FROM k""")
 def ledger(spark, sf_dir):
-    return rules.ledger(_screened(spark, sf_dir))
+    return rules.ledger(_screened(spark, sf_dir).withColumns({"extract_ok": (F.col("id") % 7 != 0).cast("int"), "summary_ok": F.col("id") % 5 != 0}))
 
 
 @query(f"""WITH {ART} SELECT id, CASE WHEN len({_hits('left(body, 400)', CORE)}) = 0 THEN '무관(본문 확인: 디지털·AI 내용 아님)'
