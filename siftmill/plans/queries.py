@@ -17,7 +17,7 @@ from ..operators import reports as R
 from ..operators import rules
 from ..operators.clusters import components
 from ..operators.dedup import seen_exactly
-from ..operators.entities import matches, packed
+from ..operators.entities import dictionary_hits
 from ..operators.pairs import fingerprint_links, near_fingerprints, token_classes, token_links, token_pairs
 from ..sources.store import stage
 
@@ -391,9 +391,8 @@ SELECT p_partkey, array_to_string(list_sort(list(name)), ',') AS names FROM part
 def entity_classify(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     names = part.select(F.explode(F.split("p_type", " ")).alias("name")).distinct()
-    index = names.select("name", F.lit("m").alias("menu_id"), F.lit("s").alias("subgroup"), F.lit("x").alias("sector"))
-    found = part.join(F.broadcast(packed(index))).withColumn("e", matches(F.concat_ws(" ", "p_name", "p_type"), "entities"))
-    return found.where(F.size("e") > 0).select("p_partkey", F.array_join(F.array_sort(F.transform("e", lambda x: x["name"])), ",").alias("names"))
+    found = dictionary_hits(part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("text")), names)
+    return found.groupBy(F.col("id").alias("p_partkey")).agg(F.array_join(F.array_sort(F.collect_list("name")), ",").alias("names"))
 
 
 @query("SELECT coalesce(CASE p_brand WHEN 'Brand#11' THEN 'House A' WHEN 'Brand#12' THEN 'House A' WHEN 'Brand#21' THEN 'House B' END, p_brand) AS company, count(*) AS n FROM part GROUP BY 1")

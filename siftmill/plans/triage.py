@@ -158,26 +158,66 @@ HINTS = (("은행", ("은행", "뱅크")), ("카드", ("카드",)))
 ALIASES = {"하나": "하나은행", "국민": "국민은행"}
 
 
-@query("""WITH q(seq, name, words, menu_id, subgroup, sector_hint) AS (VALUES
-  (1, '하나원큐', [''], 'hana', 'hana', NULL), (2, '하나은행', ['AI', '앱'], 'hana', 'hana', '은행'), (3, '하나카드', ['AI', '앱'], 'hana', 'hana', '카드'),
-  (4, '하나금융', ['디지털'], 'hana', 'hana', '그룹'), (5, '토스', [''], 'internet', '은행', NULL), (6, '광주은행', ['AI'], 'regional', '지방은행', NULL),
-  (7, '하나은행', ['AI'], 'regional', '지방은행', NULL), (8, '와뱅크', [''], 'regional', 'regional', NULL), (9, '골드만', ['AI'], 'overseas', '미국', NULL), (10, '금융 AI', [''], 'etc', '업계동향', 'industry')),
-e AS (SELECT seq, generate_subscripts(words, 1) AS pos, trim(name || ' ' || unnest(words)) AS query, menu_id, subgroup, sector_hint FROM q)
-SELECT query, menu_id, subgroup, sector_hint FROM e QUALIFY row_number() OVER (PARTITION BY query ORDER BY seq, pos) = 1""")
+SERVICES = {"search_service_keywords": ["online", "card"], "group_service_keywords": ["digital"], "search_service_keywords_lite": ["online"], "search_keywords_combined": ["abroad"]}
+SUPPLIED = (("은행", ("0",)), ("카드", ("1", "2")))
+
+
+def named(spark, sf_dir):
+    """A table of names as a configuration has them: suppliers by region and nation, parts' makers as brands, customers by segment."""
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    s = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    tier = F.when(F.col("r_regionkey") < 3, "tier1").when(F.col("r_regionkey") == 3, "tier2").otherwise("overseas")
+    menu = F.concat(F.lit("m"), F.col("r_regionkey").cast("string"))
+    kind = F.when(tier == "tier1", "companies").otherwise("subgroups")
+    suppliers = s.select(tier.alias("section"), F.col("r_name").alias("owner"), F.col("r_regionkey").cast("long").alias("owner_at"), menu.alias("menu_id"), (F.col("r_regionkey") == 1).alias("alone"), kind.alias("kind"), F.col("n_name").alias("part"), F.col("s_name").alias("name"), F.col("s_suppkey").cast("long").alias("at"))
+    lists = n.where("r_regionkey < 4").select(F.when(F.col("r_regionkey") < 3, "tier1").otherwise("tier2").alias("section"), F.col("r_name").alias("owner"), F.col("r_regionkey").cast("long").alias("owner_at"), menu.alias("menu_id"), (F.col("r_regionkey") == 1).alias("alone"), F.when((F.col("n_nationkey") % 2 == 0) | (F.col("r_regionkey") == 3), "brands_standalone").otherwise("group_keywords").alias("kind"), F.lit(None).cast("string").alias("part"), F.col("n_name").alias("name"), F.col("n_nationkey").cast("long").alias("at"))
+    words = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.min("c_custkey").cast("long").alias("at"))
+    topics = words.select(F.lit("topic_section").alias("section"), F.lit("topic_section").alias("owner"), F.lit(9).cast("long").alias("owner_at"), F.lit("etc").alias("menu_id"), F.lit(False).alias("alone"), F.lit("search_keywords").alias("kind"), F.lit(None).cast("string").alias("part"), F.col("c_mktsegment").alias("name"), "at")
+    return suppliers.unionByName(lists).unionByName(topics)
+
+
+NAMED = """n AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+named AS (SELECT CASE WHEN r_regionkey < 3 THEN 1 WHEN r_regionkey = 3 THEN 2 ELSE 3 END AS s, r_name AS owner, r_regionkey AS owner_at, 'm' || r_regionkey AS menu_id, r_regionkey = 1 AS alone, 'list' AS kind, n_name AS part, s_name AS name, s_suppkey AS spot
+  FROM supplier JOIN n ON s_nationkey = n_nationkey
+  UNION ALL SELECT CASE WHEN r_regionkey < 3 THEN 1 ELSE 2 END, r_name, r_regionkey, 'm' || r_regionkey, r_regionkey = 1, CASE WHEN n_nationkey % 2 = 0 OR r_regionkey = 3 THEN 'brand' ELSE 'group' END, NULL, n_name, n_nationkey FROM n WHERE r_regionkey < 4
+  UNION ALL SELECT 5, NULL, 9, 'etc', false, 'topic', NULL, c_mktsegment, min(c_custkey) FROM customer GROUP BY c_mktsegment)"""
+
+
+@query(f"""WITH {NAMED}, worded AS (SELECT *, CASE WHEN kind IN ('brand', 'topic') OR (kind = 'list' AND alone) THEN [''] WHEN kind = 'group' THEN ['digital'] WHEN s = 1 THEN ['online', 'card'] WHEN s = 2 THEN ['online'] ELSE ['abroad'] END AS words,
+  CASE kind WHEN 'brand' THEN 1 WHEN 'list' THEN 2 ELSE 3 END AS k FROM named),
+placed AS (SELECT *, CASE WHEN s = 2 AND kind = 'list' THEN 0 ELSE k END AS place FROM worded),
+e AS (SELECT *, generate_subscripts(words, 1) AS pos, trim(name || ' ' || unnest(words)) AS query FROM placed)
+SELECT query, menu_id, CASE WHEN kind = 'topic' THEN '업계동향' WHEN kind = 'list' AND (alone OR s > 1) THEN part ELSE owner END AS subgroup,
+  CASE WHEN kind = 'topic' THEN 'industry' WHEN kind = 'group' THEN '그룹' WHEN kind = 'list' AND s = 1 AND NOT alone THEN part END AS sector_hint
+FROM e QUALIFY row_number() OVER (PARTITION BY query ORDER BY s, owner_at, place, spot, pos) = 1""")
 def search_plan(spark, sf_dir):
-    return E.search_plan(spark, CFG)
+    return E.search_plan(named(spark, sf_dir), SERVICES)
 
 
-INDEX = """idx(seq, name, menu_id, subgroup, sector) AS (VALUES (1, '하나은행', 'hana', 'hana', '은행'), (2, '하나카드', 'hana', 'hana', '카드'), (3, '하나원큐', 'hana', 'hana', '기타'), (4, '하나금융', 'hana', 'hana', '그룹'),
-  (5, '토스', 'internet', 'toss', '은행'), (6, '광주은행', 'regional', '지방은행', '은행'), (7, '하나은행', 'regional', '지방은행', '은행'), (8, '와뱅크', 'regional', 'regional', '은행'), (9, '골드만', 'overseas', '미국', '해외'),
-  (10, '하나', 'regional', '지방은행', '은행'))"""
+@query(f"""WITH {NAMED}, own AS (SELECT * EXCLUDE (menu_id), CASE WHEN owner = 'EUROPE' AND s = 2 THEN 'west' ELSE menu_id END AS menu_id, CASE WHEN contains(name, '0') THEN '은행' WHEN contains(name, '1') OR contains(name, '2') THEN '카드' ELSE '기타' END AS by_name,
+  CASE kind WHEN 'list' THEN 1 WHEN 'brand' THEN 2 ELSE 3 END AS place FROM named WHERE kind <> 'topic'),
+idx AS (SELECT name, menu_id, CASE WHEN kind = 'list' AND s > 1 THEN part ELSE owner END AS subgroup,
+  CASE WHEN kind = 'group' THEN '그룹' WHEN s = 3 THEN '해외' WHEN s = 1 AND kind = 'list' THEN part ELSE by_name END AS sector, s, owner_at, place, spot FROM own),
+lasts AS (SELECT * FROM idx QUALIFY row_number() OVER (PARTITION BY name ORDER BY s DESC, owner_at DESC, place DESC, spot DESC) = 1)
+SELECT name, menu_id, subgroup, sector FROM idx UNION ALL SELECT 'Gaul', menu_id, subgroup, sector FROM lasts WHERE name = 'FRANCE'""")
+def entity_index(spark, sf_dir):
+    aliases = {"Gaul": "FRANCE", "CHINA": "FRANCE", "Nowhere": "ATLANTIS"}
+    return E.entity_index(named(spark, sf_dir), hints=SUPPLIED, menus={"EUROPE": "west"}, aliases=aliases).select("name", "menu_id", "subgroup", "sector")
 
 
-@query(f"WITH {INDEX} SELECT name, menu_id, subgroup, sector FROM idx")
-def entity_index(spark, sf_dir):
-    return E.entity_index(spark, CFG, hints=HINTS, aliases=ALIASES)
+@query(r"""WITH names AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS name FROM benchmark UNION SELECT DISTINCT left(w, 3) FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS w FROM conversations)),
+d AS (SELECT doc_id AS id, lower(text) AS t FROM documents), hit AS (SELECT id, name FROM d JOIN names ON contains(t, name)), every AS (SELECT id, list(name) AS names FROM hit GROUP BY id)
+SELECT id, unnest(list_filter(names, lambda x: len(list_filter(names, lambda y: length(y) > length(x) AND contains(y, x))) = 0)) AS name FROM every""")
+def dictionary_names(spark, sf_dir):
+    """Names of a large dictionary in whole texts: the benchmark's words and the beginnings of long words of conversations."""
+    found = lambda t, k: table(spark, sf_dir, t).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"([a-z]{{{k},}})"), F.lit(0))).alias("name"))
+    names = found("benchmark", 5).unionByName(found("conversations", 9).select(F.left("name", F.lit(3)).alias("name"))).distinct()
+    return E.dictionary_hits(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lower("text").alias("text")), names)
 
 
+INDEX = """idx(seq, name, menu_id, subgroup, sector) AS (VALUES (1, '하나은행', 'hana', 'hana', '은행'), (2, '하나카드', 'hana', 'hana', '카드'), (3, '하나원큐', 'hana', 'hana', '기타'), (4, '하나금융', 'hana', 'hana', '그룹'),
+  (5, '토스', 'internet', 'toss', '은행'), (6, '광주은행', 'regional', '지방은행', '은행'), (7, '하나은행', 'regional', '지방은행', '은행'), (8, '와뱅크', 'regional', 'regional', '은행'), (9, '골드만', 'overseas', '미국', '해외'),
+  (10, '하나', 'regional', '지방은행', '은행'))"""
 BRANDS = {"하나원큐": "하나은행", "하나카드": "하나카드", "골드만": "골드만삭스"}
 SUBJECTS = ("하나원큐 새 앱", "하나금융 하나카드 제휴", "하나금융 발표", "광주은행과 하나은행", "토스 AI", "골드만 전망", "와뱅크", "이름 없는 이야기", "하나 카드 이야기")
 
@@ -214,7 +254,7 @@ def classify_articles(spark, sf_dir):
         F.col("doc_id").alias("id"), F.concat(pick(SUBJECTS), tail).alias("title"), F.concat(lead, F.left("text", F.lit(480))).alias("body"), pick(MENUS).alias("menu_id"),
         F.concat(F.lit("sub"), (F.col("doc_id") % 3).cast("string")).alias("subgroup"), F.when(F.col("doc_id") % 2 == 0, "증권").alias("sector_hint"),
     )
-    index = E.entity_index(spark, CFG, hints=HINTS, aliases=ALIASES)
+    index = E.entity_index(E.configured(spark, CFG), hints=HINTS, aliases=ALIASES)
     out = E.classify(rows, index, ai=["AI", "인공"], services=["앱", "제휴"], brands=BRANDS, hints=HINTS, topic_menu="industry")
     return out.select("id", "fin_group", "subgroup", "company", "sector", "dig_ai", "matched_keywords", "classify_source")
 

@@ -142,16 +142,30 @@ HINTS = [("은행", ["은행"]), ("증권", ["증권"]), ("카드", ["카드"])]
 
 
 def test_plan_and_index(spark):
-    plan = [tuple(r) for r in entities.search_plan(spark, CFG).collect()]
+    plan = [tuple(r) for r in entities.search_plan(entities.configured(spark, CFG), entities.word_lists(CFG)).collect()]
     assert [p[0] for p in plan] == ["하나원큐", "하나은행 AI", "하나은행 앱", "하나카드 AI", "하나카드 앱", "하나금융 전략", "미래에셋증권 AI", "JP모건 AI", "금융권 AI"]
     assert plan[1] == ("하나은행 AI", "hana", "하나", "은행") and plan[-1][1:] == ("industry", "업계동향", "industry")
-    index = {r.name: (r.menu_id, r.sector) for r in entities.entity_index(spark, CFG, hints=HINTS, aliases={"미래에셋": "미래에셋증권", "없는": "없음"}).collect()}
+    index = {r.name: (r.menu_id, r.sector) for r in entities.entity_index(entities.configured(spark, CFG), hints=HINTS, aliases={"미래에셋": "미래에셋증권", "없는": "없음"}).collect()}
     assert index["미래에셋"] == ("sec", "증권") and "없는" not in index and index["JP모건"] == ("overseas", "해외")
-    assert entities.company_names(CFG) == ["하나은행", "하나카드", "하나원큐", "하나금융", "미래에셋증권", "JP모건"]
+    assert [r.name for r in entities.company_names(entities.configured(spark, CFG)).collect()] == ["하나은행", "하나카드", "하나원큐", "하나금융", "미래에셋증권", "JP모건"]
+
+
+def test_dictionary_of_many_names(spark):
+    """100,000 names against all of their substrings in texts, found by a join and no array of names."""
+    r = random.Random(2)
+    names = {"".join(r.choice("abcdefgh") for _ in range(r.randint(1, 9))) for _ in range(100_000)} | {"가나", "가나다", "😀x"}
+    texts = [(i, "".join(r.choice("abcdefghij ") for _ in range(r.randint(0, 60)))) for i in range(50)] + [(90, None), (91, ""), (92, "가나다 가나 😀x")]
+    got = entities.dictionary_hits(spark.createDataFrame(texts, "id long, text string"), spark.createDataFrame([(n,) for n in names] + [("",)], "name string"))
+    want = set()
+    for i, t in texts:
+        has = {t[a:b] for a in range(len(t)) for b in range(a + 1, a + 10)} & names if t else set()
+        want |= {(i, x) for x in has if not any(len(y) > len(x) and x in y for y in has)}
+    assert {(x.id, x.name) for x in got.collect()} == want and got.count() == len(want)
+    assert "BroadcastNestedLoop" not in got._jdf.queryExecution().toString() and "Python" not in got._jdf.queryExecution().toString()
 
 
 def test_classify(spark):
-    index = entities.entity_index(spark, CFG, hints=HINTS, aliases={"미래에셋": "미래에셋증권"})
+    index = entities.entity_index(entities.configured(spark, CFG), hints=HINTS, aliases={"미래에셋": "미래에셋증권"})
     rows = [
         (0, "하나원큐 AI 개편", None, "x", "s", None), (1, "하나금융, 하나카드와 협력", None, "x", "s", None), (2, "소식", "하나은행 생성형 AI", "x", "s", None),
         (3, "소식", None, "kw", "검색", "은행"), (4, "업권 AI", None, "industry", "s", None), (5, "미래에셋 출범", None, "x", "s", None),
@@ -415,7 +429,7 @@ def test_whole_run(spark, tmp_path):
         (5, 5, "신한은행 디지털 지점 개점 소식 전달", "신한은행 디지털 지점 " * 40, "p", "2026-07-26", "http://a/5", "", "shinhan", "s", None, "q"),
     ]
     df = spark.createDataFrame(rows, "id long, seq long, title string, body string, press string, pub_date string, original_url string, naver_url string, menu_id string, subgroup string, sector_hint string, search_keyword string")
-    index = entities.entity_index(spark, CFG, hints=HINTS)
+    index = entities.entity_index(entities.configured(spark, CFG), hints=HINTS)
     store = Store(spark, f"file://{tmp_path}/s")
     judge = lambda t, b: "NO" if "신한" in t else "YES"
     said = lambda m, t, b: "- 하나은행 생성형 AI 상담 서비스 발표\n- 하나은행 고객 상담 개선 기대"
