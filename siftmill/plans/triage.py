@@ -699,13 +699,13 @@ def _delivered(spark, sf_dir) -> str:
     return folder
 
 
-def _streamed(spark, sf_dir, make):
+def _streamed(spark, sf_dir, make, conf={}, folder=None):
     """What a stream over the six files, a file a batch, has put out when it ends."""
     from ..streaming import incremental as I
 
-    folder = _delivered(spark, sf_dir)
+    folder = folder or _delivered(spark, sf_dir)
     out = make(I.source(spark, folder, "event_id long, user_id long, ts timestamp", files_per_batch=1))
-    I.run_available(out, f"{folder}-checkpoint", I.to_table(f"{folder}-out"))
+    I.run_available(out, f"{folder}-checkpoint", I.to_table(f"{folder}-out"), conf=conf)
     return spark.read.schema(out.schema).parquet(f"{folder}-out/batch=*")
 
 
@@ -733,3 +733,60 @@ def stream_against_history(spark, sf_dir):
 
     history = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("user_id"))
     return _streamed(spark, sf_dir, lambda s: against_history(once_each(s, "ts", "event_id", "72 hours"), history, "user_id").select("event_id"))
+
+
+@query("""WITH RECURSIVE first AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+kept(user_id, ts, event_id) AS (SELECT user_id, ts, event_id FROM first WHERE n = 1
+  UNION ALL SELECT * FROM (SELECT k.user_id, f.ts, f.event_id FROM kept k JOIN first f ON f.user_id = k.user_id AND f.ts > k.ts + INTERVAL 3 DAYS QUALIFY row_number() OVER (PARTITION BY k.user_id ORDER BY f.ts, f.event_id) = 1))
+SELECT f.event_id, CASE WHEN f.event_id <> k.event_id THEN k.event_id END AS ref FROM first f ASOF JOIN (SELECT user_id, ts, event_id FROM kept) k ON f.user_id = k.user_id AND f.ts >= k.ts""")
+def stream_seen_recently(spark, sf_dir):
+    """Each user's events against what the stream itself delivered of that user in the three days before; state older than that is gone."""
+    from ..streaming.incremental import WITH_STATE, once_each, seen_recently
+
+    seen = _streamed(spark, sf_dir, lambda s: seen_recently(once_each(s, "ts", "event_id", "72 hours"), "user_id", "event_id", "ts"), WITH_STATE)
+    return seen.select(F.col("id").alias("event_id"), "ref")
+
+
+def _two_sources(spark, sf_dir):
+    """Events of even and of odd users as two folders of files; the second one lags a file, five days, behind the first."""
+    import uuid
+
+    from ..sources.store import shared_folder
+    from ..streaming import incremental as I
+
+    folder = f"{shared_folder(spark)}/siftmill/{uuid.uuid4().hex}"
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    for i in range(7):
+        e.where((day >= 5 * i) & (day < 5 * i + 5) & (F.col("user_id") % 2 == 0)).coalesce(1).write.mode("append").parquet(f"{folder}/prompt")
+        e.where((day >= 5 * i - 5) & (day < 5 * i) & (F.col("user_id") % 2 == 1)).coalesce(1).write.mode("append").parquet(f"{folder}/lagging")
+    read = lambda name: I.source(spark, f"{folder}/{name}", "event_id long, user_id long, ts timestamp", files_per_batch=1)
+    return folder, read("prompt"), read("lagging")
+
+
+def _out_of_two(spark, sf_dir, make):
+    from ..streaming import incremental as I
+
+    folder, prompt, lagging = _two_sources(spark, sf_dir)
+    out = make(prompt, lagging)
+    I.run_available(out, f"{folder}/checkpoint", I.to_table(f"{folder}/out"), conf={"spark.sql.streaming.multipleWatermarkPolicy": "min"})
+    return spark.read.schema(out.schema).parquet(f"{folder}/out/batch=*")
+
+
+@query("SELECT ts::DATE AS day, user_id % 2 AS source, count(*) AS n FROM events GROUP BY ALL")
+def stream_two_sources(spark, sf_dir):
+    """Two sources as one, of which one lags five days behind: none of its rows are late."""
+    from ..streaming.incremental import both_once
+
+    rows = _out_of_two(spark, sf_dir, lambda a, b: both_once(a, b, "ts", "event_id"))
+    return rows.groupBy(F.to_date("ts").alias("day"), (F.col("user_id") % 2).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT a.event_id AS event_id, b.event_id AS event_id2 FROM events a JOIN events b ON a.user_id % 2 = 0 AND b.user_id % 2 = 1 AND a.user_id // 2 = b.user_id // 2
+WHERE b.ts BETWEEN a.ts - INTERVAL 6 HOURS AND a.ts + INTERVAL 6 HOURS""")
+def stream_pairs_in_time(spark, sf_dir):
+    """Events of neighbouring users within six hours, one side from the lagging source."""
+    from ..streaming.incremental import near_in_time
+
+    keyed = lambda s: s.withColumn("k", F.expr("user_id div 2"))
+    return _out_of_two(spark, sf_dir, lambda a, b: near_in_time(keyed(a), keyed(b), "k", "ts", "6 HOURS").select("event_id", "event_id2"))

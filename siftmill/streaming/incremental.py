@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from ..sources.store import shipped
+
+#: What a run of ``seen_recently`` needs: its state has columns and timers.
+WITH_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 def source(spark: SparkSession, path: str, schema, *, files_per_batch: int | None = None, glob: str = "*.parquet") -> DataFrame:
@@ -34,10 +42,94 @@ def against_history(stream: DataFrame, history: DataFrame, key: str) -> DataFram
     return stream.join(known, F.col(key) == F.col("__known"), "left").where("__known IS NULL").drop("__known")
 
 
-def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], *, mode: str = "append") -> None:
-    """Hands all that is new to ``handle``(frame, batch) and ends. A batch that failed is handed over again, under the same number."""
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(handle).start()
-    query.awaitTermination()
+def both_once(first: DataFrame, second: DataFrame, at: str, key: str, late: str = "72 hours") -> DataFrame:
+    """Rows of two streams, each with its own watermark, the first row of each key.
+
+    The session's ``spark.sql.streaming.multipleWatermarkPolicy`` says whose time counts: by "min", its default,
+    nothing of a source that lags is dropped for being behind the other one; only rows behind their own source are.
+    """
+    timed = [s.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late) for s in (first, second)]
+    return timed[0].unionByName(timed[1], allowMissingColumns=True).dropDuplicatesWithinWatermark([key])
+
+
+def near_in_time(first: DataFrame, second: DataFrame, key: str, at: str, within: str, *, late: str = "72 hours") -> DataFrame:
+    """Pairs of rows of two streams that share ``key`` and lie within ``within`` of each other; columns of ``second`` get a 2 at their end.
+
+    Each side's rows are kept until the other side's watermark has passed the time in which they can match.
+    """
+    a = first.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
+    b = second.select(*(F.col(c).alias(f"{c}2") for c in second.columns)).withColumn(f"{at}2", F.col(f"{at}2").cast("timestamp")).withWatermark(f"{at}2", late)
+    span = F.expr(f"INTERVAL {within}")
+    return a.join(b, (F.col(key) == F.col(f"{key}2")) & (F.col(f"{at}2") >= F.col(at) - span) & (F.col(f"{at}2") <= F.col(at) + span))
+
+
+class Recent(StatefulProcessor):
+    """For each key the last row that was delivered, kept for a time after it; a timer on event time clears it."""
+
+    def __init__(self, key: str, keep: pd.Timedelta):
+        self.key, self.keep = key, keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "id long, at timestamp")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        batch = pd.concat(list(rows)).sort_values(["at", "id"], kind="stable")
+        last = self.last.get() if self.last.exists() else None
+        refs, held = [], (int(last[0]), pd.Timestamp(last[1])) if last else None
+        for i, at in zip(batch["id"].tolist(), batch["at"]):
+            if held and at - held[1] <= self.keep:
+                refs.append(held[0])
+            else:
+                refs.append(None)
+                held = (i, at)
+        if held and held != last:
+            self.last.update((held[0], held[1].to_pydatetime()))
+            self.handle.registerTimer(self._due(held[1]))
+        yield pd.DataFrame({self.key: key[0], "id": batch["id"], "at": batch["at"], "ref": pd.array(refs, "Int64")})
+
+    def _due(self, at: pd.Timestamp) -> int:
+        return int((at + self.keep).timestamp() * 1000) + 1
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+        if self.last.exists() and self._due(pd.Timestamp(self.last.get()[1])) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        yield pd.DataFrame()
+
+    def close(self) -> None:
+        pass
+
+
+def seen_recently(stream: DataFrame, key: str, id: str, at: str, *, keep: str = "3 days") -> DataFrame:
+    """``key``, id, at, ref: each row of a stream that has a watermark on ``at``, and the delivered row of its key that it repeats.
+
+    A row repeats the last delivered one of its key for ``keep`` after that; the first row beyond is delivered itself. What the stream saw is all
+    it knows: state of a key is one row, and goes once the watermark is past its time. A task holds the rows of one
+    key of one batch (three columns). Rows of a key are taken by time, then id. Run it with ``WITH_STATE``.
+    """
+    rows = shipped(stream.select(F.col(key), F.col(id).alias("id"), F.col(at).alias("at")))
+    schema = f"{key} {stream.schema[key].dataType.simpleString()}, id long, at timestamp, ref long"
+    return rows.groupBy(key).transformWithStateInPandas(Recent(key, pd.Timedelta(keep)), schema, "append", "eventTime")
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """The session with ``conf``, then as it was."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], *, mode: str = "append", conf: Mapping[str, str] = {}) -> None:
+    """Hands all that is new to ``handle``(frame, batch) and ends. A batch that failed is handed over again, under the same number. ``conf`` holds for this run."""
+    with settings(stream.sparkSession, conf):
+        query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(handle).start()
+        query.awaitTermination()
 
 
 def to_table(folder: str) -> Callable[[DataFrame, int], None]:
