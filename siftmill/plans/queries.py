@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import pages as P
 from ..functions import summaries as S
 from ..functions import text as T
 from ..functions.fixed import GENERIC, PARTICLES, STOPWORDS, TRACKING
@@ -161,6 +162,34 @@ def extract_status_rollup(spark, sf_dir):
     return p.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _flat(x: str) -> str:
+    bare = f"regexp_replace({_unescape(x)}, '[{P.OPENS}{P.CLOSES}]', ' ', 'g')"
+    return f"trim(regexp_replace({bare}, '{P.SPACES}', ' ', 'g'))"
+
+
+def _marked(x: str) -> str:
+    for pattern, new in ((P.NO_TEXT, " "), (P.LINK_STARTS, P.OPENS), (P.LINK_ENDS, P.CLOSES), (P.BLOCK_ENDS, P.ENDS), (P.ANY_TAG, "")):
+        x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
+    return x
+
+
+_LINKS = _flat(f"array_to_string(regexp_extract_all(t, '{P.OPENS}([^{P.CLOSES}]*)', 1), ' ')")
+_LONG = f"coalesce({{0}}.linked <= {{0}}.words / 3.0 AND {{0}}.words >= {P.LONG}, false)"
+
+
+@query(f"""WITH x AS (SELECT page_id, string_split({_marked('html')}, '{P.ENDS}') AS ts FROM pages),
+b AS (SELECT page_id, list_filter(list_transform(ts, lambda t: {{'text': {_flat('t')}, 'links': {_LINKS}}}), lambda b: b.text <> '') AS bs FROM x),
+w AS (SELECT page_id, list_transform(bs, lambda b: {{'text': b.text, 'words': len(string_split(b.text, ' ')), 'linked': CASE WHEN b.links = '' THEN 0 ELSE len(string_split(b.links, ' ')) END}}) AS ws FROM b),
+k AS (SELECT page_id, len(ws) AS n_blocks, list_filter(ws, lambda b, i: {_LONG.format('b')} OR (b.linked <= b.words / 3.0 AND b.words >= {P.SHORT} AND ({_LONG.format('ws[i - 1]')} OR {_LONG.format('ws[i + 1]')}))) AS ks FROM w),
+t AS (SELECT *, {_clean("array_to_string(list_transform(ks, lambda b: b.text), ' ')")} AS body FROM k)
+SELECT page_id, n_blocks, len(ks) AS n_kept, CASE WHEN length(body) >= 200 THEN body END AS body FROM t""")
+def page_density(spark, sf_dir):
+    """Bodies of raw pages by the density of words and links of their blocks."""
+    p = table(spark, sf_dir, "pages").withColumn("b", P.blocks("html"))
+    sizes = (F.size("b").cast("long").alias("n_blocks"), F.size(P.dense("b")).cast("long").alias("n_kept"))
+    return p.select("page_id", *sizes, P.dense_text("html").alias("body"))
+
+
 @query(f"SELECT doc_id, sha256({_clean('text')}) AS clean_hash FROM documents")
 def email_boiler_strip(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(T.clean_body("text"), 256).alias("clean_hash"))
