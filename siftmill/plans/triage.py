@@ -20,7 +20,7 @@ from ..operators import reports as R
 from ..operators import review, rules
 from ..operators.clusters import elected
 from ..sources.store import stage
-from .queries import FP, NORM, OVERLAP, TOKENS, _hits, _list, query, table
+from .queries import FP, NORM, OVERLAP, SQL, TOKENS, _hits, _list, query, table
 
 # -- articles ---------------------------------------------------------------------
 HEADS = (
@@ -508,6 +508,23 @@ def cross_run_matches(spark, sf_dir):
     return D.seen_nearly(f.where("id % 3 != 0"), f.where("id % 3 = 0"))
 
 
+@query(SQL["cross_run_matches"])
+def history_index(spark, sf_dir):
+    """As ``cross_run_matches``, against an index to which history was added in two runs."""
+    import uuid
+
+    from ..operators.index import HistoryIndex
+    from ..sources.store import shared_folder
+
+    f = stage(D.features(news(spark, sf_dir), NAMES), "features")
+    index = HistoryIndex(spark, f"{shared_folder(spark)}/siftmill/{uuid.uuid4().hex}/index")
+    index.append(f.where("id % 3 = 0 AND id % 2 = 0"))
+    index.append(f.where("id % 3 = 0 AND id % 2 = 1"))
+    found = stage(index.seen_nearly(f.where("id % 3 != 0")), "seen")
+    index.close()
+    return found
+
+
 _ALIKE = f"""NOT ({_CONFLICT}) AND (a.norm = b.norm OR (a.body_ok AND b.body_ok AND (a.body_hash = b.body_hash OR bit_count(xor(a.fp, b.fp)) <= 6))
   OR {_OV} >= 0.5 OR (a.pub_date = b.pub_date AND {_OV} >= 0.35))"""
 
