@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col
 from ..sources.store import stage
+from .bloom import split
 
 
 # -- first, latest, chunks --------------------------------------------------------
@@ -73,7 +74,9 @@ def window_start(last: Column | str, now: Column | str, *, hours: int = 24, over
 
 # -- lookups -----------------------------------------------------------------------------
 def not_delivered(df: DataFrame, delivered: DataFrame, key: str) -> DataFrame:
-    return df.join(delivered.select(key).distinct(), key, "left_anti")
+    """Rows whose key was not delivered. Those that a Bloom filter of the delivered keys turns away are not shuffled."""
+    maybe, new = split(df, delivered, key)
+    return maybe.join(delivered.select(key).distinct(), key, "left_anti").unionByName(new.select(*maybe.columns))
 
 
 def with_cache(df: DataFrame, cache: DataFrame, key: str, value: str, order: str) -> DataFrame:
