@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.fixed import BUNDLE, BUNDLED, CRIME, IRRELEVANT, PROMOTION, SPORTS
@@ -217,10 +217,21 @@ def ledger(df: DataFrame) -> DataFrame:
 
     Columns that a frame doesn't have yet (needs_body_check, extract_ok, summary_ok) count as nothing.
     """
+    return df.agg(*ledger_counts(df))
+
+
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with the ledger's counters on it: the action that next runs through it fills them, without another pass."""
+    counts = Observation()
+    return df.observe(counts, *ledger_counts(df)), counts
+
+
+def ledger_counts(df: DataFrame) -> list[Column]:
     key = reason_key("exclude_reason")
     has_col = lambda c: F.col(c) if c in df.columns else F.lit(None)
     live = ~F.col("excluded")
-    return df.agg(
+    said_no = has_col("reviewed") == "NO"
+    return [
         F.count(F.lit(1)).alias("raw"),
         F.count_if(live).alias("final"),
         F.count_if(F.col("excluded")).alias("excluded"),
@@ -229,4 +240,5 @@ def ledger(df: DataFrame) -> DataFrame:
         F.count_if(F.col("excluded") & ~key.isin("중복", "기열람")).alias("screened"),
         F.count_if(live & (has_col("extract_ok").cast("int") == 0)).alias("extract_fail"),
         F.count_if(live & ~has_col("summary_ok").cast("boolean")).alias("summary_fail"),
-    )
+        *([F.count_if(said_no).alias("review_no")] if "reviewed" in df.columns else []),
+    ]

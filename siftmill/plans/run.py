@@ -116,11 +116,12 @@ def run(spark: SparkSession, rows: DataFrame, job: Job, store: Store, run_id: in
         final = told.join(heads, "id", "left").withColumn("dup_of", F.coalesce("head", "dup_of"))
         final = final.withColumn("exclude_reason", F.when(F.col("head").isNotNull(), "중복(요약기준)").otherwise(F.col("exclude_reason"))).withColumn("excluded", F.col("excluded") | F.col("head").isNotNull())
         final = told_before(stage(final.drop("head"), "single"), recent, job.names)
-        final = stage(final.withColumns({"run_id": F.lit(run_id).cast("long"), "collected_at": F.lit(now)}), "final")
+        final, counted = rules.observed(final.withColumns({"run_id": F.lit(run_id).cast("long"), "collected_at": F.lit(now)}))
+        final = stage(final, "final")
+        counts = dict(counted.get)  # filled by the write
         kept = final.where("NOT excluded")
         store.append("articles", kept.select(*[c for c in STORED if c in final.columns]))
         store.append("excluded", final.where("excluded").select("run_id", "id", "title", F.col("original_url").alias("url"), "press", "exclude_reason", "pub_date", "collected_at"))
-        counts = rules.ledger(final).first().asDict()
         if page:
             url = F.coalesce(F.nullif("naver_url", F.lit("")), "original_url").alias("url")
             items = kept.select("run_id", "title", url, "company", "sector", "fin_group", "dig_ai", "press", "pub_date", "summary", "matched_keywords").orderBy(F.col("run_id").desc(), F.col("pub_date").desc(), "title")

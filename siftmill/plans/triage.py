@@ -458,6 +458,80 @@ def store_upkeep(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
+@query(f"""WITH {STORED} SELECT run_id, CASE WHEN run_id < 3 THEN 'success' WHEN run_id = 3 THEN 'failed' ELSE 'running' END AS status, '2024-02-0' || (run_id + 1) AS requested_at,
+  CASE WHEN run_id < 4 THEN '2024-02-0' || (run_id + 1) || 'T10' END AS finished_at, count(*) AS items, count(*) FILTER (run_id < 3) AS delivered FROM stored WHERE NOT excluded GROUP BY run_id""")
+def run_states(spark, sf_dir):
+    """Runs that ended well, failed and still run, from the log's rows, with what each stored and delivered."""
+    store, s = _new_store(spark), stored(spark, sf_dir).where("NOT excluded")
+    store.append("articles", s)
+    for run in range(5):
+        store.start_run(run, f"2024-02-0{run + 1}", "a", "b")
+        if run < 3:
+            store.deliver(run, s.where(f"run_id = {run}"), f"2024-02-0{run + 1}T10")
+    store.finish_run(3, "failed", "2024-02-04T10")
+    items = store.read("articles").groupBy("run_id").agg(F.count(F.lit(1)).alias("items"))
+    sent = store.history().groupBy("run_id").agg(F.count(F.lit(1)).alias("delivered"))
+    runs = store.runs().join(items, "run_id").join(sent, "run_id", "left")
+    return runs.select("run_id", "status", "requested_at", "finished_at", "items", F.coalesce("delivered", F.lit(0)).alias("delivered"))
+
+
+@query(f"""WITH {NEWS}, {TITLES}, k AS (SELECT *, string_split(exclude_reason, '(')[1] AS key, NOT excluded AND contains(title, '지점') AS said_no, id % 7 <> 0 AS extract_ok, id % 5 <> 0 AS summary_ok FROM titles)
+SELECT count(*) AS raw, count(*) FILTER (NOT excluded AND NOT said_no) AS final, count(*) FILTER (excluded OR said_no) AS excluded, count(*) FILTER (excluded AND key = '중복') AS duplicates,
+  count(*) FILTER (excluded AND key = '기열람') AS seen, count(*) FILTER (said_no OR (excluded AND key NOT IN ('중복', '기열람'))) AS screened,
+  count(*) FILTER (NOT excluded AND NOT said_no AND NOT extract_ok) AS extract_fail, count(*) FILTER (NOT excluded AND NOT said_no AND NOT summary_ok) AS summary_fail, count(*) FILTER (said_no) AS review_no FROM k""")
+def observed_ledger(spark, sf_dir):
+    """The ledger as a run takes it: counted while the rows are written, with the reviewer's refusals."""
+    judge = lambda title, body: "NO" if "지점" in title else "YES"
+    t = review.reviewed(rules.Screen(LEX).screen(news(spark, sf_dir), menu="menu_id"), judge)
+    t, counted = rules.observed(t.withColumns({"extract_ok": (F.col("id") % 7 != 0).cast("int"), "summary_ok": F.col("id") % 5 != 0}))
+    stage(t, "final")
+    counts = counted.get
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts))
+
+
+def _safe(x: str) -> str:
+    return f"replace(replace(replace(replace(coalesce({x}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+@query(f"""WITH {STORED}, c AS (SELECT run_id, '<div class="item"><h3><a href="' || {_safe("coalesce(nullif(naver_url, ''), original_url)")} || '">' || {_safe('title')} || '</a></h3><p>' || {_safe('company')} || ' · ' || {_safe('press')} || ' · ' || {_safe('pub_date')}
+  || '</p><p>' || replace({_safe('summary')}, chr(10), '<br>') || '</p></div>' AS html FROM stored WHERE NOT excluded)
+SELECT run_id, count(*) AS cards, count(DISTINCT html) AS kinds, sum(length(html))::BIGINT AS chars, min(sha256(html)) AS least FROM c GROUP BY run_id""")
+def published_pages(spark, sf_dir):
+    """The archive as its readers see it after a second version failed halfway: the first one, whole."""
+    import uuid
+
+    from ..sources.published import Pages, cards
+    from ..sources.store import shared_folder
+
+    pages = Pages(spark, f"{shared_folder(spark)}/siftmill/{uuid.uuid4().hex}/archive")
+    rows = cards(stored(spark, sf_dir).where("NOT excluded").withColumn("url", F.coalesce(F.nullif("naver_url", F.lit("")), "original_url")))
+    first = pages.publish(rows)
+    try:
+        pages.publish(rows.withColumn("html", F.when(F.col("id") % 50 == 7, F.raise_error(F.lit("no card"))).otherwise(F.col("html"))))
+    except Exception:  # the failure that this query is about
+        assert pages.current() == first
+    return pages.read().groupBy("run_id").agg(F.count(F.lit(1)).alias("cards"), F.count_distinct("html").alias("kinds"), F.sum(F.char_length("html")).alias("chars"), F.min(F.sha2("html", 256)).alias("least"))
+
+
+PATTERNS = ("THEAT", "은행", "ion.", "a", "er th", "nosuchwords")
+
+
+@query(f"""WITH t AS (SELECT doc_id AS id, {_pick(HEADS)} || ' ' || string_split(text, chr(10))[1] || ' ' || coalesce(source, '') AS text FROM documents), p AS (SELECT unnest({_list(PATTERNS)}) AS pattern)
+SELECT pattern, id FROM t, p WHERE contains(lower(text), lower(pattern))""")
+def search_postings(spark, sf_dir):
+    """Patterns of several lengths found by their trigrams' postings, the shorter ones by a scan."""
+    import uuid
+
+    from ..operators import postings
+    from ..sources.store import shared_folder
+
+    path = f"{shared_folder(spark)}/siftmill/{uuid.uuid4().hex}/postings"
+    d = table(spark, sf_dir, "documents")
+    t = stage(d.select(F.col("doc_id").alias("id"), F.concat(pick(HEADS), F.lit(" "), F.substring_index("text", "\n", 1), F.lit(" "), F.coalesce("source", F.lit(""))).alias("text")), "texts")
+    postings.index(t, path)
+    return reduce(lambda a, b: a.unionByName(b), (postings.search(t, path, p).select(F.lit(p).alias("pattern"), "id") for p in PATTERNS))
+
+
 # -- duplicates ------------------------------------------------------------------------------
 WORDED = f"""worded AS (SELECT *, {TOKENS.format(NORM.format('title'))} AS tokens FROM news)"""
 

@@ -434,7 +434,7 @@ def test_whole_run(spark, tmp_path):
     judge = lambda t, b: "NO" if "신한" in t else "YES"
     said = lambda m, t, b: "- 하나은행 생성형 AI 상담 서비스 발표\n- 하나은행 고객 상담 개선 기대"
     counts = run(spark, df, Job(LEX, index, names=["하나은행", "신한은행"], judge=judge, summarize=said), store, 1, "2026-07-26T10:00", f"{tmp_path}/p.html")
-    assert counts == {"raw": 4, "final": 1, "excluded": 3, "duplicates": 1, "seen": 0, "screened": 2, "extract_fail": 0, "summary_fail": 0}
+    assert counts == {"raw": 4, "final": 1, "excluded": 3, "duplicates": 1, "seen": 0, "screened": 2, "extract_fail": 0, "summary_fail": 0, "review_no": 1}
     assert {r.run_id: r.status for r in store.runs().collect()} == {1: "success"}
     [row] = store.history().collect()
     page = (tmp_path / "p.html").read_text()
