@@ -617,6 +617,37 @@ def batch_clusters(spark, sf_dir):
     return D.batch_clusters(f, roundup=rules.Screen(LEX).roundup(F.col("title")), ratio=None)
 
 
+_LATE = "contains(press, 'src3')"
+
+
+@query(f"""WITH RECURSIVE {NEWS}, {BODY_FP}, {WORDED}, {FEATURES},
+every AS (SELECT *, 'u' || (id // 2) AS url, id % 10 = 1 AS gone, (id % 4 <> 0)::INT AS ok, {_ROUNDUP} AS alone FROM f),
+new AS (SELECT * FROM every WHERE id % 3 <> 0), old AS (SELECT * FROM every WHERE id % 3 = 0),
+exact AS (SELECT a.id, min(b.id) AS ref, 'exact' AS why FROM new a JOIN old b ON NOT a.gone AND (a.url = b.url OR a.norm = b.norm) GROUP BY a.id),
+met AS (SELECT a.id, b.id AS ref, b.seq, 'body' AS why FROM new a JOIN old b ON a.fp <> 0 AND b.fp <> 0 AND bit_count(xor(a.fp, b.fp)) <= 3
+  UNION ALL SELECT a.id, b.id, b.seq, 'title' FROM new a JOIN old b ON NOT ({_CONFLICT}) AND ({_OV} >= 0.5 OR (list_has_any(a.companies, b.companies) AND {_OV} >= 0.35))),
+seen AS (SELECT * FROM exact UNION ALL SELECT id, ref, why FROM met WHERE id NOT IN (SELECT id FROM exact) AND id NOT IN (SELECT id FROM new WHERE gone) QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq, why, ref) = 1),
+live AS (SELECT *, row_number() OVER (ORDER BY {_LATE}, id) AS n FROM new WHERE NOT gone AND id NOT IN (SELECT id FROM seen)),
+e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM live a JOIN live b ON a.n < b.n AND {_ALIKE}), near AS (SELECT b AS id, list(a) AS earlier FROM e GROUP BY b),
+walk(n, id, cluster, clusters) AS (SELECT 0::BIGINT, NULL::BIGINT, NULL::BIGINT, []::STRUCT(head BIGINT, names VARCHAR[], ids BIGINT[])[]
+  UNION ALL SELECT w.n + 1, r.id, coalesce(h.head, r.id), CASE WHEN h.head IS NULL THEN list_append(w.clusters, {{'head': r.id, 'names': r.companies, 'ids': [r.id]}})
+    ELSE list_transform(w.clusters, lambda c: CASE WHEN c.head = h.head THEN {{'head': c.head, 'names': c.names, 'ids': list_append(c.ids, r.id)}} ELSE c END) END
+  FROM walk w JOIN live r ON r.n = w.n + 1 LEFT JOIN near x ON x.id = r.id, LATERAL (SELECT CASE WHEN NOT r.alone THEN list_filter(w.clusters, lambda c: list_has_any(c.ids, coalesce(x.earlier, []))
+    AND NOT (len(c.names) > 0 AND len(r.companies) > 0 AND NOT list_has_any(c.names, r.companies)))[1].head END AS head) h),
+reps AS (SELECT l.id, l.title, first_value(l.id) OVER best AS rep, first_value(l.title) OVER best AS rep_title FROM walk w JOIN live l ON l.id = w.id
+  WINDOW best AS (PARTITION BY w.cluster ORDER BY l.alone, l.ok DESC, length(l.body) DESC, l.press IN ('src1', 'src2') DESC, l.n))
+SELECT b.id, b.gone OR s.ref IS NOT NULL OR coalesce(r.rep <> b.id, false) AS excluded, coalesce(s.ref, CASE WHEN r.rep <> b.id THEN r.rep END) AS dup_of,
+  CASE WHEN b.gone THEN '무관(x)' WHEN s.why = 'exact' THEN '기열람(delivered 완전 일치)' WHEN s.why = 'body' THEN '기열람(본문 재탕: ' || left(o.title, 24) || ')' WHEN s.why = 'title' THEN '기열람(동일 사건: ' || left(o.title, 24) || ')'
+    WHEN r.rep <> b.id THEN '중복(동일 | 대표: ' || left(r.rep_title, 26) || ')' END AS exclude_reason
+FROM new b LEFT JOIN seen s ON s.id = b.id LEFT JOIN old o ON o.id = s.ref LEFT JOIN reps r ON r.id = b.id""")
+def dedup_run(spark, sf_dir):
+    """All duplicate tests of a run: history by address and title, then by bodies and content, the batch in its order with blocked papers last, and who stands for each cluster. The ratio of titles, which SQL lacks, is left out."""
+    n = news(spark, sf_dir).withColumns({"url_hash": F.concat(F.lit("u"), F.expr("id div 2")), "extract_ok": (F.col("id") % 4 != 0).cast("int"), "excluded": F.col("id") % 10 == 1, "exclude_reason": F.when(F.col("id") % 10 == 1, "무관(x)")})
+    roundup = rules.Screen(LEX).roundup(F.col("title"))
+    out = D.dedup(n.where("id % 3 != 0"), n.where("id % 3 = 0"), names=NAMES, trusted=("src1", "src2"), blocked=("src3",), roundup=roundup, ratio=None)
+    return out.select("id", "excluded", "dup_of", "exclude_reason")
+
+
 TELLINGS = ("하나은행 생성형 상담 서비스 공개", "신한은행 디지털 지점 개점 소식", "하나카드 해외 결제 서비스 확대", "하나은행 생성형 상담 기능 추가", "토스 송금 기능 개선 안내")
 
 
