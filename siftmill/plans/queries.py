@@ -19,7 +19,7 @@ from ..operators import rules
 from ..operators.clusters import components
 from ..operators.dedup import seen_exactly
 from ..operators.entities import dictionary_hits
-from ..operators.pairs import fingerprint_links, near_fingerprints, token_classes, token_links, token_pairs
+from ..operators.pairs import fingerprint_links, held, near_fingerprints, token_classes, token_links, token_pairs
 from ..sources.store import stage
 
 #: Fixed for the queries: words of the synthetic text in place of a site's lexicons.
@@ -386,12 +386,11 @@ def cleanup_links(spark, sf_dir):
 d AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{2,}')) AS w FROM documents)
 SELECT item_id, doc_id, round(len(list_intersect(b.w, d.w)) / len(b.w), 6) AS share FROM b JOIN d ON len(b.w) >= 5 AND len(list_intersect(b.w, d.w)) / len(b.w) >= 0.8""")
 def benchmark_overlap(spark, sf_dir):
-    """Documents that hold most of a benchmark item's words, by an inverted index of the items' words."""
+    """Documents that hold most of a benchmark item's words: they meet by the item's rarest words only, of which one must be there, and are measured then."""
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("([a-z]{2,})"), F.lit(0)))
-    b = table(spark, sf_dir, "benchmark").select("item_id", words(F.col("text")).alias("w")).where(F.size("w") >= 5).withColumn("n", F.size("w"))
-    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(words(F.col("text"))).alias("x"))
-    met = d.join(b.select("item_id", "n", F.explode("w").alias("x")), "x").groupBy("item_id", "doc_id", "n").agg(F.count(F.lit(1)).alias("common"))
-    return met.where(F.col("common") / F.col("n") >= 0.8).select("item_id", "doc_id", F.round(F.col("common") / F.col("n"), 6).alias("share"))
+    b = table(spark, sf_dir, "benchmark").select("item_id", words(F.col("text")).alias("w")).where(F.size("w") >= 5)
+    d = stage(table(spark, sf_dir, "documents").select("doc_id", words(F.col("text")).alias("d")), "words")
+    return held(b, d, 0.8).select("item_id", "doc_id", F.round("share", 6).alias("share"))
 
 
 # -- summaries ------------------------------------------------------------------------------------------

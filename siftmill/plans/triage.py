@@ -468,6 +468,7 @@ def run_states(spark, sf_dir):
         store.start_run(run, f"2024-02-0{run + 1}", "a", "b")
         if run < 3:
             store.deliver(run, s.where(f"run_id = {run}"), f"2024-02-0{run + 1}T10")
+    store.append("delivered", s.where("run_id = 3").select("id", F.lit("2024-02-04T10").alias("delivered_at"), F.col("run_id").cast("long").alias("run_id")))  # as a run that breaks off before its row does
     store.finish_run(3, "failed", "2024-02-04T10")
     items = store.read("articles").groupBy("run_id").agg(F.count(F.lit(1)).alias("items"))
     sent = store.history().groupBy("run_id").agg(F.count(F.lit(1)).alias("delivered"))

@@ -112,13 +112,22 @@ class Store:
         )
 
     def deliver(self, run_id: int, ids: DataFrame, at: str) -> None:
-        """Marks ``ids`` (id) delivered, then the run successful: one append each, in this order. Call it after publishing."""
+        """Marks ``ids`` (id) delivered and the run successful. Call it after publishing.
+
+        The run's row is the one record that counts: rows that are marked before it are delivered once it is there,
+        so a run that breaks off in between has delivered nothing.
+        """
         self.append("delivered", ids.select("id", F.lit(at).alias("delivered_at"), F.lit(run_id).cast("long").alias("run_id")))
         self.finish_run(run_id, "success", at)
 
+    def delivered(self) -> DataFrame:
+        """id of the rows that a successful run delivered."""
+        done = self.runs().where("status = 'success'").select("run_id")
+        return self.read("delivered").select("id", "run_id").join(done, "run_id", "left_semi").select("id").distinct()
+
     def history(self) -> DataFrame:
         """Delivered articles."""
-        return self.read("articles").join(self.read("delivered").select("id").distinct(), "id", "left_semi")
+        return self.read("articles").join(self.delivered(), "id", "left_semi")
 
     def last_success(self) -> str | None:
         """When the last successful run was asked for; none if there was none."""
@@ -153,6 +162,10 @@ class Store:
         runs = stage(rows.where(F.col(column) < F.lit(since)).select("run_id").distinct(), "runs")
         self.replace_runs(table, runs, rows.join(F.broadcast(runs), "run_id", "left_semi").where(F.col(column) >= F.lit(since)))
 
+    def to_drop(self, table: str, ids: DataFrame) -> DataFrame:
+        """The rows that ``drop`` would remove: a look at them changes nothing."""
+        return self.read(table).join(ids.select("id").distinct(), "id", "left_semi")
+
     def drop(self, table: str, ids: DataFrame) -> int:
         """Removes the rows of ``ids`` (id) for good; how many rows are left."""
         rows = self.read(table)

@@ -1,12 +1,15 @@
 """Versions of a published archive, and counters that a write fills."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from siftmill.operators import postings, rules
+from siftmill.operators.pairs import held
 from siftmill.sources.published import Pages, cards
+from siftmill.sources.store import Store
 
 ROW = "run_id long, id long, title string, url string, company string, press string, pub_date string, summary string"
 
@@ -45,3 +48,28 @@ def test_postings(spark, tmp_path):
     assert found("ÜBER") == [1] and found("xbx") == [5] and found("ab") == [6] and found("b") == [1, 2, 5, 6] and found("nope") == [] and found("") == [1, 2, 3, 5, 6]
     plan = postings.candidates(spark, path, "fluss")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [folder" in plan and "IN" in plan.upper()
+
+
+def test_delivery_is_one_record(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s")
+    rows = spark.range(10).select("id", (F.col("id") % 2).alias("run_id"))
+    store.append("articles", rows)
+    for run in (0, 1):
+        store.start_run(run, f"2026-07-0{run + 1}", "a", "b")
+    store.deliver(0, rows.where("run_id = 0"), "2026-07-01T10")
+    # Run 1 marks its rows and breaks off before its own row is written.
+    store.append("delivered", rows.where("run_id = 1").select("id", F.lit("2026-07-02T10").alias("delivered_at"), "run_id"))
+    assert sorted(r.id for r in store.history().collect()) == [0, 2, 4, 6, 8]
+    assert store.to_drop("articles", rows.where("id < 3")).count() == 3 and store.read("articles").count() == 10
+    store.finish_run(1, "success", "2026-07-02T11")
+    assert store.history().count() == 10
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.8, 1.0])
+def test_held_like_all_pairs(spark, threshold):
+    r = random.Random(8)
+    some = lambda n: sorted({f"w{min(r.randrange(40), r.randrange(40))}" for _ in range(n)})
+    items, docs = [(i, some(r.randint(1, 12))) for i in range(30)], [(i, some(r.randint(0, 60))) for i in range(40)]
+    got = held(spark.createDataFrame(items, "item_id long, w array<string>"), spark.createDataFrame(docs, "doc_id long, d array<string>"), threshold)
+    want = {(i, d) for i, w in items for d, x in docs if len(set(w) & set(x)) / len(w) >= threshold}
+    assert {(x.item_id, x.doc_id) for x in got.collect()} == want and (threshold == 1.0 or want)
