@@ -6,11 +6,13 @@ labelled spans. Texts are cut into windows of ``WINDOW`` characters, each half
 covered by the next; every character takes its tag from the window in which it lies
 nearest the middle, so that spans are put together over the whole text.
 
-A span counts only if it has a digit or an @. So decoding begins with the windows
-whose middle part has one, and goes on to a neighbour wherever a tag of a kind stands
-at the edge of a middle part, until none does. Every span with a digit or an @ is then
-tagged as if all windows had been decoded; windows left out can hold none. A span of the model counts if it passes the checks of
-its kind (Luhn, four parts to 255, 10 to 15 digits, a domain) and overlaps no base span.
+A span counts only if it has a digit, an @ or a bracketed "at". So decoding begins with
+the windows whose middle part has one, and goes on to a neighbour wherever a tag of a kind
+stands at the edge of a middle part, until none does. Every such span is then tagged as if
+all windows had been decoded; windows left out can hold none. A span of the model is widened
+to whole words and counts if what is written in it can be of its kind (``accepted``: right
+numbers of digits, Luhn, parts to 255, a name and a host, ``LONGEST`` characters) and it overlaps no base span.
+The model tells where a span is and of which kind; these checks only refuse.
 
 Cases: a null or empty text has no spans; a text of any length is read whole, in
 memory in proportion to it, and each pattern takes time in proportion to it; repeated
@@ -36,7 +38,8 @@ from .scratch import documents, shipped
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
 TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
-HIDDEN, EMBED, SYMBOLS = 16, 10, 130
+HIDDEN, EMBED, SYMBOLS = 24, 12, 130
+STEPS, BATCH = 800, 64
 
 # -- base patterns: fixed by the contract ----------------------------------
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -206,36 +209,55 @@ class Tagger:
 
 
 # -- labelled spans ---------------------------------------------------------------
+SYLLABLES = "an be ca de el fi go hu in jo ka le mi no or pa qui ra se ti un va wo xe ya zu che ght tion ment schen ß é ü ñ ó ng st tr".split()
+COMMON = "the and of to a in for is on that by with from at as it be are was or an you we not have this but now ok end see all out order page version total room de la el que le les des et der die das und ist nicht den von".split()
+LEADS = ("call", "phone", "tel", "Tel.:", "fax:", "mobile", "mail", "e-mail:", "contact", "write to", "card", "card no.", "pay with", "server", "host", "address", "from", "IP", "reach me at")
+HEX = "0123456789abcdef"
+
+
 def _word(r: random.Random) -> str:
-    w = "".join(r.choice("etaoinshrdlcumwfgypbvkéèüößñóí") for _ in range(r.randint(1, 11)))
-    return (w.capitalize() if r.random() < 0.2 else w.upper() if r.random() < 0.05 else w) + r.choice(["", "", "", "", ".", ",", "!!", "###", "%%%", "$$$", "&&&"])
+    u = r.random()
+    w = r.choice(COMMON) if u < 0.45 else "".join(r.choice(SYLLABLES) for _ in range(r.randint(1, 4))) if u < 0.8 else "".join(r.choice("etaoinshrdlcumwfgypbvkéèüößñóí") for _ in range(r.randint(1, 11)))
+    return (w.capitalize() if r.random() < 0.2 else w.upper() if r.random() < 0.05 else w) + r.choice(["", "", "", "", "", "", ".", ",", ":", "!!", "###", "%%%", "$$$", "&&&"])
 
 
 def _digits(r: random.Random, n: int) -> str:
-    return "".join(r.choice("0123456789") for _ in range(n))
+    """Any digits, or now and then few different ones."""
+    some = "0123456789" if r.random() < 0.8 else [r.choice("0123456789") for _ in range(2)]
+    return "".join(r.choice(some) for _ in range(n))
 
 
 def _other_number(r: random.Random) -> str:
+    year, month, day = r.randint(1900, 2030), r.randint(1, 12), r.randint(1, 28)
     return r.choice([
-        lambda: _digits(r, r.randint(1, 8)), lambda: f"{_digits(r, r.randint(1, 4))}.{_digits(r, 2)}", lambda: "".join(r.choice("0123456789abcdef") for _ in range(r.randint(24, 44))),
-        lambda: f"{r.randint(1900, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}", lambda: f"{r.randint(0, 23):02}:{r.randint(0, 59):02}", lambda: f"v{r.randint(0, 20)}.{r.randint(0, 20)}.{r.randint(0, 9)}",
-        lambda: f"@{_word(r)}", lambda: f"{_digits(r, 3)},{_digits(r, 3)}", lambda: f'token = "{_digits(r, 2)}{"".join(r.choice("0123456789abcdef") for _ in range(30))}"', lambda: _digits(r, r.randint(20, 30)),
+        lambda: _digits(r, r.randint(1, 13)), lambda: f"{_digits(r, r.randint(1, 4))}.{_digits(r, r.randint(1, 6))}", lambda: "".join(r.choice(HEX) for _ in range(r.randint(8, 44))),
+        lambda: f"{year}{r.choice('-/.')}{month:02}{r.choice('-/.')}{day:02}", lambda: f"{day}.{month}.{year}", lambda: f"{day:02}/{month:02}/{year} {r.randint(0, 23):02}:{r.randint(0, 59):02}",
+        lambda: f"{r.randint(0, 23):02}:{r.randint(0, 59):02}:{r.randint(0, 59):02}", lambda: f"{r.choice(['v', '', 'version '])}{r.randint(0, 20)}.{r.randint(0, 20)}.{r.randint(0, 99)}", lambda: f"@{_word(r)}",
+        lambda: f"{r.randint(1, 99)} @ {r.randint(1, 99)}", lambda: ",".join([_digits(r, 2), *(_digits(r, 3) for _ in range(r.randint(1, 4)))]), lambda: f"{year}-{year + r.randint(1, 9)}",
+        lambda: f'token = "{_digits(r, 2)}{"".join(r.choice(HEX) for _ in range(30))}"', lambda: _digits(r, r.randint(20, 30)), lambda: " ".join(_digits(r, r.randint(1, 3)) for _ in range(r.randint(2, 3))),
+        lambda: f"${_digits(r, 2)},{_digits(r, 3)}.{_digits(r, 2)}", lambda: f"(at {_digits(r, 2)} {_word(r)})", lambda: f"[{_digits(r, 1)}]", lambda: f"{_digits(r, 2)}-{_digits(r, 3)}",
     ])()
 
 
+def _name(r: random.Random) -> str:
+    return "".join(r.choice(SYLLABLES[:27]) for _ in range(r.randint(1, 4))) if r.random() < 0.7 else "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9)))
+
+
 def _personal(r: random.Random, kind: int) -> str:
-    name = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9)))
     if kind == 0:
-        local = name() + r.choice(["", "." + name(), _digits(r, 2), "_" + name(), "." + _digits(r, 2)])
-        return local + r.choice(["@", "@", "@", "@", " @ "]) + name() + r.choice(["", _digits(r, 1)]) + "." + r.choice(["com", "org", "net", "example", "co.uk", name()])
+        local = _name(r) + r.choice(["", "." + _name(r), "." + _name(r), _digits(r, 2), "_" + _name(r), "." + _digits(r, 2)])
+        at, dot = r.choice(["@", "@", " @ ", "(at)", " (at) ", "[at]", " [at] "]), r.choice([".", ".", ".", "(dot)", " (dot) ", "[dot]"])
+        return local + at + _name(r) + r.choice(["", "", _digits(r, 1), "-" + _name(r), "." + _name(r)]) + dot + r.choice(["com", "org", "net", "example", "de", "co.uk", _name(r)])
     if kind == 1:
-        return ".".join(str(r.randint(0, 255)) for _ in range(4))
+        return r.choice([".", ".", " .", ". ", " . ", "[.]", "(.)"]).join(str(r.randint(0, 255)) for _ in range(4))
     if kind == 2:
-        d = _digits(r, r.randint(14, 19))
-        sep = r.choice(["", "", " ", "-"])
-        return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
-    a, b, c = _digits(r, 3), _digits(r, 3), _digits(r, 4)
-    return r.choice([f"+{r.randint(1, 99)} ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{r.randint(1, 99)} {a} {b} {c}", f"+{r.randint(1, 99)}{a}{b}{c}", f"00{r.randint(1, 99)} {a} {b} {c}"])
+        cuts = r.choice([(4, 4, 4, 4), (4, 4, 4, 4), (4, 6, 5), (4, 4, 4, 4, 3), (6, 8), (4, 4, 4, 2)])
+        return r.choice(["", " ", "-", ".", "  ", "_", " - "]).join(_digits(r, n) for n in cuts)
+    a, b, c, land = _digits(r, 3), _digits(r, 3), _digits(r, 4), r.randint(1, 99)
+    s = r.choice(["-", "-", " ", "."])
+    first = r.choice([f"({a}) {b}{s}{c}", f"({a}){b}{s}{c}", f"{a}{s}{b}{s}{c}", f"{a}/{b}-{c}", f"1{s}{a}{s}{b}{s}{c}", f"{a}{s}{b}{s}{c}", f"0{_digits(r, r.randint(2, 4))}{r.choice(' /-')}{_digits(r, r.randint(6, 8))}"])
+    abroad = r.choice(["+", "00"]) + str(land) + r.choice([f" ({a}) {b}-{c}", f" {a} {b} {c}", f" {_digits(r, 2)} {c} {_digits(r, 4)}", f"-{a}-{b}-{c}", f" {_digits(r, 4)} {_digits(r, 6)}"])
+    return first if r.random() < 0.6 else abroad
 
 
 def example(r: random.Random) -> tuple[str, list[int]]:
@@ -243,10 +265,13 @@ def example(r: random.Random) -> tuple[str, list[int]]:
     text, tags = "", []
     while len(text) < 2 * WINDOW:
         u = r.random()
-        kind = r.randrange(4) if u < 0.2 else -1
-        piece = _personal(r, kind) if kind >= 0 else _other_number(r) if u < 0.32 else _word(r)
+        kind = r.choice((0, 1, 2, 2, 3, 3)) if u < 0.25 else -1
+        if kind >= 0 and r.random() < 0.4:
+            lead = r.choice(LEADS) + " "
+            text, tags = text + lead, tags + [0] * len(lead)
+        piece = _personal(r, kind) if kind >= 0 else _other_number(r) if u < 0.38 else _word(r)
         tags += [0] * len(piece) if kind < 0 else [1 + 2 * kind] + [2 + 2 * kind] * (len(piece) - 1)
-        after = r.choice([" ", " ", " ", "\n", ". ", "### ", "!! "])
+        after = r.choice([" ", " ", " ", " ", "\n", ". ", ", ", "### ", "!! "])
         text += piece + after
         tags += [0] * len(after)
     at = r.randint(0, WINDOW // 2)
@@ -254,11 +279,18 @@ def example(r: random.Random) -> tuple[str, list[int]]:
 
 
 @lru_cache(2)
-def tagger(steps: int = 260, batch: int = 48, seed: int = 5) -> Tagger:
+def tagger(steps: int = STEPS, batch: int = BATCH, seed: int = 5) -> Tagger:
     return Tagger(seed).fit(steps, batch, seed)
 
 
 # -- whole texts ---------------------------------------------------------------------
+def _signs(code: np.ndarray) -> np.ndarray:
+    """Where a span that counts may be: digits, @, and brackets before "at"."""
+    out = ((code >= 48) & (code <= 57)) | (code == 64)
+    out[:-2] |= ((code[:-2] == 40) | (code[:-2] == 91)) & ((code[1:-1] | 32) == 97) & ((code[2:] | 32) == 116)
+    return out
+
+
 def tag_texts(model: Tagger, texts: list[str], batch: int = 1024, *, everything: bool = False) -> list[list[Span]]:
     """Spans by the model of each text, from its windows together: those that a span with a digit or an @ may touch, or all."""
     sizes = np.array(list(map(len, texts)), np.int64)
@@ -276,7 +308,7 @@ def tag_texts(model: Tagger, texts: list[str], batch: int = 1024, *, everything:
     if everything:
         todo = np.arange(first[-1])
     else:
-        spots = np.flatnonzero(((flat >= 48) & (flat <= 57)) | (flat == 64))
+        spots = np.flatnonzero(_signs(flat))
         which = np.searchsorted(base, spots, side="right") - 1
         todo = np.unique(first[which] + np.clip((spots - base[which] - edge) // STRIDE, 0, last[which]))
     tags, done, inside = np.zeros(len(flat), np.int8), np.zeros(first[-1], bool), np.arange(WINDOW)[:, None]
@@ -305,27 +337,65 @@ def _spans(tags: np.ndarray) -> Iterator[Span]:
         at = end
 
 
-def accepted(text: str, span: Span, base: list[Span]) -> bool:
+LONGEST = 256  # characters of a span that the model may add
+AT, DOT = re.compile(r"\s*(?:@|[(\[][aA][tT][)\]])\s*"), re.compile(r"\s*[(\[][dD][oO][tT][)\]]\s*")
+BETWEEN = (None, re.compile(r"[ .()\[\]]+"), re.compile(r"[ ._-]*"), re.compile(r"[ ()./+-]*"))  # what may stand between digits
+
+
+def widened(text: str, span: Span) -> Span:
+    """The span without marks at its edges, out to the ends of its words, over the next numbers that a mark ties to it, and to a bracket or plus sign before it."""
     a, kind, b = span
-    s = text[a:b]
-    if any(x < b and a < y for x, _, y in base) or (a and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum()):
+    while a < b and not (text[a].isalnum() or text[a] in "(+"):
+        a += 1
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    tied = lambda mark, digit: kind > 0 and text[mark] in "._-/" and text[digit].isdigit()
+    while 0 < a < b <= a + LONGEST and (text[a - 1].isalnum() or (a > 1 and tied(a - 1, a - 2))):
+        a -= 1
+    while a < b < min(len(text), a + LONGEST + 1) and (text[b].isalnum() or (b + 1 < len(text) and tied(b, b + 1))):
+        b += 1
+    if kind == 3 and a < b and a and ((text[a - 1] == "(" and ")" in text[a:b]) or text[a - 1] == "+"):
+        a -= 1
+    return a, kind, b
+
+
+def accepted(text: str, span: Span) -> bool:
+    """Whether the characters of a span can be of its kind, however they are set apart."""
+    a, kind, b = span
+    if b - a > LONGEST:
         return False
+    s = text[a:b]
     if kind == 0:
-        local, _, host = s.replace(" ", "").partition("@")
-        return bool(local) and set(local) <= LOCAL and DOMAIN.fullmatch(host) is not None
+        parts = AT.split(s)
+        if len(parts) != 2:
+            return False
+        names = DOT.sub(".", parts[1]).split(".")
+        return bool(parts[0]) and set(parts[0]) <= LOCAL and len(names) > 1 and all(n and set(n) <= LOCAL - set("._%+") for n in names) and names[-1].isalpha()
+    digits = re.split("[^0-9]+", s.strip("()+ "))
+    if not all(digits) or not all(BETWEEN[kind].fullmatch(x) for x in re.findall("[^0-9]+", s.strip("()+ "))):
+        return False
     if kind == 1:
-        return IP.fullmatch(s) is not None and _small_parts(s)
+        return len(digits) == 4 and _small_parts(".".join(digits))
     if kind == 2:
-        return CARD.fullmatch(s) is not None and _card(s)
-    return re.fullmatch(r"[(]?[0-9][\x20().0-9-]+[0-9]", s) is not None and _phone(s) and bool(NOT_DIGIT.search(s)) and "." not in NOT_DIGIT.sub("", s)
+        return _card(s)
+    return len(digits) > 1 and _phone(s)
+
+
+def added(text: str, tagged: list[Span], base: list[Span]) -> list[Span]:
+    """The spans of the model that count, the earlier one of two that overlap."""
+    out: list[Span] = []
+    for span in sorted(widened(text, x) for x in tagged):
+        if accepted(text, span) and not any(x < span[2] and span[0] < y for x, _, y in (*base, *out[-1:])):
+            out.append(span)
+    return out
 
 
 def find(model: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
     out = []
-    for text, added in zip(texts, tag_texts(model, texts)):
+    for text, tagged in zip(texts, tag_texts(model, texts)):
         base = base_spans(text)
-        out.append((base, sorted(base + [s for s in added if accepted(text, s, base)])))
+        out.append((base, sorted(base + added(text, tagged, base))))
     return out
 
 
@@ -342,7 +412,7 @@ def personal_data(docs: DataFrame, model: Tagger | None = None) -> DataFrame:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
                 raw, at = utf8(b.column(1))
-                hits = np.concatenate(([0], np.cumsum(((raw >= 48) & (raw <= 57)) | (raw == 64))))
+                hits = np.concatenate(([0], np.cumsum(_signs(raw))))
                 some = np.flatnonzero(hits[at[1:]] > hits[at[:-1]])
                 found = dict(zip(some.tolist(), find(model, [b.column(1)[int(i)].as_py() for i in some])))
                 rows = [found.get(i, ([], [])) for i in range(b.num_rows)]
