@@ -52,7 +52,7 @@ def _pick(values, of: str = "doc_id") -> str:
 def news(spark, sf_dir):
     """id, seq, title, body, press, menu_id, lang, pub_date of each document: a head in front of its first line, a part in front of its text."""
     d = table(spark, sf_dir, "documents")
-    tail = F.left(F.substring_index("text", "\n", 1), F.lit(24))
+    tail = F.substring_index("text", "\n", 1)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int"))
     return d.select(
         F.col("doc_id").alias("id"), F.col("doc_id").alias("seq"), F.concat(pick(HEADS), F.lit(" "), tail).alias("title"), F.concat(pick(BODIES), "text").alias("body"),
@@ -60,7 +60,7 @@ def news(spark, sf_dir):
     )
 
 
-NEWS = f"""news AS (SELECT doc_id AS id, doc_id AS seq, {_pick(HEADS)} || ' ' || left(string_split(text, chr(10))[1], 24) AS title, {_pick(BODIES)} || text AS body,
+NEWS = f"""news AS (SELECT doc_id AS id, doc_id AS seq, {_pick(HEADS)} || ' ' || string_split(text, chr(10))[1] AS title, {_pick(BODIES)} || text AS body,
   source AS press, {_pick(MENUS)} AS menu_id, lang, DATE '2024-01-01' + (doc_id % 30)::INT AS pub_date FROM documents)"""
 
 
@@ -222,8 +222,8 @@ BRANDS = {"하나원큐": "하나은행", "하나카드": "하나카드", "골
 SUBJECTS = ("하나원큐 새 앱", "하나금융 하나카드 제휴", "하나금융 발표", "광주은행과 하나은행", "토스 AI", "골드만 전망", "와뱅크", "이름 없는 이야기", "하나 카드 이야기")
 
 
-@query(f"""WITH {INDEX}, d AS (SELECT doc_id AS id, {_pick(SUBJECTS)} || CASE WHEN doc_id % 4 = 0 THEN ' ' || left(text, 20) ELSE '' END AS title,
-  CASE WHEN doc_id % 5 = 0 THEN '토스와 광주은행 AI ' ELSE '' END || left(text, 480) AS head, {_pick(MENUS)} AS menu_id, 'sub' || doc_id % 3 AS subgroup, CASE WHEN doc_id % 2 = 0 THEN '증권' END AS sector_hint FROM documents),
+@query(f"""WITH {INDEX}, d AS (SELECT doc_id AS id, {_pick(SUBJECTS)} || CASE WHEN doc_id % 4 = 0 THEN ' ' || string_split(text, chr(10))[1] ELSE '' END AS title,
+  CASE WHEN doc_id % 5 = 0 THEN '토스와 광주은행 AI ' ELSE '' END || text AS head, {_pick(MENUS)} AS menu_id, 'sub' || doc_id % 3 AS subgroup, CASE WHEN doc_id % 2 = 0 THEN '증권' END AS sector_hint FROM documents),
 hit AS (SELECT id, seq, name, idx.menu_id AS m, idx.subgroup AS s, sector, contains(title, name) AS t, CASE WHEN contains(title, name) THEN instr(title, name) - 1 ELSE 999 END AS spot
   FROM d JOIN idx ON contains(title, name) OR contains(left(head, 500), name)),
 level AS (SELECT *, max(t::INT) OVER (PARTITION BY id) AS any_title FROM hit),
@@ -248,10 +248,10 @@ SELECT d.id,
 FROM d LEFT JOIN chosen c ON c.id = d.id LEFT JOIN words w ON w.id = d.id JOIN kw ON kw.id = d.id""")
 def classify_articles(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    tail = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit(" "), F.left("text", F.lit(20)))).otherwise("")
+    tail = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit(" "), F.substring_index("text", "\n", 1))).otherwise("")
     lead = F.when(F.col("doc_id") % 5 == 0, "토스와 광주은행 AI ").otherwise("")
     rows = d.select(
-        F.col("doc_id").alias("id"), F.concat(pick(SUBJECTS), tail).alias("title"), F.concat(lead, F.left("text", F.lit(480))).alias("body"), pick(MENUS).alias("menu_id"),
+        F.col("doc_id").alias("id"), F.concat(pick(SUBJECTS), tail).alias("title"), F.concat(lead, "text").alias("body"), pick(MENUS).alias("menu_id"),
         F.concat(F.lit("sub"), (F.col("doc_id") % 3).cast("string")).alias("subgroup"), F.when(F.col("doc_id") % 2 == 0, "증권").alias("sector_hint"),
     )
     index = E.entity_index(E.configured(spark, CFG), hints=HINTS, aliases=ALIASES)
@@ -390,14 +390,14 @@ def stored(spark, sf_dir):
     d = table(spark, sf_dir, "documents").withColumn("k", F.floor(F.col("doc_id") / 6))
     at = F.concat(F.lit("2024-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("T09:30:00+09:00"))
     return d.select(
-        F.col("doc_id").alias("id"), (F.col("doc_id") % 5).alias("run_id"), F.left(F.substring_index("text", "\n", 1), F.lit(30)).alias("title"), F.col("source").alias("press"), at.alias("pub_date"), at.alias("collected_at"),
+        F.col("doc_id").alias("id"), (F.col("doc_id") % 5).alias("run_id"), F.substring_index("text", "\n", 1).alias("title"), F.col("source").alias("press"), at.alias("pub_date"), at.alias("collected_at"),
         pick(("하나원큐", "하나은행", "와뱅크")).alias("company"), pick(("hana", "kb", "etc")).alias("fin_group"), pick(("- 첫 줄\n- 둘째 줄", "한 줄", None)).alias("summary"), (F.col("doc_id") % 4 != 0).alias("summary_ok"),
         F.when(F.col("doc_id") % 2 == 0, "").otherwise("http://p").alias("naver_url"), F.concat(F.lit("http://o/"), F.col("doc_id").cast("string")).alias("original_url"), (F.col("doc_id") % 6 == 0).alias("excluded"),
         F.when(F.col("doc_id") % 6 == 0, pick(("중복(x)", "무관(y)", "기열람(z)"), "k")).alias("exclude_reason"),
     )
 
 
-STORED = """stored AS (SELECT doc_id AS id, doc_id % 5 AS run_id, left(string_split(text, chr(10))[1], 30) AS title, source AS press, '2024-01-' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') || 'T09:30:00+09:00' AS pub_date, pub_date AS collected_at,
+STORED = """stored AS (SELECT doc_id AS id, doc_id % 5 AS run_id, string_split(text, chr(10))[1] AS title, source AS press, '2024-01-' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') || 'T09:30:00+09:00' AS pub_date, pub_date AS collected_at,
   ['하나원큐', '하나은행', '와뱅크'][(doc_id % 3) + 1] AS company, ['hana', 'kb', 'etc'][(doc_id % 3) + 1] AS fin_group, ['- 첫 줄' || chr(10) || '- 둘째 줄', '한 줄', NULL][(doc_id % 3) + 1] AS summary, doc_id % 4 <> 0 AS summary_ok,
   CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'http://p' END AS naver_url, 'http://o/' || doc_id AS original_url, doc_id % 6 = 0 AS excluded, CASE WHEN doc_id % 6 = 0 THEN ['중복(x)', '무관(y)', '기열람(z)'][((doc_id // 6) % 3) + 1] END AS exclude_reason FROM documents)"""
 
