@@ -1,8 +1,10 @@
 """Pairs of fingerprints: their keys are never broadcast, and blocks find what comparing all finds."""
 
 import random
+from hashlib import md5
 from itertools import combinations
 
+from siftmill.functions.text import fingerprints
 from siftmill.operators.dedup import diagnosed
 from siftmill.operators.pairs import near_fingerprints, near_in_blocks
 
@@ -31,3 +33,11 @@ def test_blocks_like_comparing_all(spark):
     links = {i: sum(g == h and i in (a, b) for h, a, b, _ in want) for g, _, i in rows if g}
     assert {r.id: r.links for r in near_in_blocks(df, "g", 10, block=16, count=True).collect()} == links
     assert diagnosed(df.limit(0), "g", 10).count() == 0
+
+
+def test_fingerprints_without_a_shuffle(spark):
+    df = spark.createDataFrame([(1, "one two two"), (2, None), (3, "1 2")], "id long, text string")
+    found = fingerprints(df, "text")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    low = int.from_bytes(md5(b"two").digest()[8:], "big", signed=True)
+    assert sorted(map(tuple, found.collect())) == [(1, low), (2, 0), (3, 0)]
