@@ -48,12 +48,11 @@ def loose_tokens(title: Column | str) -> Column:
 
 def display_groups(rows: DataFrame, threshold: float = 0.6) -> DataFrame:
     """id, head: excluded rows with like titles shown under the first of them. ``rows``: id, seq, title."""
-    from .clusters import class_stars
-    from .pairs import token_pairs
+    from .overlaps import Rule, class_leaders
 
     worded = rows.select("id", "seq", F.array_sort(loose_tokens("title")).alias("tokens"))
     lone = worded.where(F.size("tokens") == 0).select("id", F.col("id").alias("head"))
-    return class_stars(worded.where(F.size("tokens") > 0), ["tokens"], lambda classes: token_pairs(classes, threshold)).unionByName(lone)
+    return class_leaders(worded.where(F.size("tokens") > 0), ["tokens"], Rule(threshold)).unionByName(lone)
 
 
 def run_log(history: DataFrame) -> DataFrame:
