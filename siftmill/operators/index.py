@@ -3,27 +3,33 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import content_overlap, hamming
-from ..sources.store import stage
+from ..functions.text import hamming
+from ..sources.store import shipped, stage
 from ..streaming.incremental import settings
 from .clusters import class_members
-from .dedup import ANY_DAY_OVERLAP, HISTORY_BITS, HISTORY_OVERLAP, conflict
+from .dedup import ANY_DAY_OVERLAP, HISTORY_BITS, HISTORY_OVERLAP
+from .overlaps import FIRST, Rule, first_of
 from .pairs import keys
 
 TABLES = {
     "prints": ("key", "key long, fp long, first struct<seq: long, ref: long>"),
-    "words": ("token", "token string, probe boolean, n int, tokens array<string>, names array<string>, first struct<seq: long, ref: long>"),
-    "counts": ("token", "token string, n long"),
+    "words": ("block", "block int, tokens array<string>, names array<string>, first struct<seq: long, ref: long>"),
 }
+#: Blocks of titles that a live row is sent to at most, and live rows that a task holds against a block at a time.
+BLOCKS, LIVE = 16, 1 << 16
 
 
 class HistoryIndex:
-    """Fingerprint keys, content tokens and token counts of delivered rows under ``root``, each table in buckets of its key.
+    """Fingerprint keys and content tokens of delivered rows under ``root``, each table in buckets of its key.
 
+    Titles are in blocks, each row once: a task holds one block of history and ``LIVE`` live rows, and what it finds never leaves it as pairs.
     A run only adds its own rows, and a probe shuffles only the live rows: to as many partitions as
     there are buckets, which the session's shuffle partitions give when the index is made. Rows that are alike within one
     addition are one entry. Tables are external Parquet; another session that opens the same ``root`` with
@@ -31,7 +37,7 @@ class HistoryIndex:
     """
 
     def __init__(self, spark: SparkSession, root: str, *, buckets: int | None = None, threshold: float = HISTORY_OVERLAP):
-        self.spark, self.root, self.threshold = spark, root.rstrip("/"), min(threshold, ANY_DAY_OVERLAP)
+        self.spark, self.root, self.threshold = spark, root.rstrip("/"), threshold
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.names = {t: f"siftmill_{t}_{uuid.uuid4().hex}" for t in TABLES}
         for t, (key, schema) in TABLES.items():
@@ -51,19 +57,12 @@ class HistoryIndex:
         prints = rows.where("fp != 0").groupBy("fp").agg(first)
         self._add("prints", prints.select(F.explode(_print_keys()).alias("key"), "fp", "first"))
         worded = rows.select("id", "seq", F.array_sort("content").alias("tokens"), F.array_sort("companies").alias("names")).where(F.size("tokens") >= 2)
-        classes = stage(worded.groupBy("tokens", "names").agg(first).withColumn("id", F.col("first.ref")), "classes")
-        self._add("counts", classes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-        self._add("words", self._probing(classes, "tokens", "names", "first"))
-
-    def _probing(self, classes: DataFrame, *keep: str) -> DataFrame:
-        """token, probe, n and ``keep`` of each token of the classes (id, tokens): probes are so many of a set that any set with enough in common has one, the rarest by the counts so far."""
-        each = classes.select("id", F.explode("tokens").alias("token"))
-        counted = self.read("counts").join(each.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.sum("n").alias("df"))
-        ranked = each.join(counted, "token", "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("rare"))
-        n = F.size("rare")
-        need = n - F.ceil(n * F.lit(self.threshold) - F.lit(1e-9)).cast("int") + 1
-        placed = ranked.select("id", n.alias("n"), F.posexplode(F.transform("rare", lambda x: x["token"])).alias("pos", "token"), need.alias("need"))
-        return placed.join(classes.select("id", *keep), "id").select("token", (F.col("pos") < F.col("need")).alias("probe"), "n", *keep)
+        classes = worded.groupBy("tokens", "names").agg(first)
+        self._add("words", classes.withColumn("block", F.pmod(F.xxhash64("first.ref"), F.lit(self.blocks)).cast("int")))
+
+    @property
+    def blocks(self) -> int:
+        return min(self.buckets, BLOCKS)
 
     def near_prints(self, live: DataFrame) -> DataFrame:
         """fp, first: of each fingerprint of ``live`` (fp) the first delivered row within three bits."""
@@ -73,12 +72,20 @@ class HistoryIndex:
 
     def near_words(self, classes: DataFrame) -> DataFrame:
         """a, first: of each class of ``classes`` (id, tokens, names) the first delivered row that tells the same."""
-        mine = self._probing(classes.withColumn("a", F.col("id")), "a").select("token", F.col("probe").alias("p_a"), F.col("n").alias("n_a"), "a")
-        able = ((F.col("n_a") <= F.col("n")) & F.col("p_a")) | ((F.col("n") < F.col("n_a")) & F.col("probe"))
-        met = self.read("words").join(mine, "token").where(able).select("a", "tokens", "names", "first").distinct()
-        both = met.join(classes.select(F.col("id").alias("a"), F.col("tokens").alias("tokens_a"), F.col("names").alias("names_a")), "a").withColumn("ov", content_overlap("tokens_a", "tokens"))
-        agreed = (F.col("ov") >= ANY_DAY_OVERLAP) | (F.arrays_overlap("names_a", "names") & (F.col("ov") >= self.threshold))
-        return both.where(~conflict(F.col("names_a"), F.col("names")) & agreed).groupBy("a").agg(F.min("first").alias("first"))
+        rule = Rule(ANY_DAY_OVERLAP, self.threshold, least=2, apart=True)
+        columns = ("block", "id", "seq", "tokens", "tags", "day")
+        day = F.lit(None).cast("int").alias("day")
+        its = self.read("words").select("block", F.col("first.ref").alias("id"), F.coalesce("first.seq", F.lit(-(1 << 63))).alias("seq"), "tokens", F.col("names").alias("tags"), day)
+        mine = shipped(classes).select(F.explode(F.sequence(F.lit(0), F.lit(self.blocks - 1))).alias("block"), F.col("id").cast("long"), F.lit(0).cast("long").alias("seq"), "tokens", F.col("names").alias("tags"), day)
+
+        def first(live: pa.Table, past: pa.Table) -> pa.Table:
+            rows = pa.concat_tables([t.select(columns) for t in (live, past) if t.num_rows])
+            return first_of(rows, rule, np.arange(live.num_rows), np.arange(live.num_rows, rows.num_rows))
+
+        parts = max(1, -(-classes.count() // LIVE))
+        part = lambda i: mine.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == i) if parts > 1 else mine
+        found = (part(i).groupBy("block").cogroup(its.groupBy("block")).applyInArrow(first, FIRST) for i in range(parts))
+        return reduce(DataFrame.unionByName, found).groupBy("a").agg(F.min("first").alias("first"))
 
     def seen_nearly(self, live: DataFrame) -> DataFrame:
         """id, ref, why: what ``dedup.seen_nearly`` gives against all rows that were added."""
