@@ -467,3 +467,14 @@ def test_whole_run(spark, tmp_path):
     assert again[0].summary_ok and again[0].summary == row.summary
     first, second = (store.runs().where(f"run_id = {k}").first() for k in (1, 2))
     assert second.search_start == "2026-07-26T09:40:00" and first.search_start == "2026-07-25T10:00:00"
+
+
+def test_dictionary_looks_up_a_piece_once(spark, monkeypatch):
+    """Texts are cut where no name can be; a word that many texts have is looked up once, and a name within another piece's longer name goes."""
+    asked = []
+    within = entities._names_within
+    monkeypatch.setattr(entities, "_names_within", lambda pieces, *a: (asked.append(pieces), within(pieces, *a))[1])
+    texts = [(i, "con-content, icon [x] 가나" if i % 2 else "con con\nicon") for i in range(40)]
+    got = entities.dictionary_hits(spark.createDataFrame(texts, "id long, text string"), spark.createDataFrame([("con",), ("content",), ("가나",), ("]",)], "name string"))
+    assert {(x.id, x.name) for x in got.collect()} == {(i, n) for i in range(40) for n in (("content", "]", "가나") if i % 2 else ("con",))}
+    assert sorted(x.piece for x in asked[0].collect()) == sorted(["con", "content", "]", "가나"])  # no name has an i, which is cut off
