@@ -10,9 +10,12 @@ SPREAD = 64  # folders of postings; a search reads those of its pattern's trigra
 
 
 def _grams(text):
-    t = F.lower(text)
-    places = F.sequence(F.lit(1), F.char_length(t) - (GRAM - 1))
-    return F.when(F.char_length(t) >= GRAM, F.array_distinct(F.transform(places, lambda i: F.substring(t, i, F.lit(GRAM))))).otherwise(F.array().cast("array<string>"))
+    """Each trigram of a text once. Its characters are listed as a whole: a place in a lambda would lower and walk the text again."""
+    c = F.split(F.lower(text), "")
+    shifted = lambda k: F.slice(c, F.lit(k), F.greatest(F.size(c), F.lit(1)))
+    joined = lambda a, b: F.concat(a, b)
+    grams = F.zip_with(F.zip_with(c, shifted(2), joined), shifted(3), joined)
+    return F.array_distinct(F.filter(grams, lambda g: F.char_length(g) == GRAM))
 
 
 def _folder(gram):

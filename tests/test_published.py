@@ -73,3 +73,13 @@ def test_held_like_all_pairs(spark, threshold):
     got = held(spark.createDataFrame(items, "item_id long, w array<string>"), spark.createDataFrame(docs, "doc_id long, d array<string>"), threshold)
     want = {(i, d) for i, w in items for d, x in docs if len(set(w) & set(x)) / len(w) >= threshold}
     assert {(x.item_id, x.doc_id) for x in got.collect()} == want and (threshold == 1.0 or want)
+
+
+def test_grams_of_a_long_text(spark):
+    """A text of a million characters, whose places must not walk it again each; some characters take four bytes."""
+    import time
+
+    one = spark.createDataFrame([("aBc" * 300_000 + "é😀x",), ("ab",), ("",), (None,)], "text string").select(postings._grams(F.col("text")).alias("g"))
+    began = time.time()
+    got = [None if r.g is None else set(r.g) for r in one.collect()]
+    assert got[0] == {"abc", "bca", "cab", "bcé", "cé😀", "é😀x"} and not any(got[1:]) and time.time() - began < 60
