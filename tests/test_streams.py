@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from siftmill.plans import triage
+from siftmill.streaming import incremental
 
 
 def test_no_task_delivers_all_rows(spark, tmp_path):
@@ -16,3 +17,19 @@ def test_no_task_delivers_all_rows(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert tuple(got) == (3000, 3000 * 2999 // 2)
+
+
+def test_seen_recently_with_many_keys_in_a_bucket(spark, tmp_path, monkeypatch):
+    """Users share two buckets' states over six deliveries; a user without a number is one of them."""
+    monkeypatch.setattr(incremental, "BUCKETS", 2)
+    start, day = 1704067200, 86400
+    events = [(i, None if i % 11 == 0 else i % 7, start + i * 4001) for i in range(600)]
+    rows = spark.createDataFrame(events, "event_id long, user_id long, s long").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    last, want = {}, {}
+    for i, user, s in events:
+        repeats = user in last and s - last[user][1] <= 3 * day
+        want[i] = last[user][0] if repeats else None
+        if not repeats:
+            last[user] = (i, s)
+    assert {x.event_id: x.ref for x in triage.stream_seen_recently(spark, str(tmp_path)).collect()} == want
