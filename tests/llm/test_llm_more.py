@@ -156,6 +156,48 @@ def test_sample_bounds(spark, docs):
     assert all(r["n"] == 3 and len(r["slots"]) == 24 for r in rows.collect())
 
 
+def test_every_label_is_learned_from(spark):
+    """More rows than a sample of 4,000: a word of each labelled row moves, and a language that one row has is known."""
+    word = "translate(concat('w', id), '0123456789', 'qrstuvxyzp')"
+    many = spark.range(9000).selectExpr("id as doc_id", f"concat({word}, ' and more') as text", "if(id % 1000 = 7, concat('l', id), 'en') as lang")
+    model = toxicity.learn(many, spark.range(9000).selectExpr("id as doc_id", "cast(id % 3 = 0 as int) as toxic"), epochs=1)
+    learnt = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert len(model.stems) == 1 + sum(i % 1000 == 7 for i in learnt)
+    spelt = str.maketrans("0123456789", "qrstuvxyzp")
+    slots, _ = toxicity.word_slots(*column([("w" + str(i)).translate(spelt) for i in learnt]))
+    moved = (model.net.vectors(slots)[:, : 2 * toxicity.DIM] != toxicity.Network().vectors(slots)[:, : 2 * toxicity.DIM]).any(axis=1)
+    assert 0.78 < moved.mean() < 0.86  # all but the fifth that calibrates, some of whose words share a slot
+
+
+def test_toxicity_by_groups(spark):
+    """The rows' order and partitions don't matter, thresholds are those of all rows kept apart, and long texts are learned from in blocks."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    size = 200_000
+    model = toxicity.learn(docs, labels, epochs=2, group=size)
+    again = toxicity.learn(docs.orderBy(F.desc("text")).repartition(7), labels.repartition(3), epochs=2, group=size)
+    assert (model.net.flat == again.net.flat).all() and (model.shift == again.shift).all() and (model.stems == again.stems).all()
+    rows = sorted(docs.join(toxicity.drawn(labels)[0], "doc_id").collect(), key=lambda r: r["draw"])
+    n = -(-sum(len((r["text"] or "").encode()) for r in rows) // size)
+    assert n > 3
+    slots, at = toxicity.word_slots(*column([r["text"] for r in rows]))
+    apart = np.array([r["draw"] // n % toxicity.APART == toxicity.APART - 1 for r in rows])
+    z = np.round(model.net.margins(slots, at).astype(float)[apart] * toxicity.GRID) / toxicity.GRID
+    y = np.array([r["toxic"] for r in rows], float)[apart]
+    assert np.isclose(np.log(toxicity.DECIDE / (1 - toxicity.DECIDE)) - model.shift[-1], toxicity.threshold(z, y, np.ones(len(y))), atol=1.5 / toxicity.GRID)
+
+
+def test_gradients_by_blocks(monkeypatch):
+    net = toxicity.Network(2)
+    slots, _ = toxicity.word_slots(*column(["a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3]))
+    got = []
+    for block in (toxicity.BLOCK, 8):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        grads, places, pulls = [np.zeros_like(p) for p in (*net.w, net.b, net.v, net.c)], [], []
+        net._back(slots, 1.0, grads, places, pulls)
+        got.append([*grads, *places, *pulls])
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(*got, strict=True))
+
+
 # -- importance ------------------------------------------------------------------------
 def slow_importance(docs, target, *, buckets, ngrams, least, percent, seed=2024):
     def runs(t):
