@@ -33,3 +33,13 @@ def test_seen_recently_with_many_keys_in_a_bucket(spark, tmp_path, monkeypatch):
         if not repeats:
             last[user] = (i, s)
     assert {x.event_id: x.ref for x in triage.stream_seen_recently(spark, str(tmp_path)).collect()} == want
+
+
+def test_state_of_ended_runs_is_unloaded_soon(spark, tmp_path):
+    """A run has the settings that keep one version of its state and unload that of ended runs; afterwards the session is as before."""
+    spark.range(50).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("ts")).write.parquet(f"{tmp_path}/in")
+    names = ("spark.sql.streaming.stateStore.maintenanceInterval", "spark.sql.streaming.maxBatchesToRetainInMemory")
+    before, seen = [spark.conf.get(n) for n in names], []
+    out = incremental.once_each(incremental.source(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema), "ts", "event_id")
+    incremental.run_available(out, f"{tmp_path}/checkpoint", lambda df, batch: seen.append(([df.sparkSession.conf.get(n) for n in names], df.count())))
+    assert seen[0] == (["5s", "1"], 50) and [spark.conf.get(n) for n in names] == before
