@@ -43,3 +43,37 @@ def test_state_of_ended_runs_is_unloaded_soon(spark, tmp_path):
     out = incremental.once_each(incremental.source(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema), "ts", "event_id")
     incremental.run_available(out, f"{tmp_path}/checkpoint", lambda df, batch: seen.append(([df.sparkSession.conf.get(n) for n in names], df.count())))
     assert seen[0] == (["5s", "1"], 50) and [spark.conf.get(n) for n in names] == before
+
+
+def test_seen_recently_with_as_many_partitions_as_a_session_has_by_default(spark, tmp_path):
+    """State has two partitions a core at most, so a batch doesn't write files for each of 200; a batch that is handed over again replaces itself."""
+    start, day = 1704067200, 86400
+    events = [(i, i % 3, start + i * 40000) for i in range(60)]
+    rows = spark.createDataFrame(events, "event_id long, user_id long, s long").withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    handle = incremental.seen_recently(spark, f"{tmp_path}/seen", "user_id", "event_id", "ts", late="1 hour")
+    parts = []
+
+    def twice(df, batch):
+        parts.append(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        handle(df, batch)
+        handle(df, batch)
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for k in range(2):
+            rows.where(f"event_id div 30 = {k}").write.mode("append").parquet(f"{tmp_path}/in")
+            stream = incremental.source(spark, f"{tmp_path}/in", rows.schema)
+            incremental.run_available(incremental.once_each(stream, "ts", "event_id", "1 hour"), f"{tmp_path}/checkpoint", twice)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert set(parts) == {"16"}
+    last, want = {}, {}
+    for i, user, s in events:
+        repeats = user in last and s - last[user][1] <= 3 * day
+        want[i] = last[user][0] if repeats else None
+        if not repeats:
+            last[user] = (i, s)
+    out = spark.read.schema("id long, ref long").parquet(f"{tmp_path}/seen/out/batch=*").collect()
+    assert len(out) == 60 and {x.id: x.ref for x in out} == want
