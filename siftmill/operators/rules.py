@@ -182,10 +182,11 @@ class Screen:
         sure = topical | policy | has(t, x.relevance) | has(t, x.exempt_companies)
         return df.withColumn("exclude_reason", why).withColumn("excluded", F.col("exclude_reason").isNotNull()).withColumn("needs_body_check", ~F.col("excluded") & ~sure)
 
-    def filter_bodies(self, df: DataFrame, title: str = "title", body: str = "body", menu: str | None = None) -> DataFrame:
+    def filter_bodies(self, df: DataFrame, title: str = "title", body: str = "body", menu: str | None = None, *, empty: bool = True) -> DataFrame:
         """``df`` after the rules on bodies: first 400 characters for the topic, 800 for the rest. Rows already excluded keep their reason.
 
-        A row of a policy search that needs its body checked is judged by its digital context alone.
+        A row of a policy search that needs its body checked is judged by its digital context alone. Without ``empty``
+        rows without a body have no reason of their own, but that of a body without the topic.
         """
         x, b = self.lex, F.coalesce(F.col(body), F.lit(""))
         lead, text = F.left(b, F.lit(400)), F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.left(b, F.lit(800)))
@@ -193,7 +194,7 @@ class Screen:
         policy = F.col("needs_body_check") & (F.coalesce(F.col(menu) == x.policy_menu, F.lit(False)) if menu and x.policy_menu else F.lit(False))
         rules = [
             Rule("already", F.col("excluded"), F.col("exclude_reason")),
-            Rule("no body", F.col("needs_body_check") & (b == ""), f"{IRRELEVANT}(제목·본문에서 디지털·AI 근거 없음)"),
+            Rule("no body", F.lit(empty) & F.col("needs_body_check") & (b == ""), f"{IRRELEVANT}(제목·본문에서 디지털·AI 근거 없음)"),
             Rule("policy", policy, F.when(~has(lead, x.policy_words), f"{IRRELEVANT}(정책이나 디지털·AI 아님)")),
             Rule("topic", F.col("needs_body_check") & ~has(lead, x.core), f"{IRRELEVANT}(본문 확인: 디지털·AI 내용 아님)"),
             Rule("sports", F.size(sports) >= 2, F.concat(F.lit(f"{SPORTS}("), F.array_join(F.slice(sports, 1, 2), ","), F.lit(")"))),
